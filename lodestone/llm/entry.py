@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import urls, warc
+from . import lines, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urls.op1_url_filters,
     "op7_warc": warc.op7_warc,
+    "op10_line_dedup": lines.op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filters": urls.SQL,
     "op7_warc": warc.SQL,
+    "op10_line_dedup": lines.SQL,
 }
