@@ -30,7 +30,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from a table written to the shared folder: lost executors cost no recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
