@@ -180,7 +180,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bro
     keyed = counts.withColumn("shard", number)
     indexed = keyed.groupBy("shard").applyInArrow(build_shard, "shard int, index binary")
     if n * KEY_BYTES <= broadcast_bytes:
-        found = {r.shard: pickle.loads(r.index) for r in indexed.collect()}
+        found = {r.shard: pickle.loads(r["index"]) for r in indexed.collect()}
         empty = (PerfectHash(np.zeros(0, U64)), np.zeros(0, U64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
         sent = spark.sparkContext.broadcast([found.get(s, empty) for s in range(shards)] if found else [])
         return docs.mapInArrow(lambda it: drop_by_probe(it, sent.value, least_chars), schema)
