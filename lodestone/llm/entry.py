@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, urls, warc
+from . import jaccard, lines, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urls.op1_url_filters,
+    "op2_ngram_jaccard": jaccard.op2_ngram_jaccard,
     "op7_warc": warc.op7_warc,
     "op10_line_dedup": lines.op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filters": urls.SQL,
+    "op2_ngram_jaccard": jaccard.SQL,
     "op7_warc": warc.SQL,
     "op10_line_dedup": lines.SQL,
 }
