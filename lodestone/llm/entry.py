@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, urls, warc
+from . import jaccard, lines, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urls.op1_url_filters,
     "op2_ngram_jaccard": jaccard.op2_ngram_jaccard,
     "op7_warc": warc.op7_warc,
+    "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_line_dedup": lines.op10_line_dedup,
 }
 
