@@ -3,11 +3,14 @@
 A document's set holds the 64-bit hashes of its distinct word shingles. Documents with equal sets form a class; all
 further work is on classes, so copies are never paired.
 
-Candidates. Two sets with a Jaccard of at least t share one of the ``n - ceil(t n) + 1`` least hashes of each (the
-prefix filter, exact). Prefix hashes are exchanged once, packed in buckets by hash; a bucket keeps the hashes that two
-classes share. The classes under such a hash form a tile.
-
-First round. Each class goes, with its sorted array, to the fullest of its tiles. Within a tile classes are sorted by
+Candidates. Two sets of sizes n and m with a Jaccard of at least t share ``k`` of the ``n - ceil(t n) + k`` and
+``m - ceil(t m) + k`` least hashes of each (the prefix filter, exact for any k). k is 1 + n // 20, so documents that
+share a line or a passage only are seldom candidates. Prefix hashes are exchanged once, packed in buckets by hash; a
+bucket keeps the hashes that two classes share, and a class with fewer of them than its size asks for is done. The
+classes under such a hash form a tile.
+
+First round. Each class goes, with its sorted array, to one of its tiles: the fullest of those that aren't far fuller
+than its median, so near copies meet, and not all documents with some common line. Within a tile classes are sorted by
 size; a row of them is compared with those in its size band only, unless already linked; a hashed bitmap bounds the
 overlap from above (a bit set in one and not in the other is an element that they don't share), and only pairs that
 pass the bound are intersected exactly. Found components leave as stars, never as pairs. A crowded tile is cut into
@@ -33,15 +36,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import input_bytes, table, written
+from .common import forget, input_bytes, table, written
 from .components import components
 from .kernels import U64, hashed_words, mix, shingle_hashes, signed, slices
+from .packed import unpack
 
 BUCKET_BYTES = 8 << 20
 CHUNK = 1024
 CROWDED = 2048
 
-SIGNATURES = "doc_id long, n long, s1 long, s2 long, bucket int, keys binary, classes binary"
+SIGNATURES = "doc_id long, n long, s1 long, s2 long, bucket int, keys binary, classes binary, counts binary"
+
+
+def asked(n: int) -> int:
+    """How many prefix hashes two sets of this size share at least, if they link; never falls with n."""
+    return 1 + n // 20
+
+
+def prefix(n: int, percent: int) -> int:
+    return min(n, n - -(-percent * n // 100) + asked(n))
 
 
 def sets(data: np.ndarray, at: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -62,8 +75,9 @@ def digest(elements: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(batches: Iterable[pa.RecordBatch], size: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """A row for each document, and packed rows of prefix hashes with their classes, one for each bucket."""
-    types = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.binary()]
+    """A row for each document, and packed rows of prefix hashes (6 bytes each) with their classes, one for each
+    bucket. Of equal sets in a slice one is sent."""
+    types = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in SIGNATURES.split(", ")]
     for batch, data, at in slices(batches):
         n, s1, s2, keys, owner = [], [], [], [], []
@@ -75,36 +89,43 @@ def signatures(batches: Iterable[pa.RecordBatch], size: int, percent: int, bucke
             s2.append(b)
             if len(elements) and a not in known:
                 known.add(a)
-                keys.append(elements[: len(elements) - -(-percent * len(elements) // 100) + 1])
+                keys.append(elements[: prefix(len(elements), percent)])
                 owner.append(a)
         none = pa.nulls(batch.num_rows, pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n, s1, s2)], pa.nulls(batch.num_rows, pa.int32()), none, none], names=names)
-        if keys:
-            lengths = [len(k) for k in keys]
-            key, cls = np.concatenate(keys), np.repeat(np.array(owner, np.int64), lengths)
-            of = (key % U64(buckets)).astype(np.int32)
-            order = np.argsort(of, kind="stable")
-            key, cls, of = key[order], cls[order], of[order]
-            cut = np.flatnonzero(np.diff(of)) + 1
-            begin = np.concatenate(([0], cut))
-            rows = [(int(of[i]), key[i:j].tobytes(), cls[i:j].tobytes()) for i, j in zip(begin, [*cut, len(key)], strict=True)]
-            empty = pa.nulls(len(rows), pa.int64())
-            yield pa.RecordBatch.from_arrays([empty] * 4 + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types[4:], strict=True)], names=names)
-
-
-def shared_keys(rows: pa.Table) -> pa.Table:
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n, s1, s2)], pa.nulls(batch.num_rows, pa.int32()), none, none, none], names=names)
+        if not keys:
+            continue
+        key, cls = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        owners = np.array(owner, np.int64)
+        of = (key % U64(buckets)).astype(np.int32)
+        order = np.argsort(of, kind="stable")
+        key, cls, of = key[order], cls[order], of[order]
+        short = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, 2:])
+        new = np.flatnonzero(np.concatenate(([True], (np.diff(of) != 0) | (np.diff(cls) != 0))))
+        counts = np.diff(np.concatenate((new, [len(key)]))).astype(np.uint32)
+        cuts = [0, *(np.flatnonzero(np.diff(of[new])) + 1), len(new)]
+        ends = [*new, len(key)]
+        rows = [(int(of[new[i]]), short[ends[i] : ends[j]].tobytes(), owners[cls[new[i:j]]].tobytes(), counts[i:j].tobytes()) for i, j in zip(cuts, cuts[1:], strict=False)]
+        empty = pa.nulls(len(rows), pa.int64())
+        yield pa.RecordBatch.from_arrays([empty] * 4 + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types[4:], strict=True)], names=names)
+
+
+def shared_keys(rows: pa.Table, buckets: int) -> pa.Table:
     """key, c, m: of one bucket, the hashes that m > 1 classes share, once for each class."""
-    key = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in rows.column("keys")])
-    cls = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in rows.column("classes")])
+    wide = np.zeros((sum(x.as_buffer().size for x in rows.column("keys")) // 6, 8), np.uint8)
+    wide[:, :6] = unpack(rows, "keys", np.uint8).reshape(-1, 6)
+    key = wide.view(np.int64).ravel()
+    cls = np.repeat(unpack(rows, "classes", np.int64), unpack(rows, "counts", np.uint32))
     order = np.lexsort((cls, key))
     key, cls = key[order], cls[order]
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
     key, cls = key[new], cls[new]
     begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    m = np.repeat(np.diff(np.concatenate((begin, [len(key)]))), np.diff(np.concatenate((begin, [len(key)]))))
+    n = np.diff(np.concatenate((begin, [len(key)])))
+    m = np.repeat(n, n)
     keep = m > 1
-    return pa.table({"key": key[keep], "c": cls[keep], "m": m[keep].astype(np.int32)})
+    return pa.table({"key": key[keep] * buckets + rows.column("bucket")[0].as_py(), "c": cls[keep], "m": m[keep].astype(np.int32)})
 
 
 def bitmap(elements: np.ndarray) -> np.ndarray:
@@ -223,13 +244,18 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     given = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     buckets = max(8, input_bytes(docs) // BUCKET_BYTES)
     scan = written(given.mapInArrow(lambda it: signatures(it, size, percent, buckets), SIGNATURES), "signatures")
-    each = scan.filter("bucket IS NULL").select("doc_id", "n", "s1", "s2")
+    each = written(scan.filter("bucket IS NULL").select("doc_id", "n", "s1", "s2"), "each")
     classes = written(each.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id")), "classes")
-    tiles = written(scan.filter("bucket IS NOT NULL").select("bucket", "keys", "classes").groupBy("bucket").applyInArrow(shared_keys, "key long, c long, m int"), "tiles")
-
-    best = tiles.groupBy("c").agg(F.max(F.struct("m", "key")).alias("t")).select("c", "t.key", F.ceil(F.col("t.m") / CHUNK).cast("int").alias("chunks"))
-    wanted = best.select("c").join(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id")), "c")
-    arrays = written(given.join(wanted, "doc_id").select("c", "text").mapInArrow(lambda it: full_sets(it, size), "c long, n long, elements binary, bits binary"), "sets")
+    tiles = written(scan.filter("bucket IS NOT NULL").select("bucket", "keys", "classes", "counts").groupBy("bucket").applyInArrow(lambda t: shared_keys(t, buckets), "key long, c long, m int"), "tiles")
+    forget(scan)
+
+    own = tiles.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("m", "key"))).alias("t"))
+    least = 1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)
+    own = own.join(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n"), "c").filter(F.size("t") >= least)
+    usual = F.expr("t[int(size(t) / 2)].m")
+    seat = F.element_at(F.filter("t", lambda x: x.m <= 1.5 * usual), -1)
+    best = written(own.select("c", "doc_id", seat.alias("t")).select("c", "doc_id", "t.key", F.ceil(F.col("t.m") / CHUNK).cast("int").alias("chunks")), "best")
+    arrays = written(given.join(best.select("c", "doc_id"), "doc_id").select("c", "text").mapInArrow(lambda it: full_sets(it, size), "c long, n long, elements binary, bits binary"), "sets")
     chunked = best.withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"))
     pivots = best.filter("chunks > 1").groupBy("key").agg(F.min("c").alias("c"), F.max("chunks").alias("chunks"))
     pivots = pivots.select("c", "key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
@@ -238,7 +264,8 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     stars = written(stars, "stars")
     labels = components(stars, "first")
 
-    rows = written(tiles.select("key", "c").join(labels.withColumnRenamed("node", "c"), "c", "left").select("key", "c", F.coalesce("label", "c").alias("comp")), "open-tiles")
+    kept = tiles.select("key", "c").join(best.select("c"), "c")
+    rows = written(kept.join(labels.withColumnRenamed("node", "c"), "c", "left").select("key", "c", F.coalesce("label", "c").alias("comp")), "open-tiles")
     open_ = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("members"))
     open_ = open_.filter("lo <> hi").groupBy("m", "members").agg(F.min("key").alias("key")).select("key", "m")
     seated = rows.join(open_, "key").join(arrays.select("c", "n", "bits"), "c")
