@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, suffixes, urls, warc
+from . import bigrams, jaccard, lines, media, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urls.op1_url_filters,
     "op2_ngram_jaccard": jaccard.op2_ngram_jaccard,
+    "op3_media_columns": media.op3_media_columns,
+    "op4_lm_scoring": bigrams.op4_lm_scoring,
     "op7_warc": warc.op7_warc,
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_line_dedup": lines.op10_line_dedup,
@@ -19,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filters": urls.SQL,
     "op2_ngram_jaccard": jaccard.SQL,
+    "op4_lm_scoring": bigrams.SQL,
     "op7_warc": warc.SQL,
     "op10_line_dedup": lines.SQL,
 }
