@@ -6,20 +6,17 @@ further work is on classes, so copies are never paired.
 Candidates. Two sets of sizes n and m with a Jaccard of at least t share ``k`` of the ``n - ceil(t n) + k`` and
 ``m - ceil(t m) + k`` least hashes of each (the prefix filter, exact for any k). k is 1 + n // 20, so documents that
 share a line or a passage only are seldom candidates. Prefix hashes are exchanged once, packed in buckets by hash; a
-bucket keeps the hashes that two classes share, and a class with fewer of them than its size asks for is done. The
-classes under such a hash form a tile.
+bucket keeps the hashes that two classes share, and a class with fewer of them than its size asks for is done. Of the
+others each drops the k - 1 hashes that most classes have; two that link still share one.
 
-First round. Each class goes, with its sorted array, to one of its tiles: the fullest of those that aren't far fuller
-than its median, so near copies meet, and not all documents with some common line. Within a tile classes are sorted by
-size; a row of them is compared with those in its size band only, unless already linked; a hashed bitmap bounds the
-overlap from above (a bit set in one and not in the other is an element that they don't share), and only pairs that
-pass the bound are intersected exactly. Found components leave as stars, never as pairs. A crowded tile is cut into
-chunks that share a pivot class.
+Tiles. Classes that the kept hashes connect form a family, found by stars from each hash's least class. A family is one
+tile; a crowded one is cut by size band, where each class meets its own band and the next, and then by a grid of
+blocks. Each class goes to its tile with its sorted array, once for a small family.
 
-Second round. Tiles whose classes already are of one component are done: an aggregate finds and drops them, however
-large. Of the others equal ones are merged; crowded ones are cut by size band and then by a grid of blocks. Bitmaps
-alone travel; pairs of different components that pass the bound are intersected exactly. So every pair that could
-link is either intersected or already connected.
+Within a tile classes are sorted by size, and each is compared with those in its size range only, unless already
+linked to it. A hashed bitmap bounds the overlap from above: a bit set in one and not in the other is an element that
+they don't share. Only pairs that pass the bound are intersected exactly. Found components leave the tile as stars
+around their least class, never as pairs; connected components of all stars are the result.
 
 Defined results: null and empty texts have n_shingles 0 and link with nothing; each row is a document, so rows that
 repeat an id are all returned and share what their texts link to; other columns are ignored; an empty table gives an
@@ -42,8 +39,7 @@ from .kernels import U64, hashed_words, mix, shingle_hashes, signed, slices
 from .packed import unpack
 
 BUCKET_BYTES = 8 << 20
-CHUNK = 1024
-CROWDED = 2048
+CROWDED = 1024
 
 SIGNATURES = "doc_id long, n long, s1 long, s2 long, bucket int, keys binary, classes binary, counts binary"
 
@@ -129,8 +125,8 @@ def shared_keys(rows: pa.Table, buckets: int) -> pa.Table:
 
 
 def bitmap(elements: np.ndarray) -> np.ndarray:
-    """A hashed bitmap of a set, as 64-bit words: a power of two of bits, at least 256 and at least the set's size."""
-    bits = max(256, 1 << math.ceil(math.log2(max(1, len(elements)))))
+    """A hashed bitmap of a set, as 64-bit words: a power of two of bits, at least four for each element."""
+    bits = max(256, 1 << math.ceil(math.log2(4 * max(1, len(elements)))))
     out = np.zeros(bits, dtype=bool)
     out[(elements & U64(bits - 1)).astype(np.int64)] = True
     return np.packbits(out, bitorder="little").view(U64)
@@ -184,15 +180,22 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def first_round(rows: pa.Table, percent: int) -> pa.Table:
-    """a, b: the components of one tile or chunk, as stars around their least class."""
+def link_tile(rows: pa.Table, percent: int) -> pa.Table:
+    """a, b: the components of one tile or cell, as stars around their least class. ``own`` marks a band's own classes
+    (guests from the band below aren't compared with each other); in a cell off the diagonal (``off``) only different
+    blocks are compared."""
     rows = rows.sort_by([("n", "ascending"), ("c", "ascending")])
-    c = rows.column("c").to_numpy()
+    c, own, block, off = (rows.column(x).to_numpy() for x in ("c", "own", "block", "off"))
     arrays = [np.frombuffer(x.as_buffer(), U64) for x in rows.column("elements")]
-    tile = Tile(rows.column("n").to_numpy(), [np.frombuffer(x.as_buffer(), U64) for x in rows.column("bits")], percent)
+    tile = Tile(rows.column("n").to_numpy(), [bitmap(x) for x in arrays], percent)
     comp = np.arange(len(c))
     for i in range(len(c)):
-        for j in tile.candidates(i, comp != comp[i]):
+        open_ = comp != comp[i]
+        if not own[i]:
+            open_ &= own
+        if off[i]:
+            open_ &= block != block[i]
+        for j in tile.candidates(i, open_):
             if comp[i] != comp[j] and linked(overlap(arrays[i], arrays[j]), len(arrays[i]), len(arrays[j]), percent):
                 comp[comp == comp[j]] = comp[i]
     least = np.full(len(c), np.iinfo(np.int64).max)
@@ -201,42 +204,19 @@ def first_round(rows: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": c[keep], "b": least[comp][keep]})
 
 
-def second_round(rows: pa.Table, percent: int) -> pa.Table:
-    """a, b: pairs of different components that pass the bound. ``own`` marks the band's own classes (guests from the
-    band below aren't compared with each other); in a cell off the diagonal only different blocks are compared."""
-    rows = rows.sort_by([("n", "ascending"), ("c", "ascending")])
-    c, comp, own, block, off = (rows.column(x).to_numpy() for x in ("c", "comp", "own", "block", "off"))
-    tile = Tile(rows.column("n").to_numpy(), [np.frombuffer(x.as_buffer(), U64) for x in rows.column("bits")], percent)
-    a, b = [], []
-    for i in range(len(c)):
-        open_ = (comp != comp[i]) & (own | own[i])
-        if off[i]:
-            open_ &= block != block[i]
-        found = tile.candidates(i, open_)
-        a.append(np.full(len(found), c[i]))
-        b.append(c[found])
-    a, b = np.concatenate(a), np.concatenate(b)
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-
-def exact(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = ([np.frombuffer(x.as_buffer(), U64) for x in batch.column(k)] for k in ("left", "right"))
-        keep = pa.array([bool(linked(overlap(x, y), len(x), len(y), percent)) for x, y in zip(left, right, strict=True)], pa.bool_())
-        yield batch.select(["a", "b"]).filter(keep)
-
-
 def full_sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Sorted arrays and bitmaps of the texts that are of the class that is asked for; of repeated rows, one."""
+    """Sorted arrays of the texts that are of the class that is asked for; of repeated rows, one."""
     seen: set[int] = set()
     for batch, data, at in slices(batches):
-        out = []
-        for c, elements in zip(batch.column("c").to_pylist(), sets(data, at, size), strict=True):
+        rows, out = [], []
+        for i, (c, elements) in enumerate(zip(batch.column("c").to_pylist(), sets(data, at, size), strict=True)):
             if c not in seen and digest(elements)[0] == c:
                 seen.add(c)
-                out.append((c, len(elements), elements.tobytes(), bitmap(elements).tobytes()))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["c", "n", "elements", "bits"])
+                rows.append(i)
+                out.append((len(elements), elements.tobytes()))
+        if rows:
+            kept = batch.select(["c", "family", "m"]).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)]], names=["c", "family", "m", "n", "elements"])
 
 
 def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -249,36 +229,24 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     tiles = written(scan.filter("bucket IS NOT NULL").select("bucket", "keys", "classes", "counts").groupBy("bucket").applyInArrow(lambda t: shared_keys(t, buckets), "key long, c long, m int"), "tiles")
     forget(scan)
 
-    own = tiles.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("m", "key"))).alias("t"))
-    least = 1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)
-    own = own.join(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n"), "c").filter(F.size("t") >= least)
-    usual = F.expr("t[int(size(t) / 2)].m")
-    seat = F.element_at(F.filter("t", lambda x: x.m <= 1.5 * usual), -1)
-    best = written(own.select("c", "doc_id", seat.alias("t")).select("c", "doc_id", "t.key", F.ceil(F.col("t.m") / CHUNK).cast("int").alias("chunks")), "best")
-    arrays = written(given.join(best.select("c", "doc_id"), "doc_id").select("c", "text").mapInArrow(lambda it: full_sets(it, size), "c long, n long, elements binary, bits binary"), "sets")
-    chunked = best.withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"))
-    pivots = best.filter("chunks > 1").groupBy("key").agg(F.min("c").alias("c"), F.max("chunks").alias("chunks"))
-    pivots = pivots.select("c", "key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    seats = chunked.select("c", "key", "chunk").unionByName(pivots).distinct()
-    stars = seats.join(arrays, "c").groupBy("key", "chunk").applyInArrow(lambda t: first_round(t, percent), "a long, b long")
-    stars = written(stars, "stars")
-    labels = components(stars, "first")
-
-    kept = tiles.select("key", "c").join(best.select("c"), "c")
-    rows = written(kept.join(labels.withColumnRenamed("node", "c"), "c", "left").select("key", "c", F.coalesce("label", "c").alias("comp")), "open-tiles")
-    open_ = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("members"))
-    open_ = open_.filter("lo <> hi").groupBy("m", "members").agg(F.min("key").alias("key")).select("key", "m")
-    seated = rows.join(open_, "key").join(arrays.select("c", "n", "bits"), "c")
+    own = tiles.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("m", "key")), asc=False).alias("t"))
+    own = own.join(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n"), "c").withColumn("asked", (1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)).cast("int"))
+    own = own.filter(F.size("t") >= F.col("asked"))
+    kept = written(own.select("c", "doc_id", F.explode(F.slice("t", F.col("asked"), F.size("t"))).alias("k")).select("c", "doc_id", "k.key"), "kept")
+    edges = kept.select("c", "key").join(kept.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("m")).filter("m > 1"), "key").select(F.col("c").alias("a"), F.col("least").alias("b"))
+    families = components(edges, "families")
+    sized = families.join(families.groupBy("label").agg(F.count("*").cast("int").alias("m")), "label").select(F.col("node").alias("c"), F.col("label").alias("family"), "m")
+    wanted = written(kept.select("c", "doc_id").distinct().join(sized, "c"), "wanted")
+
+    arrays = given.join(wanted, "doc_id").select("c", "family", "m", "text").mapInArrow(lambda it: full_sets(it, size), "c long, family long, m int, n long, elements binary")
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9).cast("int")
-    guests = F.when(F.col("m") > CROWDED, F.array(F.struct(band.alias("band"), F.lit(True).alias("own")), F.struct((band + 1).alias("band"), F.lit(False).alias("own")))).otherwise(F.array(F.struct(F.lit(0).alias("band"), F.lit(True).alias("own"))))
-    side = F.ceil(F.col("m") / (2 * CROWDED)).cast("int")
-    cells = seated.withColumn("g", F.explode(guests)).withColumn("side", side).withColumn("block", F.pmod(F.xxhash64("c"), F.col("side")).cast("int"))
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1))).select("key", "c", "comp", "n", "bits", "g.band", "g.own", "block", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"))
-    cells = cells.withColumn("off", F.col("row") != F.col("col"))
-    pairs = cells.groupBy("key", "band", "row", "col").applyInArrow(lambda t: second_round(t, percent), "a long, b long").distinct()
-    met = pairs.join(arrays.select(F.col("c").alias("a"), F.col("elements").alias("left")), "a").join(arrays.select(F.col("c").alias("b"), F.col("elements").alias("right")), "b")
-    links = met.select("a", "b", "left", "right").mapInArrow(lambda it: exact(it, percent), "a long, b long")
-    final = components(stars.unionByName(links), "second")
+    seat = lambda band, own: F.struct(F.lit(band).cast("int").alias("band"), F.lit(own).alias("own"))
+    seats = F.when(F.col("m") > CROWDED, F.array(seat(band, True), seat(band + 1, False))).otherwise(F.array(seat(0, True)))
+    cells = arrays.withColumn("seat", F.explode(seats)).withColumn("side", F.ceil(F.col("m") / (4 * CROWDED)).cast("int")).withColumn("block", F.pmod(F.xxhash64("c"), F.col("side")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1))).withColumn("row", F.least("block", "other")).withColumn("col", F.greatest("block", "other"))
+    cells = cells.select("family", "c", "n", "elements", "seat.band", "seat.own", "block", "row", "col", (F.col("row") != F.col("col")).alias("off"))
+    stars = cells.groupBy("family", "band", "row", "col").applyInArrow(lambda t: link_tile(t, percent), "a long, b long")
+    final = components(stars, "links")
 
     named = classes.join(final.withColumnRenamed("node", "s1"), "s1", "left")
     least = named.filter("label IS NOT NULL").groupBy("label").agg(F.min("class_id").alias("component_id"))
