@@ -134,7 +134,8 @@ def scan(batches: Iterable[pa.RecordBatch], buckets: int, length: int, gram: int
 
 
 def judge_runs(rows: pa.Table, length: int) -> pa.Table:
-    """row_key, spans, open: of one bucket, spans of whole repeated runs, and runs whose windows are still open."""
+    """row_key, spans, open, bucket: of one bucket, spans of whole repeated runs, and runs whose windows are still open."""
+    bucket = rows.column("bucket")[0].as_py()
     core, run = unpack(rows, "core", U64), unpack(rows, "run", U64)
     row, start = unpack(rows, "row", np.int64), unpack(rows, "start", np.int64)
     count, known = unpack(rows, "count", np.uint8).astype(np.int64), unpack(rows, "known", np.uint8) > 0
@@ -150,8 +151,8 @@ def judge_runs(rows: pa.Table, length: int) -> pa.Table:
     spans = span_rows(row[done], start[done], start[done] + count[done] - 1 + length)
     open_ = new_run & (runs_of_core > 1)[of_core] & lone[of_core]
     left = span_rows_open(row[open_], start[open_], count[open_])
-    out = [(k, s, None) for k, s in spans] + [(k, None, s) for k, s in left]
-    return pa.Table.from_batches([record_batch(out, ["row_key", "spans", "open"], [pa.int64(), pa.binary(), pa.binary()])])
+    out = [(k, s, None, None) for k, s in spans] + [(k, None, s, bucket) for k, s in left]
+    return pa.Table.from_batches([record_batch(out, ["row_key", "spans", "open", "bucket"], [pa.int64(), pa.binary(), pa.binary(), pa.int32()])])
 
 
 def span_rows_open(rows: np.ndarray, start: np.ndarray, count: np.ndarray) -> list[tuple[int, bytes]]:
@@ -159,27 +160,25 @@ def span_rows_open(rows: np.ndarray, start: np.ndarray, count: np.ndarray) -> li
     return span_rows(rows, start, start + count)
 
 
-def windows(batches: Iterable[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
-    """Packed hashes of the open windows of each text."""
+def windows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Packed hashes of the open windows of each text, in the buckets of their cores: equal windows have equal cores."""
     for batch, data, at in slices(batches, most=SEGMENT):
-        hashes, rows, starts = [], [], []
-        for base in range(0, len(data), 4 * SEGMENT) if len(at) == 2 else (0,):
-            part = data[base : base + 4 * SEGMENT + length] if len(at) == 2 else data
-            hasher = Hasher(part)
+        alone = len(at) == 2
+        for base in range(0, len(data), 4 * SEGMENT) if alone else (0,):
+            hasher = Hasher(data[base : base + 4 * SEGMENT + length] if alone else data)
+            hashes, rows, starts, of = [], [], [], []
             for i, (key, packs) in enumerate(zip(batch.column("row_key").to_pylist(), batch.column("open").to_pylist(), strict=True)):
-                pairs = np.concatenate([np.frombuffer(p, np.int64) for p in packs]).reshape(-1, 2)
-                n = pairs[:, 1] - pairs[:, 0]
-                begin = np.unique(np.repeat(pairs[:, 0] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()))
-                if len(at) == 2:
-                    begin = begin[(begin >= base) & (begin < base + 4 * SEGMENT)] - base
-                here = begin + (0 if len(at) == 2 else at[i])
-                hashes.append(hasher(here, here + length))
-                rows.append(np.full(len(begin), key))
-                starts.append(begin + base)
-        hashes = np.concatenate(hashes)
-        packs = pack((hashes % U64(buckets)).astype(np.int32), [hashes, np.concatenate(rows), np.concatenate(starts)])
-        if packs:
-            yield record_batch(packs, ["bucket", "hash", "row", "start"], [pa.int32(), *[pa.binary()] * 3])
+                for pack_ in packs:
+                    for a, b in np.frombuffer(pack_["open"], np.int64).reshape(-1, 2):
+                        begin = np.arange(max(a, base), min(b, base + 4 * SEGMENT) if alone else b)
+                        here = begin - base if alone else begin + at[i]
+                        hashes.append(hasher(here, here + length))
+                        rows.append(np.full(len(begin), key))
+                        starts.append(begin)
+                        of.append(np.full(len(begin), pack_["bucket"], np.int32))
+            if hashes:
+                packs = pack(np.concatenate(of), [np.concatenate(hashes), np.concatenate(rows), np.concatenate(starts)])
+                yield record_batch(packs, ["bucket", "hash", "row", "start"], [pa.int32(), *[pa.binary()] * 3])
 
 
 def judge_windows(rows: pa.Table, length: int) -> pa.Table:
@@ -216,10 +215,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step
     given = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
     buckets = max(8, input_bytes(docs) // BUCKET_BYTES)
     scanned = written(given.select("row_key", "text").mapInArrow(lambda it: scan(it, buckets, length, gram, step), RUNS), "runs")
-    judged = written(scanned.filter("bucket IS NOT NULL").drop("row_key", "spans").groupBy("bucket").applyInArrow(lambda t: judge_runs(t, length), "row_key long, spans binary, open binary"), "judged")
-    left = judged.filter("open IS NOT NULL").groupBy("row_key").agg(F.collect_set("open").alias("open"))
+    judged = written(scanned.filter("bucket IS NOT NULL").drop("row_key", "spans").groupBy("bucket").applyInArrow(lambda t: judge_runs(t, length), "row_key long, spans binary, open binary, bucket int"), "judged")
+    left = judged.filter("open IS NOT NULL").groupBy("row_key").agg(F.collect_set(F.struct("open", "bucket")).alias("open"))
     met = given.join(left, "row_key").select("row_key", "text", "open")
-    found = met.mapInArrow(lambda it: windows(it, buckets, length), "bucket int, hash binary, row binary, start binary").groupBy("bucket").applyInArrow(lambda t: judge_windows(t, length), "row_key long, spans binary")
+    found = met.mapInArrow(lambda it: windows(it, length), "bucket int, hash binary, row binary, start binary").groupBy("bucket").applyInArrow(lambda t: judge_windows(t, length), "row_key long, spans binary")
     spans = scanned.filter("spans IS NOT NULL").select("row_key", "spans").unionByName(judged.filter("spans IS NOT NULL").select("row_key", "spans")).unionByName(found)
     spans = spans.groupBy("row_key").agg(F.collect_set("spans").alias("spans"))
     return given.join(spans, "row_key", "left").select("doc_id", "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
