@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bigrams, jaccard, lines, media, suffixes, urls, warc
+from . import bigrams, jaccard, leaks, lines, media, pieces, quality, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urls.op1_url_filters,
     "op2_ngram_jaccard": jaccard.op2_ngram_jaccard,
     "op3_media_columns": media.op3_media_columns,
     "op4_lm_scoring": bigrams.op4_lm_scoring,
+    "op5_sentencepiece": pieces.op5_sentencepiece,
+    "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_warc": warc.op7_warc,
+    "op8_decontamination": leaks.op8_decontamination,
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_line_dedup": lines.op10_line_dedup,
 }
