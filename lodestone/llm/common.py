@@ -45,3 +45,9 @@ def forget(df: DataFrame) -> None:
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of a frame's size: for tables, what their files hold. Only for choosing counts of partitions."""
     return max(1, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The side of a join that grows with the input: both sides are dealt out by key, and neither is broadcast however
+    small it is here, so the plan is the same at every size and skewed keys can be split."""
+    return df.hint("merge")

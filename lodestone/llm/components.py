@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dealt, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
     """node, neighbour, least: each directed edge with the least of the node and all its neighbours. The minimum is an
     aggregate with map-side combining, so a hub's edges never meet in one task."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), F.least("a", "m").alias("least"))
-    return edges.join(least, edges.a == least.of).drop("of")
+    return edges.join(dealt(least), edges.a == least.of).drop("of")
 
 
 def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import forget, input_bytes, table, written
+from .common import dealt, forget, input_bytes, table, written
 from .components import components
 from .kernels import U64, hashed_words, mix, shingle_hashes, signed, slices
 from .packed import unpack
@@ -230,15 +230,15 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     forget(scan)
 
     own = tiles.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("m", "key")), asc=False).alias("t"))
-    own = own.join(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n"), "c").withColumn("asked", (1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)).cast("int"))
+    own = own.join(dealt(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n")), "c").withColumn("asked", (1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)).cast("int"))
     own = own.filter(F.size("t") >= F.col("asked"))
     kept = written(own.select("c", "doc_id", F.explode(F.slice("t", F.col("asked"), F.size("t"))).alias("k")).select("c", "doc_id", "k.key"), "kept")
-    edges = kept.select("c", "key").join(kept.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("m")).filter("m > 1"), "key").select(F.col("c").alias("a"), F.col("least").alias("b"))
+    edges = kept.select("c", "key").join(dealt(kept.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("m")).filter("m > 1")), "key").select(F.col("c").alias("a"), F.col("least").alias("b"))
     families = components(edges, "families")
-    sized = families.join(families.groupBy("label").agg(F.count("*").cast("int").alias("m")), "label").select(F.col("node").alias("c"), F.col("label").alias("family"), "m")
-    wanted = written(kept.select("c", "doc_id").distinct().join(sized, "c"), "wanted")
+    sized = families.join(dealt(families.groupBy("label").agg(F.count("*").cast("int").alias("m"))), "label").select(F.col("node").alias("c"), F.col("label").alias("family"), "m")
+    wanted = written(kept.select("c", "doc_id").distinct().join(dealt(sized), "c"), "wanted")
 
-    arrays = given.join(wanted, "doc_id").select("c", "family", "m", "text").mapInArrow(lambda it: full_sets(it, size), "c long, family long, m int, n long, elements binary")
+    arrays = given.join(dealt(wanted), "doc_id").select("c", "family", "m", "text").mapInArrow(lambda it: full_sets(it, size), "c long, family long, m int, n long, elements binary")
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9).cast("int")
     seat = lambda band, own: F.struct(F.lit(band).cast("int").alias("band"), F.lit(own).alias("own"))
     seats = F.when(F.col("m") > CROWDED, F.array(seat(band, True), seat(band + 1, False))).otherwise(F.array(seat(0, True)))
@@ -248,10 +248,10 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     stars = cells.groupBy("family", "band", "row", "col").applyInArrow(lambda t: link_tile(t, percent), "a long, b long")
     final = components(stars, "links")
 
-    named = classes.join(final.withColumnRenamed("node", "s1"), "s1", "left")
+    named = classes.join(dealt(final.withColumnRenamed("node", "s1")), "s1", "left")
     least = named.filter("label IS NOT NULL").groupBy("label").agg(F.min("class_id").alias("component_id"))
-    named = written(named.join(least, "label", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "named")
-    out = each.join(named, ["n", "s1", "s2"], "left")
+    named = written(named.join(dealt(least), "label", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "named")
+    out = each.join(dealt(named), ["n", "s1", "s2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
