@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, written
+from .common import dealt, table, written
 from .kernels import LOWER, SPACE, U64, Hasher, signed, slices
 from .perfect_hash import PerfectHash
 
@@ -186,10 +186,10 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bro
         return docs.mapInArrow(lambda it: drop_by_probe(it, sent.value, least_chars), schema)
     salts = 8
     probes = seen.withColumn("shard", number).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).withColumn("index", F.lit(None).cast("binary"))
-    dealt = indexed.select(F.lit(0).cast("long").alias("hash"), F.lit(0).cast("long").alias("doc_id"), "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "index").unionByName(probes)
-    dealt = dealt.repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("index").isNull())
-    gone = dealt.mapInArrow(probe_dealt, "hash long, doc_id long").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("hash").alias("__drop"))
-    return docs.join(gone, docs.doc_id == gone["__id"], "left").drop("__id").mapInArrow(lambda it: drop_by_key(it, least_chars), schema)
+    rows = indexed.select(F.lit(0).cast("long").alias("hash"), F.lit(0).cast("long").alias("doc_id"), "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "index").unionByName(probes)
+    rows = rows.repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("index").isNull())
+    gone = rows.mapInArrow(probe_dealt, "hash long, doc_id long").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("hash").alias("__drop"))
+    return docs.join(dealt(gone), docs.doc_id == gone["__id"], "left").drop("__id").mapInArrow(lambda it: drop_by_key(it, least_chars), schema)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

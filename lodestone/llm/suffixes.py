@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import input_bytes, table, written
+from .common import dealt, input_bytes, table, written
 from .kernels import U64, Hasher, mix, signed, slices
 from .packed import pack, record_batch, unpack
 
@@ -217,11 +217,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step
     scanned = written(given.select("row_key", "text").mapInArrow(lambda it: scan(it, buckets, length, gram, step), RUNS), "runs")
     judged = written(scanned.filter("bucket IS NOT NULL").drop("row_key", "spans").groupBy("bucket").applyInArrow(lambda t: judge_runs(t, length), "row_key long, spans binary, open binary, bucket int"), "judged")
     left = judged.filter("open IS NOT NULL").groupBy("row_key").agg(F.collect_set(F.struct("open", "bucket")).alias("open"))
-    met = given.join(left, "row_key").select("row_key", "text", "open")
+    met = given.join(dealt(left), "row_key").select("row_key", "text", "open")
     found = met.mapInArrow(lambda it: windows(it, length), "bucket int, hash binary, row binary, start binary").groupBy("bucket").applyInArrow(lambda t: judge_windows(t, length), "row_key long, spans binary")
     spans = scanned.filter("spans IS NOT NULL").select("row_key", "spans").unionByName(judged.filter("spans IS NOT NULL").select("row_key", "spans")).unionByName(found)
     spans = spans.groupBy("row_key").agg(F.collect_set("spans").alias("spans"))
-    return given.join(spans, "row_key", "left").select("doc_id", "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return given.join(dealt(spans), "row_key", "left").select("doc_id", "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import dealt, table, written
 
 CHUNK_BYTES = 1 << 20
 LEAST_REVISIT = 1000
@@ -79,9 +79,9 @@ def write_archive(records: DataFrame, id_column: str = "page_id", url_column: st
     given = records.select(F.col(id_column).cast("long").alias("record_id"), F.col(url_column).alias("url"), F.coalesce(F.col(payload_column), F.lit("")).cast("binary").alias("payload"))
     marks = given.select("record_id", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("size"), F.xxhash64("payload").alias("check")).filter(F.col("size") >= least)
     groups = marks.groupBy("digest", "size", "check").agg(F.max("record_id").alias("response"), F.count("*").alias("copies")).filter("copies > 1").drop("copies")
-    found = marks.distinct().join(groups, ["digest", "size", "check"]).select("record_id", "digest", "response")
+    found = marks.distinct().join(dealt(groups), ["digest", "size", "check"]).select("record_id", "digest", "response")
     keyed = given.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("long"))
-    paired = keyed.join(found.filter("response != record_id"), ["record_id", "digest"], "left")
+    paired = keyed.join(dealt(found.filter("response != record_id")), ["record_id", "digest"], "left")
     return paired.withColumn("archive", F.spark_partition_id()).mapInArrow(lambda it: write_chunks(it, chunk_bytes), CHUNKS)
 
 
