@@ -60,9 +60,9 @@ def query_terms(x: Column | str) -> Column:
     return longest_first(F.array_distinct(F.flatten(split)))
 
 
-def matched(words: Column, body: Column) -> Column:
-    """The terms that the casefolded text has as substrings."""
-    folded = casefold(body)
+def matched(words: Column, folded: Column) -> Column:
+    """The terms that a casefolded text has as substrings. Fold a column below a join or an exchange: within the
+    lambda it would be folded for each term."""
     return F.filter(words, lambda t: F.contains(folded, t))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import content_lines, match_score, matched, query_terms, read_ranges, span, valid_ranges
+from ..functions.text import casefold, content_lines, match_score, matched, query_terms, read_ranges, span, valid_ranges
 
 WEIGHTS = {"document": 5, "title": 9, "path": 4, "content": 2}
 UNSETTLED = ("stale", "pending", "in_progress")
@@ -79,20 +79,22 @@ def locate(queries: DataFrame, documents: DataFrame, sections: DataFrame, top_do
     """Scores sections for questions by terms in the document's routing text, the title, the path and the content.
 
     queries: query_id, text. documents: document_path, routing, and text if ``content``. sections: document_path,
-    section_id, title, path_titles, content_ranges, ingest_status, source_filename. The best ``top_documents`` of each
+    section_id, title, path_titles, content_ranges, ingest_status, source_filename; or content itself for the ranges,
+    and then documents need no text. The best ``top_documents`` of each
     question are scored further, even at 0; a section needs a score over 0, and an unsettled one loses 3 after that.
     Returns query_id, document_path, section_id, score, document_score, matched terms, rank.
 
     Queries are a small stated set: their terms go to the documents, and only (query, document) scores are ranked."""
     asked = queries.select("query_id", query_terms("text").alias("terms"))
-    routed = documents.select("document_path", "routing").join(F.broadcast(asked)).withColumn("document_terms", matched(F.col("terms"), F.col("routing")))
+    routed = documents.select("document_path", casefold("routing").alias("routing")).join(F.broadcast(asked)).withColumn("document_terms", matched(F.col("terms"), F.col("routing")))
     routed = routed.select("query_id", "document_path", "terms", "document_terms", match_score(F.col("document_terms"), WEIGHTS["document"]).alias("document_score"))
     routed = routed.withColumn("__n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("document_score"), "document_path"))).filter(F.col("__n") <= max(1, top_documents)).drop("__n")
-    bodies = sections
-    if content:
+    bodies = sections.withColumnRenamed("content", "__content") if "content" in sections.columns else sections
+    if content and "content" not in sections.columns:
         texts = documents.select("document_path", content_lines("text").alias("__lines"))
         bodies = sections.join(texts, "document_path").withColumn("__content", read_ranges(F.col("__lines"), F.col("content_ranges"))).drop("__lines")
-    hit = routed.join(bodies, "document_path").withColumn("title_terms", matched(F.col("terms"), F.coalesce("title", F.lit("")))).withColumn("path_terms", matched(F.col("terms"), F.array_join("path_titles", " / ")))
+    bodies = bodies.withColumns({"__title": casefold(F.coalesce("title", F.lit(""))), "__path": casefold(F.array_join("path_titles", " / "))} | ({"__content": casefold("__content")} if content else {}))
+    hit = routed.join(bodies, "document_path").withColumn("title_terms", matched(F.col("terms"), F.col("__title"))).withColumn("path_terms", matched(F.col("terms"), F.col("__path")))
     hit = hit.withColumn("content_terms", matched(F.col("terms"), F.col("__content")) if content else F.array().cast("array<string>"))
     total = F.col("document_score") + match_score(F.col("title_terms"), WEIGHTS["title"]) + match_score(F.col("path_terms"), WEIGHTS["path"]) + match_score(F.col("content_terms"), WEIGHTS["content"])
     scored = hit.withColumn("score", total).filter("score > 0").withColumn("score", F.col("score") - F.when(F.col("ingest_status").isin(*UNSETTLED), 3).otherwise(0))

@@ -52,10 +52,10 @@ def audit_transitions(changes: DataFrame) -> DataFrame:
     """Adds violation to a batch of changes, null where a change is allowed.
 
     changes: from_status, to_status and, where there, expected_revision, revision, ingest_unit, outputs, notes,
-    qa_items, force. Checked in the order in which a single change would be refused."""
+    qa_items, force; what isn't there counts as not given. Checked in the order in which a single change would be refused."""
     has = set(changes.columns)
     force = F.coalesce(F.col("force"), F.lit(False)) if "force" in has else F.lit(False)
-    filled = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0 if c in has else F.lit(True)
+    filled = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0 if c in has else F.lit(False)
     allowed = F.lit(False)
     for a, to in TRANSITIONS.items():
         allowed = allowed | ((F.col("from_status") == a) & F.col("to_status").isin(*to))

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import OUTLINE_HEADING, page_number, prettify_tables
+from ..functions.text import OUTLINE_HEADING, content_lines, page_number, prettify_tables
 from ..model import AUXILIARY_BLOCKS
 
 RENDERED = "file string, markdown string, n_lines int, n_blocks int, max_page int"
@@ -57,8 +57,6 @@ def render(blocks: DataFrame) -> DataFrame:
 
 def headings(docs: DataFrame, source: str = "document_path", body: str = "markdown") -> DataFrame:
     """document, section_id, start_line, level, title, total_lines: what an outline is built from."""
-    from ..functions.text import content_lines
-
     each = docs.select(F.col(source).alias("document_path"), content_lines(body).alias("ls")).select("document_path", F.size("ls").alias("total_lines"), F.posexplode("ls").alias("i", "line"))
     found = each.withColumn("level", F.length(F.regexp_extract("line", OUTLINE_HEADING, 1))).filter("level > 0")
     number = F.row_number().over(Window.partitionBy("document_path").orderBy("i"))
@@ -67,8 +65,6 @@ def headings(docs: DataFrame, source: str = "document_path", body: str = "markdo
 
 def section_pages(docs: DataFrame, sections: DataFrame, source: str = "document_path", body: str = "markdown") -> DataFrame:
     """Distinct page anchors within each section's scope, with the page that is open at its start."""
-    from ..functions.text import content_lines
-
     anchors = docs.select(F.col(source).alias("document_path"), F.posexplode(content_lines(body)).alias("i", "line")).withColumn("page", F.regexp_extract("line", r"<!-- page (\d+) -->", 1)).filter("page <> ''").select("document_path", (F.col("i") + 1).alias("line"), F.col("page").cast("int").alias("page"))
     order = Window.partitionBy("document_path").orderBy("line")
     spans = anchors.withColumn("until", F.coalesce(F.lead("line").over(order) - 1, F.lit(2**31 - 1)))

@@ -3,7 +3,7 @@ over a document's lines; files are read whole by Spark's own reader, from any fi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import is_visible_markdown
@@ -68,8 +68,6 @@ def _cells(line: Column) -> Column:
 def tables(docs: DataFrame, source: str = "source", body: str = "content") -> DataFrame:
     """source, table_no, headers, rows: a header line, a separator, and the rows after it of equal width."""
     lines = docs.select(F.col(source).alias("source"), F.posexplode(content_lines(body)).alias("i", "line"))
-    from pyspark.sql import Window
-
     order = Window.partitionBy("source").orderBy("i")
     marked = lines.withColumn("is_row", F.trim("line").startswith("|")).withColumn("next", F.lead("line").over(order))
     head = F.col("is_row") & F.col("next").rlike(r"^\s*\|?\s*:?-{3,}:?\s*(\|\s*:?-{3,}:?\s*)*\|?\s*$")
