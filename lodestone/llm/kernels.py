@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text that one kernel call works on; a longer document is a call of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

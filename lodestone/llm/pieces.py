@@ -9,8 +9,8 @@ A model file compiles into three parts that are composed with each input:
   is the model's encoding, and costs decide nothing else;
 * byte fallback: a character that no piece covers puts out its UTF-8 bytes.
 
-The shortest path is taken in the tropical semiring (least sum), position by position. No arc crosses the place
-before a run of U+2581 (compiling checks this), so the input is composed word by word, and words that were seen before
+The shortest path is taken in the tropical semiring (least sum), position by position. Compiling finds places that no
+arc crosses, such as before a run of U+2581, so the input is composed word by word, and words that were seen before
 are read from a bounded cache. Texts of any length are encoded whole, in time in proportion to it.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; text that holds U+2581 itself decodes
@@ -26,18 +26,18 @@ import struct
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table
-from .packed import record_batch
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGES = 2
-CACHE, LONGEST_CACHED = 300_000, 48
+CACHE, LONGEST_CACHED = 200_000, 48
 INFINITY = float("inf")
 
 
@@ -100,15 +100,26 @@ class Transducer:
         # Of the trie's paths: the cost of the piece that merging gives there, else None.
         self.trie: dict[str, float | None] = {t[:n]: None for t in self.ids for n in range(1, len(t) + 1)}
         self.trie |= {t: -score for t, score in self.score.items() if len(self.merged(t)) == 1}
-        inner = {c for t in self.ids if len(t) > 1 for c in t}
-        alone = "".join(c for c in "\n\r\t" if c not in inner)
-        if any(re.search(f"[^{SPACE}]{SPACE}", t) for t in self.ids):
-            self.words = re.compile(r"(?s).+")
-        else:
-            self.words = re.compile(f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.words = self._splitter()
         self.output = [self._bytes(i) for i in range(len(self.texts))]
         self._stable: dict[tuple[str, str], bool] = {}
+        # Words seen of late, and those before them: common words move on from one to the other.
         self._cache: dict[str, array] = {}
+        self._older: dict[str, array] = {}
+
+    def _splitter(self) -> re.Pattern:
+        """Cuts a text where no piece crosses: before a run of U+2581, around characters that are in no longer piece,
+        and between a letter or digit and a sign (of ASCII) after it, unless a piece has a sign after that letter."""
+        long_ = [t for t in self.ids if len(t) > 1]
+        if any(re.search(f"[^{SPACE}]{SPACE}", t) for t in long_):
+            return re.compile(r"(?s).+")
+        inner = {c for t in long_ for c in t}
+        alone = re.escape("".join(c for c in "\n\r\t" if c not in inner))
+        signs = {c for c in map(chr, range(33, 127)) if not c.isalnum()}
+        sign = re.escape("".join(sorted(signs)))
+        odd = re.escape("".join(sorted({a for t in long_ for a, b in zip(t, t[1:], strict=False) if a.isalnum() and b in signs})))
+        rest = f"[^{SPACE}{sign}{alone}]+(?:(?<![^\\W_{odd}])[{sign}]+)?"
+        return re.compile("|".join(([f"[{alone}]"] if alone else []) + [f"{SPACE}*[{sign}]*(?:{rest})+", f"{SPACE}*[{sign}]+", f"{SPACE}+"]))
 
     def _bytes(self, i: int) -> bytes:
         if self.kinds[i] == BYTE:
@@ -176,36 +187,58 @@ class Transducer:
             self._stable[left, right] = known
         return known
 
-    def shortest_path(self, text: str) -> list[str]:
-        """The least-cost path of one word composed with the transducer. All segmentations of a stretch but its own
-        encoding cost infinity, so each position has one state: cost, position before, last piece."""
-        trie, known_stable, stable = self.trie, self._stable, self.stable
-        n = len(text)
-        states: list[tuple | None] = [None] * (n + 1)
-        states[0] = (0.0, 0, "")
-        for i in range(n):
-            if states[i] is None:
-                continue
-            total, _, last = states[i]
-            for j in range(i + 1, n + 1):
-                piece = text[i:j]
-                cost = trie.get(piece, INFINITY)
-                if states[j] is None:
-                    arc = 0.0 if j == i + 1 and (cost is None or cost == INFINITY) else cost  # byte fallback
-                    if arc is not None and arc != INFINITY:
-                        ok = True if not last else known_stable.get((last, piece))
-                        if ok or ok is None and stable(last, piece):
-                            states[j] = (total + arc, i, piece)
+    def forget(self) -> None:
+        """Drops the caches, so that an idle worker holds no memory for them."""
+        self._cache, self._older, self._stable, self._edges = {}, {}, {}, {}
+
+    def arcs(self, text: str, i: int) -> list[int]:
+        """Ends of the arcs that leave a position, shortest first; a character that no piece covers has one."""
+        trie, out = self.trie, []
+        for j in range(i + 1, len(text) + 1):
+            cost = trie.get(text[i:j], INFINITY)
+            if cost is not None:
                 if cost == INFINITY:
                     break
-        at, path = n, []
-        while at:
-            _, at, piece = states[at]
-            path.append(piece)
-        return path[::-1]
+                out.append(j)
+        if not out or out[0] != i + 1:
+            out.insert(0, i + 1)  # byte fallback
+        return out
+
+    def shortest_path(self, text: str) -> list[str]:
+        """The least-cost path of one word composed with the transducer.
+
+        The only path of finite cost to a position is the encoding of what is before it, so each position has one
+        state, and the search goes depth first, along the longest arc; a position from which no path of finite cost
+        leads on is never entered again."""
+        known_stable, stable = self._stable, self.stable
+        n, at, last = len(text), 0, ""
+        path: list[str] = []
+        open_ = [self.arcs(text, 0)]
+        places, dead = [0], set()
+        while at < n:
+            ends = open_[-1]
+            if not ends:
+                dead.add(at)
+                open_.pop()
+                places.pop()
+                path.pop()
+                at, last = places[-1], path[-1] if path else ""
+                continue
+            j = ends.pop()
+            if j in dead:
+                continue
+            piece = text[at:j]
+            ok = known_stable.get((last, piece)) if last else True
+            if ok or ok is None and stable(last, piece):
+                path.append(piece)
+                places.append(j)
+                at, last = j, piece
+                if j < n:
+                    open_.append(self.arcs(text, j))
+        return path
 
     def word_ids(self, word: str) -> array:
-        found = self._cache.get(word)
+        found = self._cache.get(word) or self._older.get(word)
         if found is None:
             found = array("i")
             for piece in self.shortest_path(word):
@@ -215,18 +248,17 @@ class Transducer:
                     found.extend(self.byte_ids[b] for b in piece.encode())
                 else:
                     found.append(self.unknown)
-            if len(word) <= LONGEST_CACHED:
-                if len(self._cache) >= CACHE:
-                    self._cache.clear()
-                self._cache[word] = found
+        if len(word) <= LONGEST_CACHED:
+            if len(self._cache) >= CACHE:
+                self._cache, self._older = {}, self._cache
+            self._cache[word] = found
         return found
 
     def encode(self, text: str) -> array:
         out = array("i")
         if text:
-            cached = self._cache.get
             for word in self.words.findall(self.prefix + text.replace(" ", SPACE)):
-                out += cached(word) or self.word_ids(word)
+                out += self._cache.get(word) or self.word_ids(word)
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -239,7 +271,7 @@ _compiled: dict[bytes, Transducer] = {}
 
 
 def compiled(model: bytes) -> Transducer:
-    """A worker compiles a model once and keeps its cache from task to task."""
+    """A worker compiles a model once, for all its tasks."""
     key = hashlib.sha256(model).digest()
     if key not in _compiled:
         _compiled.clear()
@@ -259,7 +291,7 @@ def _sent(spark: SparkSession, path: str | None) -> Callable[[], Transducer]:
     return lambda: compiled(sent.value)
 
 
-def _parts(batch: pa.RecordBatch, column: str, size: int = 2000) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, size: int = 500) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, size):
         yield batch.slice(at, size)
 
@@ -271,16 +303,17 @@ def encode_pieces(docs: DataFrame, model_path: str | None = None, text_column: s
     docs = docs.drop("ids")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = get().encode
+        model = get()
         for batch in batches:
-            for part in _parts(batch, text_column):
-                ids = [encode(t.as_py() or "") for t in part.column(text_column)]
+            for part in _parts(batch):
+                ids = [model.encode(t.as_py() or "") for t in part.column(text_column)]
                 ends = pa.array([0, *_running(map(len, ids))], pa.int32())
                 flat = array("i")
                 for x in ids:
                     flat += x
                 values = pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(ends, values)], names=[*part.schema.names, "ids"])
+        model.forget()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
@@ -293,33 +326,26 @@ def _running(sizes: Iterable[int]) -> Iterator[int]:
 
 
 def decode_pieces(encoded: DataFrame, model_path: str | None = None, ids_column: str = "ids") -> DataFrame:
-    """All columns of the frame, and decoded (string)."""
+    """All columns of the frame, decoded (string) and ids_sha256 (hex, of the ids as 32-bit little-endian integers)."""
     get = _sent(encoded.sparkSession, model_path)
-    encoded = encoded.drop("decoded")
+    encoded = encoded.drop("decoded", "ids_sha256")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = get().decode
         for batch in batches:
-            for part in _parts(batch, ids_column):
-                texts = [decode(x.values.to_numpy().tolist() if x.is_valid else ()) for x in part.column(ids_column)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
-
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
-
+            for part in _parts(batch):
+                ids = [x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32) for x in part.column(ids_column)]
+                texts = [decode(x.tolist()) for x in ids]
+                hashes = [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string()), pa.array(hashes, pa.string())], names=[*part.schema.names, "decoded", "ids_sha256"])
 
-def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for doc, text, ids, decoded in zip(*[batch.column(c) for c in ("doc_id", "text", "ids", "decoded")], strict=True):
-            raw = ids.values.to_numpy().astype("<i4").tobytes()
-            back = decoded.as_py()
-            out.append((doc.as_py(), len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), back == (text.as_py() or "")))
-        yield record_batch(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"], [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()])
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType()), T.StructField("ids_sha256", T.StringType())]))
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode_pieces(encode_pieces(docs)).mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean")
+    out = decode_pieces(encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), same.alias("round_trip"))
 
 
 SQL = None
