@@ -43,8 +43,10 @@ def forget(df: DataFrame) -> None:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of a frame's size: for tables, what their files hold. Only for choosing counts of partitions."""
-    return max(1, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+    """Catalyst's estimate of a frame's size: for tables, what their files hold. Where it knows none, as many shuffle
+    partitions of 32 MB as the session has. Only for choosing counts of partitions."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, size) if size < 1 << 58 else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) << 25
 
 
 def dealt(df: DataFrame) -> DataFrame:

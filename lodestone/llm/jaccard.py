@@ -19,8 +19,8 @@ they don't share. Only pairs that pass the bound are intersected exactly. Found
 around their least class, never as pairs; connected components of all stars are the result.
 
 Defined results: null and empty texts have n_shingles 0 and link with nothing; each row is a document, so rows that
-repeat an id are all returned and share what their texts link to; other columns are ignored; an empty table gives an
-empty result.
+repeat an id are all returned and share what their texts link to; a row with a null id is in the class of its text and
+links with nothing else; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -148,7 +148,7 @@ def encode(payloads: list[np.ndarray]) -> list[bytes]:
         numbers.append(np.arange(n))
     blocks, lengths, numbers = np.concatenate(parts), np.concatenate(lengths), np.concatenate(numbers)
     first = np.concatenate(([0], np.cumsum(lengths)))
-    scans, bounds, step = [], [np.zeros(1, np.int64)], PASS // BLOCK // INTERVAL
+    scans, bounds, step = [], [np.zeros(1, np.int64)], max(1, PASS // BLOCK // INTERVAL)
     for i in range(0, len(lengths), step):
         j = min(len(lengths), i + step)
         data, ends = encode_intervals(blocks[first[i] : first[j]], first[i : j + 1] - first[i], numbers[i:j])

@@ -10,7 +10,8 @@ The shards are broadcast while their bytes stay under a checked bound. Beyond it
 salt, and each task loads one shard at a time.
 
 Defined results: a null or empty text is one empty line; each row is a document of its own, so rows that repeat an id
-count one by one and all of them keep the line if theirs is the largest id; all lines that one document has of a key
+count one by one and all of them keep the line if theirs is the largest id; rows with a null id keep all lines and
+aren't counted; all lines that one document has of a key
 stay or go together; a document that loses all lines has the empty text; other columns pass unchanged (but n_lines
 and n_dropped, which are set here).
 """

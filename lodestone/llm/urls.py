@@ -6,7 +6,8 @@ the same key boundaries; each part is sorted and swept once, with a stack of the
 A rule that spans several parts is repeated in each of them; a page is read once and never multiplied.
 
 Defined results: a null url, or one without ``://``, has empty host and path; no rule fits an empty host (but for
-rules with an empty host, which fit every url); equal rules collapse and block wins over allow; repeated pages are
+rules with an empty host, which fit every url); equal rules collapse and block wins over allow; of different rules of
+one length the longer host wins; repeated pages are
 judged one by one; no rules give the default verdict; other columns of either table are ignored.
 """
 
@@ -85,7 +86,7 @@ def sweep(batches: Iterable[pa.RecordBatch], default: str) -> Iterator[pa.Record
                 entry.close()
             fresh = []
             found = [x for entry in stack if (x := entry.longest(path))]
-            best = max(found, key=lambda x: len(x[0]), default=(None, default))
+            best = max(reversed(found), key=lambda x: len(x[0]), default=(None, default))
             out.append((row_id, host, path, *best))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), *[pa.string()] * 4), strict=True)], names=["row_id", "host", "path", "rule", "verdict"])

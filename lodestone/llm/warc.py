@@ -1,7 +1,8 @@
 """WARC archives as a chunked record table.
 
-An archive is a table of rows (archive, record_id, chunk_no, last, header, data, digest): the chunks of a record in
-order, its header first, are the record's bytes, and the records of an archive in order are a WARC/1.1 file. A payload
+An archive is a table of rows (archive, number, record_id, chunk_no, last, header, data, digest): the chunks of a
+record in order, its header first, are the record's bytes, and the records of an archive in order of their numbers are
+a WARC/1.1 file. A payload
 over ``chunk_bytes`` is streamed as several rows, each with the SHA-1 of the payload so far, so neither the writer's
 output nor the reader ever holds a whole oversized record; the reader carries one digest from chunk to chunk.
 
@@ -24,8 +25,8 @@ from .common import dealt, table, written
 CHUNK_BYTES = 1 << 20
 LEAST_REVISIT = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-CHUNKS = "archive int, record_id long, chunk_no int, last boolean, header string, data binary, digest string"
-_ARROW = pa.schema([("archive", pa.int32()), ("record_id", pa.int64()), ("chunk_no", pa.int32()), ("last", pa.bool_()), ("header", pa.string()), ("data", pa.binary()), ("digest", pa.string())])
+CHUNKS = "archive int, number long, record_id long, chunk_no int, last boolean, header string, data binary, digest string"
+_ARROW = pa.schema([("archive", pa.int32()), ("number", pa.int64()), ("record_id", pa.int64()), ("chunk_no", pa.int32()), ("last", pa.bool_()), ("header", pa.string()), ("data", pa.binary()), ("digest", pa.string())])
 
 
 def record_header(record_id: int, url: str | None, kind: str, digest: str, size: int, refers_to: int | None) -> str:
@@ -52,6 +53,7 @@ def parse_header(text: str) -> dict[str, str]:
 
 
 def write_chunks(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+    number = 0
     for batch in batches:
         rows: list[tuple] = []
         held = 0
@@ -64,11 +66,12 @@ def write_chunks(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterato
             for no, at in enumerate(range(0, max(len(body), 1), chunk_bytes)):
                 piece = body[at : at + chunk_bytes]
                 state.update(piece)
-                rows.append((archive.as_py(), record_id, no, at + chunk_bytes >= len(body), None if no else header, bytes(piece), state.hexdigest()))
+                rows.append((archive.as_py(), number, record_id, no, at + chunk_bytes >= len(body), None if no else header, bytes(piece), state.hexdigest()))
                 held += len(piece)
                 if held >= 8 * chunk_bytes:
                     yield pa.RecordBatch.from_pylist([dict(zip(_ARROW.names, r, strict=True)) for r in rows], _ARROW)
                     rows, held = [], 0
+            number += 1
         if rows:
             yield pa.RecordBatch.from_pylist([dict(zip(_ARROW.names, r, strict=True)) for r in rows], _ARROW)
 
@@ -118,13 +121,13 @@ def read_archive(chunks: DataFrame) -> DataFrame:
     result = "record_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     whole = (F.col("chunk_no") == 0) & F.col("last")
     alone = chunks.filter(whole).mapInArrow(read_chunks, result)
-    streamed = chunks.filter(~whole).repartition("record_id", "archive").sortWithinPartitions("record_id", "archive", "chunk_no").mapInArrow(read_chunks, result)
+    streamed = chunks.filter(~whole).repartition("archive", "number").sortWithinPartitions("archive", "number", "chunk_no").mapInArrow(read_chunks, result)
     return alone.unionByName(streamed)
 
 
 def warc_bytes(chunks: DataFrame) -> Iterator[bytes]:
     """The archive as the bytes of a WARC file, streamed to the caller chunk by chunk."""
-    for row in chunks.orderBy("archive", "record_id", "chunk_no").toLocalIterator():
+    for row in chunks.orderBy("archive", "number", "chunk_no").toLocalIterator():
         if row.header is not None:
             yield row.header.encode()
         yield bytes(row.data)
