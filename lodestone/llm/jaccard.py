@@ -248,9 +248,9 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     stars = cells.groupBy("family", "band", "row", "col").applyInArrow(lambda t: link_tile(t, percent), "a long, b long")
     final = components(stars, "links")
 
-    named = classes.join(dealt(final.withColumnRenamed("node", "s1")), "s1", "left")
-    least = named.filter("label IS NOT NULL").groupBy("label").agg(F.min("class_id").alias("component_id"))
-    named = written(named.join(dealt(least), "label", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "named")
+    least = final.join(dealt(classes.select(F.col("s1").alias("node"), "class_id")), "node").groupBy("label").agg(F.min("class_id").alias("component_id"))
+    ids = final.join(dealt(least), "label").select(F.col("node").alias("s1"), "component_id")
+    named = written(classes.join(dealt(ids), "s1", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "named")
     out = each.join(dealt(named), ["n", "s1", "s2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
