@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 TOKEN = r"[a-z0-9_]+|[㐀-鿿]"
 TERM = r"(?U)[\w㐀-鿿]+"
 QUERY_TOKEN = r"[A-Za-z]+\d*[A-Za-z0-9._/-]*|\d+[A-Za-z][A-Za-z0-9._/-]*|\d+(?:\.\d+)?|[㐀-鿿]+"
-UNIT = r"(?U)[\w]+|\s+|[^\w\s]"
+UNIT = r"(?U)[㐀-鿿]|[\w&&[^㐀-鿿]]+|\s+|[^\w\s]"
 CJK_RUN = r"^[㐀-鿿]+$"
 HEADING = r"^(#{1,6})\s+(.*)"
 OUTLINE_HEADING = r"^(#{1,6})\s+(.+?)\s*$"

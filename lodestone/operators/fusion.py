@@ -55,7 +55,7 @@ def drop_near_duplicates(ranked: DataFrame, threshold: float = 0.7, ignored: Ite
     return ranked.join(kept, ["query_id", "rank"], "left_semi")
 
 
-def cap_by_parent(ranked: DataFrame, most: int = 2, parent: str = "parent_id") -> DataFrame:
+def cap_by_parent(ranked: DataFrame, most: int = 1, parent: str = "parent_id") -> DataFrame:
     """At most so many rows of each parent, the best ranked; Catalyst cuts the groups before the shuffle."""
     return rank_within(ranked, ["query_id", parent], "rank", name="__n").filter(F.col("__n") <= most).drop("__n")
 

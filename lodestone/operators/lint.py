@@ -132,7 +132,7 @@ def filled(frontmatter: Column, key: str) -> Column:
 
 def bundle_ids(frontmatter: Column, body: Column) -> tuple[Column, Column]:
     """Bundles that the front matter names, and those with the ones that the text names."""
-    own = F.coalesce(F.filter(F.transform(frontmatter["source_bundle_id"], F.trim), lambda v: v != ""), F.array().cast("array<string>"))
+    own = F.coalesce(F.filter(F.transform(frontmatter["source_bundle_id"], lambda x: F.trim(x)), lambda v: v != ""), F.array().cast("array<string>"))
     return own, F.array_distinct(F.concat(own, F.regexp_extract_all(body, F.lit(BUNDLE_ID), F.lit(0))))
 
 

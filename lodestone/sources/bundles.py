@@ -9,18 +9,18 @@ from ..functions.paths import normalised
 from ..model import RANGES
 
 SECTION_DDL = f"id string, section_id string, title string, level int, parent string, path array<string>, path_titles array<string>, start_line int, end_line int, content_ranges {RANGES}, pages array<int>, assets array<string>, quality string, status string, ingest_status string, content_sha256 string, content_hash string, ingest_unit boolean, outputs array<string>, qa_items array<string>, notes array<string>"
-MANIFEST_DDL = "schema_version string, source struct<filename:string,sha256:string>, document struct<path:string>, outline struct<path:string>, validation struct<status:string>, _corrupt_record string"
-OUTLINE_DDL = f"sections array<struct<{', '.join(f.replace(' ', ':', 1) for f in ('id string', 'title string', 'level int', 'parent string', 'path array<string>', 'start_line int', 'end_line int', 'pages array<int>', 'assets array<string>', 'quality string'))}>>, _corrupt_record string"
+MANIFEST_DDL = "schema_version string, source struct<filename:string,sha256:string>, document struct<path:string>, outline struct<path:string>, validation struct<status:string>"
+OUTLINE_DDL = f"sections array<struct<{', '.join(f.replace(' ', ':', 1) for f in ('id string', 'title string', 'level int', 'parent string', 'path array<string>', 'start_line int', 'end_line int', 'pages array<int>', 'assets array<string>', 'quality string'))}>>"
 
 
 def json_files(spark: SparkSession, root: str, glob: str, schema: str, drop_broken: bool = True) -> DataFrame:
     """One row for each JSON file below the root: path, directory, the schema's columns. Broken files are skipped, or
     kept with their text in _corrupt_record."""
-    if "_corrupt_record" not in schema:
-        schema += ", _corrupt_record string"
-    rows = spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("columnNameOfCorruptRecord", "_corrupt_record").json(root)
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root, wholetext=True)
     path = F.url_decode(F.col("_metadata.file_path"))
-    found = rows.select(path.alias("file"), F.element_at(F.split(path, "/"), -2).alias("directory"), "*")
+    clean = F.regexp_replace("value", "^\ufeff", "")
+    whole = F.try_parse_json(clean).isNotNull() & F.ltrim(clean).startswith("{")
+    found = rows.select(path.alias("file"), F.element_at(F.split(path, "/"), -2).alias("directory"), F.from_json(clean, schema).alias("j"), F.when(~whole, clean).alias("_corrupt_record")).select("file", "directory", "j.*", "_corrupt_record")
     return found.filter("_corrupt_record IS NULL").drop("_corrupt_record") if drop_broken else found
 
 
@@ -69,7 +69,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Content blocks of a list, or of an object that holds one under content_list, data or items; in order."""
     block = "struct<type:string,text:string,text_level:int,page_idx:string,bbox:array<double>,img_path:string,image_caption:array<string>,table_caption:array<string>,table_body:string,list_items:array<string>,code_body:string>"
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    lists = F.coalesce(F.from_json("value", f"array<{block}>"), *[F.from_json("value", f"struct<{k}:array<{block}>>")[k] for k in ("content_list", "data", "items")])
+    keyed = F.coalesce(*[F.from_json("value", f"struct<{k}:array<{block}>>")[k] for k in ("content_list", "data", "items")])
+    lists = F.when(F.ltrim("value").startswith("["), F.from_json("value", f"array<{block}>")).otherwise(keyed)
     return raw.select("file", F.posexplode(lists).alias("ordinal", "b")).select("file", "ordinal", "b.*")
 
 

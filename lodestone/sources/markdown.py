@@ -62,7 +62,7 @@ def body_text(body: Column | str) -> Column:
 
 
 def _cells(line: Column) -> Column:
-    return F.transform(F.split(F.regexp_replace(F.trim(line), r"^\||\|$", ""), r"(?<!\\)\|"), F.trim)
+    return F.transform(F.split(F.regexp_replace(F.trim(line), r"^\||\|$", ""), r"(?<!\\)\|"), lambda x: F.trim(x))
 
 
 def tables(docs: DataFrame, source: str = "source", body: str = "content") -> DataFrame:
@@ -81,7 +81,7 @@ def tables(docs: DataFrame, source: str = "source", body: str = "content") -> Da
 
 def links(body: Column | str) -> Column:
     """Targets of wikilinks, without label and anchor; distinct, in order."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(F.col(body) if isinstance(body, str) else body, F.lit(WIKILINK), F.lit(1)), F.trim))
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.col(body) if isinstance(body, str) else body, F.lit(WIKILINK), F.lit(1)), lambda x: F.trim(x)))
 
 
 def tasks(docs: DataFrame, source: str = "source", body: str = "content") -> DataFrame:
