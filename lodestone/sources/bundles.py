@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import normalised
 from ..model import RANGES
+from .files import folders
 
 SECTION_DDL = f"id string, section_id string, title string, level int, parent string, path array<string>, path_titles array<string>, start_line int, end_line int, content_ranges {RANGES}, pages array<int>, assets array<string>, quality string, status string, ingest_status string, content_sha256 string, content_hash string, ingest_unit boolean, outputs array<string>, qa_items array<string>, notes array<string>"
 MANIFEST_DDL = "schema_version string, source struct<filename:string,sha256:string>, document struct<path:string>, outline struct<path:string>, validation struct<status:string>"
@@ -16,7 +17,7 @@ OUTLINE_DDL = f"sections array<struct<{', '.join(f.replace(' ', ':', 1) for f in
 def json_files(spark: SparkSession, root: str, glob: str, schema: str, drop_broken: bool = True) -> DataFrame:
     """One row for each JSON file below the root: path, directory, the schema's columns. Broken files are skipped, or
     kept with their text in _corrupt_record."""
-    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root, wholetext=True)
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(folders(spark, root), wholetext=True)
     path = F.url_decode(F.col("_metadata.file_path"))
     clean = F.regexp_replace("value", "^\ufeff", "")
     whole = F.try_parse_json(clean).isNotNull() & F.ltrim(clean).startswith("{")

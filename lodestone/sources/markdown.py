@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import is_visible_markdown
 from ..functions.text import WIKILINK, content_lines, empty, sha256
+from .files import folders
 
 DEFAULT_PATTERNS = (r"\.md$",)
 
 
 def scan(spark: SparkSession, root: str, patterns: tuple[str, ...] = DEFAULT_PATTERNS) -> DataFrame:
     """source (path below the root), content, sha256, of visible Markdown files that any pattern finds; each once."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(root, wholetext=True)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(folders(spark, root), wholetext=True)
     path = F.regexp_replace(F.url_decode(F.col("_metadata.file_path")), r"^[a-z]+:/*(?=/)", "")
     base = root.rstrip("/").removeprefix("file://")
     found = files.select(F.regexp_replace(F.replace(path, F.lit(base), F.lit("")), "^/+", "").alias("source"), F.regexp_replace("value", "^﻿", "").alias("content"))

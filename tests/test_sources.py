@@ -15,7 +15,7 @@ NOTE = '---\ntype: "knowledge-card"\nstatus: active\n# note\ndomains:\n  - x\n
 
 @pytest.fixture
 def vault(tmp_path):
-    for path, body in {"30_Cards/a.md": NOTE, "30_Cards/Other.MD": "no matter", "30_Cards/other.md": "plain", ".hidden/b.md": "x", "30_Cards/~tmp/c.md": "x", "30_Cards/d.txt": "x", "40/open.md": "---\ntype: a\nnever closed"}.items():
+    for path, body in {"30_Cards/a.md": NOTE, "30_Cards/Other.MD": "no matter", "30_Cards/other.md": "plain", ".hidden/b.md": "x", "30_Cards/~tmp/c.md": "x", "30_Cards/d.txt": "x", "_system/reports/r.md": "plain", "40/open.md": "---\ntype: a\nnever closed"}.items():
         file = tmp_path / path
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_text(body)
@@ -24,7 +24,7 @@ def vault(tmp_path):
 
 def test_scan_and_parse(spark, vault):
     docs = markdown.scan(spark, str(vault))
-    assert sorted(r.source for r in docs.collect()) == ["30_Cards/a.md", "30_Cards/other.md", "40/open.md"]
+    assert sorted(r.source for r in docs.collect()) == ["30_Cards/a.md", "30_Cards/other.md", "40/open.md", "_system/reports/r.md"]
     notes = {r.path: r for r in markdown.governed(docs).collect()}
     assert notes["30_Cards/a.md"].frontmatter == {"type": ["knowledge-card"], "status": ["active"], "domains": ["x", "y z"], "tags": ["a", "b"], "empty": []}
     assert notes["30_Cards/a.md"].body.startswith("Body [[Other") and notes["30_Cards/a.md"].links == ["Other", "sub/Third"]
