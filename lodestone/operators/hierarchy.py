@@ -2,13 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import casefold, content_lines, match_score, matched, query_terms, read_ranges, span, valid_ranges
 
 WEIGHTS = {"document": 5, "title": 9, "path": 4, "content": 2}
 UNSETTLED = ("stale", "pending", "in_progress")
+#: Distinct terms of a set of questions that one pass looks for; more are tested question by question.
+MOST_TERMS = 200_000
+
+
+def terms_within(rows: DataFrame, words: list[str], body: str) -> DataFrame:
+    """Adds ``__found``: which of the words each text has as substrings, by one pass of an automaton over it."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for word in words:
+            automaton.add_word(word, word)
+        if words:
+            automaton.make_automaton()
+        for batch in batches:
+            found = [list({w for _, w in automaton.iter(t.as_py() or "")}) if words else [] for t in batch.column(body)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "__found"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("__found", T.ArrayType(T.StringType()))])).drop(body)
+
+
+def has_automaton() -> bool:
+    try:
+        import ahocorasick  # noqa: F401
+    except ImportError:
+        return False
+    return True
 
 
 def outline(headings: DataFrame, document: str = "document_path") -> DataFrame:
@@ -84,7 +116,8 @@ def locate(queries: DataFrame, documents: DataFrame, sections: DataFrame, top_do
     question are scored further, even at 0; a section needs a score over 0, and an unsettled one loses 3 after that.
     Returns query_id, document_path, section_id, score, document_score, matched terms, rank.
 
-    Queries are a small stated set: their terms go to the documents, and only (query, document) scores are ranked."""
+    Queries are a small stated set: their terms go to the documents, each text is searched once for all of them, and
+    only (query, document) scores are ranked."""
     asked = queries.select("query_id", query_terms("text").alias("terms"))
     routed = documents.select("document_path", casefold("routing").alias("routing")).join(F.broadcast(asked)).withColumn("document_terms", matched(F.col("terms"), F.col("routing")))
     routed = routed.select("query_id", "document_path", "terms", "document_terms", match_score(F.col("document_terms"), WEIGHTS["document"]).alias("document_score"))
@@ -94,8 +127,16 @@ def locate(queries: DataFrame, documents: DataFrame, sections: DataFrame, top_do
         texts = documents.select("document_path", content_lines("text").alias("__lines"))
         bodies = sections.join(texts, "document_path").withColumn("__content", read_ranges(F.col("__lines"), F.col("content_ranges"))).drop("__lines")
     bodies = bodies.withColumns({"__title": casefold(F.coalesce("title", F.lit(""))), "__path": casefold(F.array_join("path_titles", " / "))} | ({"__content": casefold("__content")} if content else {}))
-    hit = routed.join(bodies, "document_path").withColumn("title_terms", matched(F.col("terms"), F.col("__title"))).withColumn("path_terms", matched(F.col("terms"), F.col("__path")))
-    hit = hit.withColumn("content_terms", matched(F.col("terms"), F.col("__content")) if content else F.array().cast("array<string>"))
+    in_content = F.array().cast("array<string>")
+    if content:
+        in_content = matched(F.col("terms"), F.col("__content"))
+        words = asked.select(F.explode("terms").alias("t")).distinct()
+        if has_automaton() and (n := words.limit(MOST_TERMS + 1).count()) <= MOST_TERMS:
+            bodies = terms_within(bodies, sorted(r.t for r in words.collect()) if n else [], "__content")
+            in_content = F.array_intersect("terms", "__found")
+    found = F.struct(matched(F.col("terms"), F.col("__title")).alias("title_terms"), matched(F.col("terms"), F.col("__path")).alias("path_terms"), in_content.alias("content_terms"))
+    # A generator of one row: what it gives is computed once, though the filter, the score and the result all use it.
+    hit = routed.join(bodies, "document_path").select("query_id", "document_path", "section_id", "source_filename", "ingest_status", "document_score", "document_terms", F.inline(F.array(found)))
     total = F.col("document_score") + match_score(F.col("title_terms"), WEIGHTS["title"]) + match_score(F.col("path_terms"), WEIGHTS["path"]) + match_score(F.col("content_terms"), WEIGHTS["content"])
     scored = hit.withColumn("score", total).filter("score > 0").withColumn("score", F.col("score") - F.when(F.col("ingest_status").isin(*UNSETTLED), 3).otherwise(0))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "source_filename", "section_id")
