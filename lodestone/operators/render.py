@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import OUTLINE_HEADING, content_lines, page_number, prettify_tables
 from ..model import AUXILIARY_BLOCKS
+from .headings import base_id, unique_ids
 
 RENDERED = "file string, markdown string, n_lines int, n_blocks int, max_page int"
 
@@ -34,7 +35,7 @@ def render(blocks: DataFrame) -> DataFrame:
             listed = lambda k: [str(x) for x in r[k]] if r.get(k) is not None else []  # noqa: B023, E731
             if r["page"] != page:
                 page = r["page"]
-                out += [f"<!-- page {page} -->", ""]
+                out += [f"<!-- source-page: {page} -->", ""]
             kind, text = r["type"], (r["text"] or "").strip()
             if kind == "image":
                 out += [f"![{' '.join(listed('image_caption'))}]({r['img_path'] or ''})", ""]
@@ -59,13 +60,15 @@ def headings(docs: DataFrame, source: str = "document_path", body: str = "markdo
     """document, section_id, start_line, level, title, total_lines: what an outline is built from."""
     each = docs.select(F.col(source).alias("document_path"), content_lines(body).alias("ls")).select("document_path", F.size("ls").alias("total_lines"), F.posexplode("ls").alias("i", "line"))
     found = each.withColumn("level", F.length(F.regexp_extract("line", OUTLINE_HEADING, 1))).filter("level > 0")
-    number = F.row_number().over(Window.partitionBy("document_path").orderBy("i"))
-    return found.select("document_path", F.format_string("section-%04d", number).alias("section_id"), (F.col("i") + 1).alias("start_line"), "level", F.regexp_extract("line", OUTLINE_HEADING, 2).alias("title"), "total_lines")
+    listed = found.groupBy("document_path").agg(F.array_sort(F.collect_list(F.struct("i", "level", F.regexp_extract("line", OUTLINE_HEADING, 2).alias("title"), "total_lines"))).alias("hs"))
+    ids = unique_ids(F.transform("hs", lambda h, k: base_id(h.title, k + 1)))
+    each = listed.select("document_path", F.inline(F.arrays_zip(F.col("hs").alias("h"), ids.alias("section_id"))))
+    return each.select("document_path", "section_id", (F.col("h.i") + 1).alias("start_line"), "h.level", "h.title", "h.total_lines")
 
 
 def section_pages(docs: DataFrame, sections: DataFrame, source: str = "document_path", body: str = "markdown") -> DataFrame:
     """Distinct page anchors within each section's scope, with the page that is open at its start."""
-    anchors = docs.select(F.col(source).alias("document_path"), F.posexplode(content_lines(body)).alias("i", "line")).withColumn("page", F.regexp_extract("line", r"<!-- page (\d+) -->", 1)).filter("page <> ''").select("document_path", (F.col("i") + 1).alias("line"), F.col("page").cast("int").alias("page"))
+    anchors = docs.select(F.col(source).alias("document_path"), F.posexplode(content_lines(body)).alias("i", "line")).withColumn("page", F.regexp_extract("line", r"<!-- source-page:\s*(\d+)\s*-->", 1)).filter("page <> ''").select("document_path", (F.col("i") + 1).alias("line"), F.col("page").cast("int").alias("page"))
     order = Window.partitionBy("document_path").orderBy("line")
     spans = anchors.withColumn("until", F.coalesce(F.lead("line").over(order) - 1, F.lit(2**31 - 1)))
     spans = spans.withColumnRenamed("document_path", "__doc")

@@ -80,6 +80,25 @@ def tables(docs: DataFrame, source: str = "source", body: str = "content") -> Da
     return rows.select("source", F.row_number().over(Window.partitionBy("source").orderBy("block")).alias("table_no"), headers.alias("headers"), kept.alias("rows"))
 
 
+#: Headers of evidence tables.
+EVIDENCE = {"bundle": ("bundle", "bundle id", "source bundle id"), "section": ("section", "section id", "source section id"), "pages": ("pages", "source pages"), "lines": ("lines", "owned lines", "source lines")}
+
+
+def evidence_rows(found: DataFrame) -> DataFrame:
+    """source, bundle, section, pages, lines: rows of tables that have all four columns, and name a bundle."""
+    tick = lambda c: F.regexp_replace(F.trim(c), "^`+|`+$", "")
+    headers = F.transform("headers", lambda h: F.regexp_replace(F.lower(tick(h)), r"[\s_-]+", " "))
+
+    def column(names: tuple[str, ...]) -> Column:
+        return F.array_position(F.transform(headers, lambda h: h.isin(*names)), F.lit(True))
+
+    place = {k: column(names) for k, names in EVIDENCE.items()}
+    each = found.select("source", "table_no", *[p.cast("int").alias(f"at_{k}") for k, p in place.items()], F.posexplode("rows").alias("row_no", "r"))
+    each = each.filter(" AND ".join(f"at_{k} > 0" for k in EVIDENCE))
+    values = each.select("source", "table_no", "row_no", *[tick(F.element_at("r", F.col(f"at_{k}"))).alias(k) for k in EVIDENCE])
+    return values.withColumn("bundle", F.regexp_extract("bundle", r"bundle-v2-[0-9a-fA-F]{16,64}", 0)).filter("bundle <> ''")
+
+
 def links(body: Column | str) -> Column:
     """Targets of wikilinks, without label and anchor; distinct, in order."""
     return F.array_distinct(F.transform(F.regexp_extract_all(F.col(body) if isinstance(body, str) else body, F.lit(WIKILINK), F.lit(1)), lambda x: F.trim(x)))

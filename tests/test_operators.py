@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lodestone.config import Settings, collection_name, vault_id
 from lodestone.functions import paths, text
 from lodestone.model import SECTION_STATUSES, TRANSITIONS
-from lodestone.operators import catalog, chunking, evidence, fusion, hierarchy, ledger, lint, render, retrieval, session, source_map, sync, trace
+from lodestone.operators import catalog, chunking, evidence, fusion, headings, hierarchy, ledger, lint, render, retrieval, session, source_map, sync, trace
 
 
 def one(spark, value, f):
@@ -290,7 +290,7 @@ def test_rendering(spark):
     rows = [("f", 0, "text", "Title", 1, "0", *[None] * 6), ("f", 1, "header", "skip", None, "0", *[None] * 6), ("f", 2, "table", None, None, "1", None, None, ["T1"], "<table><tr></tr></table>", None, None), ("f", 3, "table", None, None, "2", None, None, [], "<table></table>", None, None), ("f", 4, "list", None, None, "bad", None, None, None, None, ["a", "b"], None)]
     df = spark.createDataFrame(rows, schema)
     out = render.render(df).first()
-    assert out.markdown.startswith("<!-- page 1 -->\n\n# Title\n") and "- a\n- b" in out.markdown and "skip" not in out.markdown and out.max_page == 3
+    assert out.markdown.startswith("<!-- source-page: 1 -->\n\n# Title\n") and "- a\n- b" in out.markdown and "skip" not in out.markdown and out.max_page == 3
     assert {r.ordinal: r.table_no for r in render.continued_tables(df).collect() if r.type == "table"} == {2: 1, 3: 1}
     md = spark.createDataFrame([("f", out.markdown)], "document_path string, markdown string")
     secs = hierarchy.outline(render.headings(md))
@@ -343,3 +343,24 @@ def test_settings():
         with pytest.raises(ValueError):
             Settings(**bad)
     assert vault_id("/a/My Vault/").startswith("my-vault-") and collection_name("!") == "vault-default" and len(collection_name("x" * 99)) == 63
+
+
+def test_heading_levels_and_ids(spark):
+    texts = [("Title", 0), ("目 录", 1), ("1 Scope", 1), ("1.2.3 Deep", 1), ("1. item", 1), ("(2) item", 1), ("附录 二", 1), ("Plain", 1), ("no heading", 0), ("1.1.1.1.1.1.1.1", 0)]
+    df = spark.createDataFrame([("f", i, t, r) for i, (t, r) in enumerate(texts)], "file string, ordinal int, text string, text_level int")
+    assert [r.level for r in headings.structural_levels(df).orderBy("ordinal").collect()] == [1, 2, 2, 4, 0, 0, 2, 3, 0, 6]
+    md = spark.createDataFrame([("d", "# Intro\n## 1 A\n## 1 B\n## 1-2\n## 目录\n## 附录 3\n# Intro")], "document_path string, markdown string")
+    assert [r.section_id for r in render.headings(md).orderBy("start_line").collect()] == ["section-0001", "1", "1-2", "1-3", "toc", "appendix-3", "section-0007"]
+    assets = spark.createDataFrame([("f", 0, "Figure 2.1 x", "fig", 1, 1), ("f", 1, "图2-1", "fig", 1, 2), ("f", 2, "Table 3", "table", 2, 1), ("f", 3, "Figure 9", "table", 2, 2), ("f", 4, None, "fig", 3, 1), ("f", 5, "Fig. 2.1", "fig", 3, 2)], "file string, ordinal int, caption string, kind string, page int, sequence int")
+    assert [r.id for r in headings.asset_ids(assets).orderBy("ordinal").collect()] == ["fig_2_1", "fig_2_1_2", "table_3", "table_p2_n2", "fig_p3_n1", "fig_2_1_3"]
+    names = spark.createDataFrame([("a b_document_bundle",), ("x_image_document_bundle",), ("!!",)], "d string")
+    assert [r[0] for r in names.select(headings.projection_name(F.col("d"))).collect()] == ["a-b.section-query-index.json", "x.section-query-index.json", "document.section-query-index.json"]
+
+
+def test_evidence_rows(spark):
+    from lodestone.sources import markdown
+
+    b = "bundle-v2-0123456789abcdef"
+    body = f"| Source_Bundle-ID | `Section` | Pages | Owned lines |\n| --- | --- | --- | --- |\n| see {b} | `s1` | 1 | 2-3 |\n| none | s2 | 1 | 1 |\n\n| Bundle | Section |\n| --- | --- |\n| {b} | s |\n"
+    rows = markdown.evidence_rows(markdown.tables(spark.createDataFrame([("a.md", body)], "source string, content string"))).collect()
+    assert [(r.bundle, r.section, r.pages, r.lines) for r in rows] == [(b, "s1", "1", "2-3")]
