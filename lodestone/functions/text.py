@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns of tokens, terms, headings and links.
 TOKEN = r"[a-z0-9_]+|[㐀-鿿]"
 TERM = r"(?U)[\w㐀-鿿]+"
 QUERY_TOKEN = r"[A-Za-z]+\d*[A-Za-z0-9._/-]*|\d+[A-Za-z][A-Za-z0-9._/-]*|\d+(?:\.\d+)?|[㐀-鿿]+"

@@ -16,7 +16,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Dashboards that a new folder starts with.
+# Dashboards that a new folder starts with.
 SAVED = {
     "raw_sources": 'table file.folder as Folder, file.mtime as Modified\nfrom "10_Raw"\nsort file.mtime desc',
     "knowledge_cards": 'table source as Source, status as Status, domains as Domains, file.mtime as Modified\nfrom "30_Cards"\nwhere type = "knowledge-card"\nsort file.mtime desc',
