@@ -9,11 +9,24 @@ from pyspark.sql import functions as F
 from .common import dealt, written
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """node, neighbour, least: each directed edge with the least of the node and all its neighbours. The minimum is an
-    aggregate with map-side combining, so a hub's edges never meet in one task."""
+#: A node of fewer edges than this is never salted; over how many tasks a hub's edges are dealt.
+HUB, SALTS = 1000, 16
+
+
+def _hubs(edges: DataFrame, total: int) -> list[int]:
+    """Nodes with more than a quarter of a partition's share of the edges: at most four for each partition."""
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [r["a"] for r in edges.groupBy("a").count().filter(F.col("count") > max(HUB, total // (4 * parts))).collect()]
+
+
+def _least(edges: DataFrame, hubs: list[int]) -> DataFrame:
+    """a, b, least: each directed edge with the least of a and all its neighbours. The minimum is an aggregate with
+    map-side combining, and the edges of a hub meet it in several tasks."""
+    salt = lambda c, some, none: F.when(F.col(c).isin(hubs), some).otherwise(none) if hubs else none
     least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), F.least("a", "m").alias("least"))
-    return edges.join(dealt(least), edges.a == least.of).drop("of")
+    least = least.withColumn("of_salt", F.explode(salt("of", F.sequence(F.lit(0), F.lit(SALTS - 1)), F.array(F.lit(0)))))
+    salted = edges.withColumn("salt", salt("a", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"), F.lit(0)))
+    return salted.join(dealt(least), (salted.a == least.of) & (salted.salt == least.of_salt)).select("a", "b", "least")
 
 
 def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
@@ -21,18 +34,18 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
 
     Loops and repeated edges are harmless; an empty table gives an empty one."""
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), name)
-    print_before = None
+    print_before, total = None, now.count()
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _least(both).filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        large = _least(both, _hubs(both, 2 * total)).filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = large.filter("a <> b").distinct()
-        small = _least(large)
+        small = _least(large, [])  # here each node has few smaller neighbours
         small = small.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(small.select("a", F.col("least").alias("b")))
         now = written(small.filter("a <> b").distinct(), name)
         print_now = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if print_now == print_before:
             break
-        print_before = print_now
+        print_before, total = print_now, print_now[0]
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

@@ -1,6 +1,7 @@
 """Near duplicates, repeated windows and lines, against brute force."""
 
 import hashlib
+import importlib
 import re
 from collections import defaultdict
 
@@ -72,7 +73,9 @@ def test_bitmap_bound_never_falls_short():
         assert most >= jaccard.overlap(a, b) == len(set(a.tolist()) & set(b.tolist()))
 
 
-def test_connected_components_of_random_edges(spark):
+@pytest.mark.parametrize("hub", [1000, 2])
+def test_connected_components_of_random_edges(spark, monkeypatch, hub):
+    monkeypatch.setattr(importlib.import_module("lodestone.llm.components"), "HUB", hub)
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 80, (60, 2))]
     got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
