@@ -14,7 +14,7 @@ K1, B, EPSILON = 1.5, 0.75, 0.25
 
 @dataclass(frozen=True)
 class LexicalIndex:
-    """postings: doc_id, term, tf. lengths: doc_id, dl. idf: term, df, idf. totals: n, avgdl (one row)."""
+    """postings: doc_id, term, tf, dl. lengths: doc_id, dl. idf: term, df, idf. totals: n, avgdl (one row)."""
 
     postings: DataFrame
     lengths: DataFrame
@@ -27,7 +27,7 @@ def build(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     all terms' plain idf."""
     split = docs.select(F.col(id_column).alias("doc_id"), tokens(text_column).alias("terms")).filter(F.size("terms") > 0)
     lengths = split.select("doc_id", F.size("terms").alias("dl"))
-    postings = split.select("doc_id", F.explode("terms").alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    postings = split.select("doc_id", F.size("terms").alias("dl"), F.explode("terms").alias("term")).groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
     totals = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     plain = postings.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(totals)).withColumn("plain", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     mean = plain.agg(F.round(F.avg("plain"), 9).alias("mean"))
@@ -41,7 +41,7 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 20, k1: float = K1,
 
     The query's terms select postings before anything else, so stop words of the corpus move only if asked for."""
     asked = queries.select("query_id", F.explode(tokens("text")).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
-    hits = index.postings.join(asked, "term").join(index.idf, "term").join(index.lengths, "doc_id").join(F.broadcast(index.totals))
+    hits = index.postings.join(asked, "term").join(index.idf, "term").join(F.broadcast(index.totals))
     part = F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scored = hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))).filter(F.col("rank") <= k)
