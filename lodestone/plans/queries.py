@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import chunk_type, compact_terms, empty, lines, match_score, query_terms, ranges_id, read_ranges, sha256, shorten, span, terms, title_key, tokens
 from ..operators import chunking, dense, evidence, fusion, hierarchy, ledger, lexical, lint, sync, trace
 from ..session import ship
+from ..sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,7 +25,8 @@ def query(f: Query) -> Query:
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in ("documents", "embeddings", "pages") else rows
 
 
 def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
