@@ -95,6 +95,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
             last = max(first + 1, int(np.searchsorted(at, at[first] + most, side="right")) - 1)
             yield batch.slice(first, last - first), data[at[first] : at[last]], at[first : last + 1] - at[first]
             first = last
+    for key in _powers:  # an idle worker holds no tables
+        _powers[key] = np.ones(1, U64)
 
 
 def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
