@@ -6,7 +6,9 @@ the columns of documents, with n_chars set anew where a text changed. Rejected d
 1. quality: those that the classifier predicts as 0 go (labels of sf_dir are what it learns from);
 2. lines: long lines of five documents or more go from all but one; a document may end up empty, and stays;
 3. near duplicates: of documents that links of 5-word shingles at a Jaccard of 0.8 connect, the least id stays; rows
-   that repeat an id and its text are one document; empty documents are linked with nothing;
+   that repeat an id and its text are one document; an id with different texts is several documents, and of those that
+   are connected one stays; a document with a null id goes if one with an id has the same shingles, is linked with
+   nothing else, and of null ids with the same shingles one stays; empty documents are linked with nothing;
 4. leaks: documents that leak a benchmark item go;
 5. tokens: ids, n_tokens, and whether decoding gives the text back, are added.
 """
@@ -33,9 +35,12 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.similar(docs, SHINGLE, PERCENT).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(dealt(found), "doc_id")
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    row = lambda text: (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id"), F.isnull("doc_id").alias("__null"), text.alias("__text"))
+    least = jaccard.similar(docs, SHINGLE, PERCENT).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    empty = F.col("n_shingles") == 0
+    found = least.groupBy("doc_id", empty.alias("empty"), F.when(empty, F.col("text_hash")).otherwise(F.col("link_key")).alias("of")).agg(F.min("text_hash").alias("text_hash"))
+    kept = docs.select("*", *row(F.xxhash64("text"))).join(dealt(found.select(*row(F.col("text_hash")))), ["__id", "__null", "__text"])
+    first = Window.partitionBy("__id", "__null", "__text").orderBy("doc_id")
     return kept.withColumn("__row", F.row_number().over(first)).filter("__row = 1").select(docs.columns)
 
 

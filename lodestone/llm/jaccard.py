@@ -20,7 +20,9 @@ around their least class, never as pairs; connected components of all stars are
 
 Defined results: null and empty texts have n_shingles 0 and link with nothing; each row is a document, so rows that
 repeat an id are all returned and share what their texts link to; a row with a null id is in the class of its text and
-links with nothing else; other columns are ignored; an empty table gives an empty result.
+links with nothing else, so a class of null ids only has null as its component; an id with several texts may be the
+least of several components, and ``link_key`` tells these apart; other columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from .packed import unpack
 BUCKET_BYTES = 8 << 20
 CROWDED = 1024
 
-SIGNATURES = "doc_id long, n long, s1 long, s2 long, bucket int, keys binary, classes binary, counts binary"
+SIGNATURES = "doc_id long, text_hash long, n long, s1 long, s2 long, bucket int, keys binary, classes binary, counts binary"
 
 
 def asked(n: int) -> int:
@@ -73,7 +75,7 @@ def digest(elements: np.ndarray) -> tuple[int, int]:
 def signatures(batches: Iterable[pa.RecordBatch], size: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """A row for each document, and packed rows of prefix hashes (6 bytes each) with their classes, one for each
     bucket. Of equal sets in a slice one is sent."""
-    types = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    types = [pa.int64()] * 5 + [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in SIGNATURES.split(", ")]
     for batch, data, at in slices(batches):
         n, s1, s2, keys, owner = [], [], [], [], []
@@ -88,7 +90,7 @@ def signatures(batches: Iterable[pa.RecordBatch], size: int, percent: int, bucke
                 keys.append(elements[: prefix(len(elements), percent)])
                 owner.append(a)
         none = pa.nulls(batch.num_rows, pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n, s1, s2)], pa.nulls(batch.num_rows, pa.int32()), none, none, none], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *[pa.array(x, pa.int64()) for x in (n, s1, s2)], pa.nulls(batch.num_rows, pa.int32()), none, none, none], names=names)
         if not keys:
             continue
         key, cls = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
@@ -103,7 +105,7 @@ def signatures(batches: Iterable[pa.RecordBatch], size: int, percent: int, bucke
         ends = [*new, len(key)]
         rows = [(int(of[new[i]]), short[ends[i] : ends[j]].tobytes(), owners[cls[new[i:j]]].tobytes(), counts[i:j].tobytes()) for i, j in zip(cuts, cuts[1:], strict=False)]
         empty = pa.nulls(len(rows), pa.int64())
-        yield pa.RecordBatch.from_arrays([empty] * 4 + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types[4:], strict=True)], names=names)
+        yield pa.RecordBatch.from_arrays([empty] * 5 + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types[5:], strict=True)], names=names)
 
 
 def shared_keys(rows: pa.Table, buckets: int) -> pa.Table:
@@ -220,11 +222,13 @@ def full_sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Recor
 
 
 def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, class_id (least id with the same set), component_id (least id that links reach)."""
-    given = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    """doc_id, n_shingles, class_id (least id with the same set), component_id (least id that links reach), text_hash
+    (xxhash64 of the row's text), link_key (the same for rows that links connect and for no others; null without
+    shingles)."""
+    given = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     buckets = max(8, input_bytes(docs) // BUCKET_BYTES)
     scan = written(given.mapInArrow(lambda it: signatures(it, size, percent, buckets), SIGNATURES), "signatures")
-    each = written(scan.filter("bucket IS NULL").select("doc_id", "n", "s1", "s2"), "each")
+    each = written(scan.filter("bucket IS NULL").select("doc_id", "text_hash", "n", "s1", "s2"), "each")
     classes = written(each.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id")), "classes")
     tiles = written(scan.filter("bucket IS NOT NULL").select("bucket", "keys", "classes", "counts").groupBy("bucket").applyInArrow(lambda t: shared_keys(t, buckets), "key long, c long, m int"), "tiles")
     forget(scan)
@@ -249,10 +253,10 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     final = components(stars, "links")
 
     least = final.join(dealt(classes.select(F.col("s1").alias("node"), "class_id")), "node").groupBy("label").agg(F.min("class_id").alias("component_id"))
-    ids = final.join(dealt(least), "label").select(F.col("node").alias("s1"), "component_id")
-    named = written(classes.join(dealt(ids), "s1", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "named")
+    ids = final.join(dealt(least), "label").select(F.col("node").alias("s1"), "label", "component_id")
+    named = written(classes.join(dealt(ids), "s1", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id"), F.coalesce("label", "s1").alias("link_key")), "named")
     out = each.join(dealt(named), ["n", "s1", "s2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "link_key")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
