@@ -14,8 +14,11 @@ copies are at 0.
 Items are sent to the tasks in parts of ``ITEMS`` at most, one pass over the documents for each, so what is broadcast
 is bounded whatever the benchmark's size.
 
-Defined results: null and empty texts and items match nothing; an item of fewer than SHINGLE words is one shingle, and
-so is a document of fewer words; a document shorter than the item is one window; repeated documents are told one by
+An item of fewer than SHINGLE words is one shingle of its own length, so it has similarity 1 with the runs of the same
+words and 0 with all others; these are looked up by hash, by one more pass of shingles for each such length.
+
+Defined results: null and empty texts and items match nothing; a short item leaks wherever its words stand, however
+common they are; a document of fewer than SHINGLE words is one shingle; a document shorter than the item is one window; repeated documents are told one by
 one; repeated items are told by their own ids; of equally similar windows the first counts; other columns pass.
 """
 
@@ -84,15 +87,23 @@ class Items:
     def __init__(self, rows: list[tuple[int, str | None]]):
         column = pa.array([t for _, t in rows], pa.string())
         self.groups: dict[int, tuple[list[int], list[Counter], MultiIndex]] = {}
-        self.sizes: dict[int, list[int]] = {}
+        #: By number of words, the items of fewer words than a shingle: sorted hashes and the items of each.
+        self.short: dict[int, tuple[np.ndarray, list[int]]] = {}
         found: dict[int, list[tuple[int, np.ndarray]]] = {}
+        short: dict[int, list[tuple[int, int]]] = {}
         for batch, data, at in slices([pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), column], names=["item_id", "text"])]):
             words, _, _, first = hashed_words(data, at)
             shingles, bounds = shingle_hashes(words, first, SHINGLE)
             for i, item in enumerate(batch.column("item_id").to_pylist()):
-                if first[i + 1] > first[i]:
-                    found.setdefault(int(first[i + 1] - first[i]), []).append((item, shingles[bounds[i] : bounds[i + 1]]))
+                size = int(first[i + 1] - first[i])
+                if size >= SHINGLE:
+                    found.setdefault(size, []).append((item, shingles[bounds[i] : bounds[i + 1]]))
+                elif size:
+                    short.setdefault(size, []).append((int(shingle_hashes(words[first[i] : first[i + 1]], np.array([0, size]), size)[0][0]), item))
         keys, owners = [], []
+        for size, pairs in sorted(short.items()):
+            pairs.sort(key=lambda x: x[0])
+            self.short[size] = (np.array([h for h, _ in pairs], U64), [i for _, i in pairs])
         for size, members in sorted(found.items()):
             prints = np.concatenate([fingerprints(s, np.zeros(1, np.int64), len(s)) for _, s in members])
             self.groups[size] = ([i for i, _ in members], [Counter(s.tolist()) for _, s in members], MultiIndex(prints))
@@ -115,6 +126,23 @@ class Items:
         entry = np.repeat(left - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
         return np.repeat(place, n), self.owners[entry]
 
+    def short_leaks(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, tuple[int, float, int, int]]]:
+        """Document, and item_id, similarity, first word and number of words, of the first run of words that is a short
+        item."""
+        for size, (keys, ids) in self.short.items():
+            shingles, bounds = shingle_hashes(words, first, size)
+            place = np.flatnonzero(np.isin(shingles, keys))
+            doc = np.searchsorted(bounds, place, side="right") - 1
+            order = np.lexsort((place, shingles[place], doc))
+            place, doc = place[order], doc[order]
+            new = np.ones(len(place), dtype=bool)
+            new[1:] = (shingles[place[1:]] != shingles[place[:-1]]) | (doc[1:] != doc[:-1])
+            place, doc = place[new], doc[new]
+            left, right = (np.searchsorted(keys, shingles[place], side=s) for s in ("left", "right"))
+            for d, at, i, j in zip(doc.tolist(), (place - bounds[doc]).tolist(), left.tolist(), right.tolist(), strict=True):
+                for k in range(i, j):
+                    yield d, (ids[k], 1.0, at, size)
+
     def leaks(self, shingles: np.ndarray, n_words: int, place: np.ndarray, sizes: np.ndarray, threshold: float) -> list[tuple[int, float, int, int]]:
         """item_id, similarity, first word and number of words of each item's best window in one document."""
         out = []
@@ -148,6 +176,8 @@ def _found(batches: Iterable[pa.RecordBatch], items: Items, threshold: float) ->
             mine = doc == i
             if leaks := items.leaks(shingles[bounds[i] : bounds[i + 1]], int(first[i + 1] - first[i]), place[mine] - bounds[i], sizes[mine], threshold):
                 out[int(i)] = leaks
+        for i, leak in items.short_leaks(words, first) if threshold <= 1 else ():
+            out.setdefault(i, []).append(leak)
         yield batch, out
 
 
@@ -214,8 +244,8 @@ def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str |
     def split(text: str | None) -> list[str]:
         return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(lower))
 
-    def shingles(words: list[str]) -> list[tuple]:
-        return [tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))] if words else []
+    def shingles(words: list[str], n: int) -> list[tuple]:
+        return [tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
 
     out = set()
     for doc, text in docs:
@@ -224,10 +254,10 @@ def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str |
             asked = split(other)
             if not words or not asked:
                 continue
-            size = min(len(asked), len(words))
-            target, best = Counter(shingles(asked)), (0.0, 0)
+            size, n = min(len(asked), len(words)), min(len(asked), SHINGLE)
+            target, best = Counter(shingles(asked, n)), (0.0, 0)
             for i in range(len(words) - size + 1):
-                s = similarity(Counter(shingles(words)[i : i + max(1, size - SHINGLE + 1)]), target)
+                s = similarity(Counter(shingles(words, n)[i : i + max(1, size - n + 1)]), target)
                 if s > best[0]:
                     best = (s, i)
             if best[0] >= threshold:

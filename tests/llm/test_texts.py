@@ -150,6 +150,24 @@ def test_leaks_are_those_of_all_windows(spark, docs, rows):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {d for d, *_ in rows} - {x[0] for x in got}
 
 
+def test_items_of_few_words_are_found_in_longer_documents(spark, docs):
+    texts = ["x Alpha beta  gamma delta y alpha beta gamma delta z", "alpha", "one alpha beta", "beta alpha gamma", None, "w " * 9 + "beta gamma"]
+    items = [(1, "alpha beta gamma DELTA"), (2, "alpha beta"), (3, "beta gamma"), (3, "alpha"), (4, "alpha"), (5, None), (6, "one alpha beta"), (7, "z z")]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, leaks.find_leaks(frame, bench).collect()))
+    plain = [(" ".join((t or "").lower().split()).split(), d) for d, t in enumerate(texts)]
+    want = []
+    for item, t in items:
+        asked = (t or "").lower().split()
+        for words, d in plain:
+            at = [i for i in range(len(words) - len(asked) + 1) if asked and words[i : i + len(asked)] == asked]
+            want += [(d, item, 1.0, at[0], len(asked))] if at else []
+    assert got == sorted(want) and len(got) > 10
+    assert set(got) == leaks.brute_force(list(enumerate(texts)), items)
+    assert [r["doc_id"] for r in leaks.drop_leaks(frame, bench).collect()] == [4]
+
+
 def test_leaks_with_items_in_parts(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(i, " ".join(f"oak{i + j}" for j in range(9))) for i in range(5)], "item_id long, text string")
     more = docs.unionByName(spark.createDataFrame([(700, "x " + " ".join(f"oak{3 + j}" for j in range(9)) + " y")], "doc_id long, text string"), allowMissingColumns=True)
