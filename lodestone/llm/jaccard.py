@@ -16,7 +16,9 @@ blocks. Each class goes to its tile with its sorted array, once for a small fami
 Within a tile classes are sorted by size, and each is compared with those in its size range only, unless already
 linked to it. A hashed bitmap bounds the overlap from above: a bit set in one and not in the other is an element that
 they don't share. Only pairs that pass the bound are intersected exactly. Found components leave the tile as stars
-around their least class, never as pairs; connected components of all stars are the result.
+around their least class, never as pairs; connected components of all stars are the result. Where links are counted,
+all pairs that pass the bound are intersected, and each class leaves its tile with the number of documents that it is
+linked to there; every pair of classes meets in one tile only, so the sums are exact.
 
 Defined results: null and empty texts have n_shingles 0 and link with nothing; each row is a document, so rows that
 repeat an id are all returned and share what their texts link to; a row with a null id is in the class of its text and
@@ -182,28 +184,33 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def link_tile(rows: pa.Table, percent: int) -> pa.Table:
-    """a, b: the components of one tile or cell, as stars around their least class. ``own`` marks a band's own classes
+def link_tile(rows: pa.Table, percent: int, count: bool = False) -> pa.Table:
+    """a, b, links: the components of one tile or cell, as stars around their least class, and with ``count`` for each
+    linked class a loop with the number of documents of other classes that link to it. ``own`` marks a band's own classes
     (guests from the band below aren't compared with each other); in a cell off the diagonal (``off``) only different
     blocks are compared."""
     rows = rows.sort_by([("n", "ascending"), ("c", "ascending")])
     c, own, block, off = (rows.column(x).to_numpy() for x in ("c", "own", "block", "off"))
     arrays = [np.frombuffer(x.as_buffer(), U64) for x in rows.column("elements")]
     tile = Tile(rows.column("n").to_numpy(), [bitmap(x) for x in arrays], percent)
-    comp = np.arange(len(c))
+    comp, copies, links = np.arange(len(c)), rows.column("copies").to_numpy(), np.zeros(len(c), np.int64)
     for i in range(len(c)):
-        open_ = comp != comp[i]
+        open_ = comp != comp[i] if not count else np.ones(len(c), dtype=bool)
         if not own[i]:
             open_ &= own
         if off[i]:
             open_ &= block != block[i]
         for j in tile.candidates(i, open_):
-            if comp[i] != comp[j] and linked(overlap(arrays[i], arrays[j]), len(arrays[i]), len(arrays[j]), percent):
-                comp[comp == comp[j]] = comp[i]
+            if (count or comp[i] != comp[j]) and linked(overlap(arrays[i], arrays[j]), len(arrays[i]), len(arrays[j]), percent):
+                links[i] += copies[j]
+                links[j] += copies[i]
+                if comp[i] != comp[j]:
+                    comp[comp == comp[j]] = comp[i]
     least = np.full(len(c), np.iinfo(np.int64).max)
     np.minimum.at(least, comp, c)
     keep = c != least[comp]
-    return pa.table({"a": c[keep], "b": least[comp][keep]})
+    told = np.flatnonzero(links > 0) if count else np.zeros(0, np.int64)
+    return pa.table({"a": np.concatenate((c[keep], c[told])), "b": np.concatenate((least[comp][keep], c[told])), "links": np.concatenate((np.zeros(keep.sum(), np.int64), links[told]))})
 
 
 def full_sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -217,46 +224,53 @@ def full_sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Recor
                 rows.append(i)
                 out.append((len(elements), elements.tobytes()))
         if rows:
-            kept = batch.select(["c", "family", "m"]).take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)]], names=["c", "family", "m", "n", "elements"])
+            kept = batch.select(["c", "family", "m", "copies"]).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)]], names=["c", "family", "m", "copies", "n", "elements"])
 
 
-def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text", links: bool = False) -> DataFrame:
     """doc_id, n_shingles, class_id (least id with the same set), component_id (least id that links reach), text_hash
     (xxhash64 of the row's text), link_key (the same for rows that links connect and for no others; null without
-    shingles)."""
+    shingles), and with ``links`` n_links (how many other rows link with it directly)."""
     given = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     buckets = max(8, input_bytes(docs) // BUCKET_BYTES)
     scan = written(given.mapInArrow(lambda it: signatures(it, size, percent, buckets), SIGNATURES), "signatures")
     each = written(scan.filter("bucket IS NULL").select("doc_id", "text_hash", "n", "s1", "s2"), "each")
-    classes = written(each.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id")), "classes")
+    classes = written(each.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")), "classes")
     tiles = written(scan.filter("bucket IS NOT NULL").select("bucket", "keys", "classes", "counts").groupBy("bucket").applyInArrow(lambda t: shared_keys(t, buckets), "key long, c long, m int"), "tiles")
     forget(scan)
 
     own = tiles.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("m", "key")), asc=False).alias("t"))
-    own = own.join(dealt(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n")), "c").withColumn("asked", (1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)).cast("int"))
+    own = own.join(dealt(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n", "copies")), "c").withColumn("asked", (1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)).cast("int"))
     own = own.filter(F.size("t") >= F.col("asked"))
-    kept = written(own.select("c", "doc_id", F.explode(F.slice("t", F.col("asked"), F.size("t"))).alias("k")).select("c", "doc_id", "k.key"), "kept")
+    kept = written(own.select("c", "doc_id", "copies", F.explode(F.slice("t", F.col("asked"), F.size("t"))).alias("k")).select("c", "doc_id", "copies", "k.key"), "kept")
     edges = kept.select("c", "key").join(dealt(kept.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("m")).filter("m > 1")), "key").select(F.col("c").alias("a"), F.col("least").alias("b"))
     families = components(edges, "families")
     sized = families.join(dealt(families.groupBy("label").agg(F.count("*").cast("int").alias("m"))), "label").select(F.col("node").alias("c"), F.col("label").alias("family"), "m")
-    wanted = written(kept.select("c", "doc_id").distinct().join(dealt(sized), "c"), "wanted")
+    wanted = written(kept.select("c", "doc_id", "copies").distinct().join(dealt(sized), "c"), "wanted")
 
-    arrays = given.join(dealt(wanted), "doc_id").select("c", "family", "m", "text").mapInArrow(lambda it: full_sets(it, size), "c long, family long, m int, n long, elements binary")
+    arrays = given.join(dealt(wanted), "doc_id").select("c", "family", "m", "copies", "text").mapInArrow(lambda it: full_sets(it, size), "c long, family long, m int, copies long, n long, elements binary")
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9).cast("int")
     seat = lambda band, own: F.struct(F.lit(band).cast("int").alias("band"), F.lit(own).alias("own"))
     seats = F.when(F.col("m") > CROWDED, F.array(seat(band, True), seat(band + 1, False))).otherwise(F.array(seat(0, True)))
     cells = arrays.withColumn("seat", F.explode(seats)).withColumn("side", F.ceil(F.col("m") / (4 * CROWDED)).cast("int")).withColumn("block", F.pmod(F.xxhash64("c"), F.col("side")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1))).withColumn("row", F.least("block", "other")).withColumn("col", F.greatest("block", "other"))
-    cells = cells.select("family", "c", "n", "elements", "seat.band", "seat.own", "block", "row", "col", (F.col("row") != F.col("col")).alias("off"))
-    stars = cells.groupBy("family", "band", "row", "col").applyInArrow(lambda t: link_tile(t, percent), "a long, b long")
+    cells = cells.select("family", "c", "n", "copies", "elements", "seat.band", "seat.own", "block", "row", "col", (F.col("row") != F.col("col")).alias("off"))
+    stars = cells.groupBy("family", "band", "row", "col").applyInArrow(lambda t: link_tile(t, percent, links), "a long, b long, links long")
+    stars = written(stars, "stars") if links else stars
     final = components(stars, "links")
 
     least = final.join(dealt(classes.select(F.col("s1").alias("node"), "class_id")), "node").groupBy("label").agg(F.min("class_id").alias("component_id"))
     ids = final.join(dealt(least), "label").select(F.col("node").alias("s1"), "label", "component_id")
     named = written(classes.join(dealt(ids), "s1", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id"), F.coalesce("label", "s1").alias("link_key")), "named")
+    counted = []
+    if links:
+        near = stars.filter("a = b").groupBy(F.col("a").alias("s1")).agg(F.sum("links").alias("near"))
+        sums = classes.join(dealt(near), "s1", "left").select("n", "s1", "s2", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+        named = named.join(dealt(sums), ["n", "s1", "s2"])
+        counted = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
     out = each.join(dealt(named), ["n", "s1", "s2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "link_key")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "link_key", *counted)
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,19 @@ def test_crowded_families_are_cut_and_lose_no_link(spark, rows, monkeypatch):
     assert sorted(map(tuple, got)) == linked_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("crowded", [1024, 2])
+def test_links_are_counted_as_of_all_pairs(spark, rows, monkeypatch, crowded):
+    monkeypatch.setattr(jaccard, "CROWDED", crowded)
+    words = [f"w{i}" for i in range(90)]
+    more = [(2000 + i, " ".join([*words[:i], "x", *words[i:]]), "en", "s", 0) for i in range(0, 90, 15)] * 2  # all near copies of each other
+    given = [*rows, *more]
+    sets = [shingles(t, 4) for _, t, *_ in given]
+    want = sorted((d, sum(100 * len(x & y) >= 85 * len(x | y) for j, y in enumerate(sets) if j != i and x and y)) for i, ((d, *_), x) in enumerate(zip(given, sets, strict=True)))
+    frame = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long")
+    got = jaccard.similar(frame, 4, 85, links=True)
+    assert sorted((r["doc_id"], r["n_links"]) for r in got.collect()) == want and max(n for _, n in want) == 11
+
+
 def test_chains_of_near_copies_are_one_component(spark):
     words = [f"w{i}" for i in range(100)]
     chain = []
