@@ -4,9 +4,8 @@ A document is a bag of passages of ``PASSAGE`` words. Each passage is encoded by
 hidden layer; gated attention (Ilse et al. 2018) learns from document labels which passages tell, and the weighted
 mean of the encodings gives the score. So a document with one passage of junk can be told, without passage labels.
 
-Training reads features of at most ``most_docs`` labelled documents, those with the least hashed ids, and at most
-``most_passages`` of each, evenly spread; everything else covers all documents and whole texts. The model is a few
-thousand numbers.
+Training reads features of all passages of at most ``most_docs`` labelled documents, those with the least hashed ids;
+everything else covers all documents and whole texts. The model is a few thousand numbers.
 
 Defined results: a null or empty text is one empty passage and gets its score; repeated rows are scored one by one;
 labels that repeat an id count once, with the least label; without labels, or with one label only, the score is the
@@ -29,7 +28,7 @@ from .kernels import LOWER, Hasher, slices, word_spans
 from .packed import record_batch
 
 PASSAGE = 40
-MOST_DOCS, MOST_PASSAGES = 4000, 64
+MOST_DOCS = 4000
 THRESHOLD = 0.3
 HIDDEN, ATTENTION, EPOCHS, BATCH, RATE = 32, 16, 60, 256, 0.01
 
@@ -156,14 +155,12 @@ def train(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     return model
 
 
-def encode(batches: Iterable[pa.RecordBatch], most_passages: int) -> Iterator[pa.RecordBatch]:
+def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, data, at in slices(batches):
         x, bounds = features(data, at)
         out = []
         for i, (doc, label) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("quality").to_pylist(), strict=True)):
-            n = bounds[i + 1] - bounds[i]
-            pick = bounds[i] + (np.arange(n) if n <= most_passages else np.linspace(0, n - 1, most_passages).astype(int))
-            out.append((doc, label, x[pick].tobytes()))
+            out.append((doc, label, x[bounds[i] : bounds[i + 1]].tobytes()))
         yield record_batch(out, ["doc_id", "quality", "passages"], [pa.int64(), pa.int32(), pa.binary()])
 
 
@@ -172,12 +169,12 @@ def held_out(id_column: str) -> F.Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_passages: int = MOST_PASSAGES) -> Model:
-    """docs: doc_id, text. labels: doc_id, quality. The sample is bounded, so it may be broadcast and collected."""
+def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS) -> Model:
+    """docs: doc_id, text. labels: doc_id, quality. The number of labelled rows is bounded, so it may be broadcast and collected."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out("doc_id")).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
-    rows = given.select("doc_id", "quality", "text").mapInArrow(lambda it: encode(it, most_passages), "doc_id long, quality int, passages binary")
+    rows = given.select("doc_id", "quality", "text").mapInArrow(encode, "doc_id long, quality int, passages binary")
     kept = sorted((r["doc_id"], r["quality"], r["passages"]) for r in rows.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("passages").alias("passages")).collect())
     return train([np.frombuffer(x, np.float32).reshape(-1, N_FEATURES).astype(np.float64) for _, _, x in kept], np.array([q for _, q, _ in kept], np.float64))
 

@@ -203,6 +203,19 @@ def test_quality_learns_junk_passages(spark):
     assert len(held) > 50 and np.mean([a == b for a, b in held]) > 0.95
 
 
+def test_quality_learns_from_all_passages(spark, monkeypatch):
+    texts = [" ".join(f"{'junk!!' if i // quality.PASSAGE == 33 else 'word'}{i}" for i in range(n)) for n in (4010, 2600, 30, 0)]
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][: len(texts)]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    given = []
+    monkeypatch.setattr(quality, "train", lambda bags, labels: given.extend(bags))
+    quality.fit(docs, spark.createDataFrame([(d, i % 2) for i, d in enumerate(ids)], "doc_id long, quality int"))
+    assert [len(b) for b in given] == [101, 65, 1, 1]
+    for bag, text in zip(given, texts, strict=True):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        assert np.array_equal(bag, quality.features(raw, np.array([0, len(raw)]))[0])
+
+
 def test_quality_gradients_are_right():
     rng = np.random.default_rng(7)
     bags = [rng.normal(size=(n, quality.N_FEATURES)) for n in (1, 3, 2)]
