@@ -34,16 +34,18 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both)).otherwise(F.lit(0.0))
 
 
-def drop_near_duplicates(ranked: DataFrame, threshold: float = 0.7, ignored: Iterable[str] = IGNORED_CHUNK_TYPES) -> DataFrame:
+def drop_near_duplicates(ranked: DataFrame, threshold: float = 0.7, ignored: Iterable[str] = IGNORED_CHUNK_TYPES, keep_text: bool = True) -> DataFrame:
     """The rows that stay when each, in rank order, goes if its text equals an earlier one or its words' Jaccard with
     any kept one reaches the threshold. A dropped row suppresses none.
 
     ranked: query_id, rank, text, and chunk_type or not. One fold for each query over its ranked list, which top-k
-    has bounded; texts themselves aren't collected, only their words and hashes."""
+    has bounded; the list carries the rows themselves, so that what ranked them is computed once, without their texts
+    if these aren't asked for."""
     rows = ranked.filter(F.coalesce(F.col("text"), F.lit("")) != "")
     if "chunk_type" in ranked.columns:
         rows = rows.filter(~F.coalesce(F.col("chunk_type"), F.lit("normal")).isin(*ignored))
-    item = F.struct("rank", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), terms("text").alias("terms"))
+    row = F.struct(*[c for c in ranked.columns if keep_text or c != "text"])
+    item = F.struct("rank", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), terms("text").alias("terms"), row.alias("row"))
     listed = rows.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
     none = F.array().cast("array<struct<rank:int,digest:string,terms:array<string>>>")
 
@@ -51,8 +53,8 @@ def drop_near_duplicates(ranked: DataFrame, threshold: float = 0.7, ignored: Ite
         same = F.exists(kept, lambda k: (k.digest == x.digest) | (jaccard(k.terms, x.terms) >= threshold))
         return F.when(same, kept).otherwise(F.concat(kept, F.array(F.struct(x["rank"].cast("int").alias("rank"), x.digest.alias("digest"), x.terms.alias("terms")))))
 
-    kept = listed.select("query_id", F.explode(F.transform(F.aggregate("items", none, step), lambda k: k["rank"])).alias("rank"))
-    return ranked.join(kept, ["query_id", "rank"], "left_semi")
+    kept = listed.select("items", F.transform(F.aggregate("items", none, step), lambda k: k["rank"]).alias("kept"))
+    return kept.select(F.explode(F.filter("items", lambda x: F.array_contains("kept", x["rank"]))).alias("x")).select("x.row.*")
 
 
 def cap_by_parent(ranked: DataFrame, most: int = 1, parent: str = "parent_id") -> DataFrame:

@@ -15,32 +15,35 @@ WEIGHTS = {"document": 5, "title": 9, "path": 4, "content": 2}
 UNSETTLED = ("stale", "pending", "in_progress")
 #: Distinct terms of a set of questions that one pass looks for; more are tested question by question.
 MOST_TERMS = 200_000
+#: Pairs of a question and a document that are sent to all tasks.
+MOST_ROUTES = 100_000
 
 
-def terms_within(rows: DataFrame, words: list[str], body: str) -> DataFrame:
-    """Adds ``__found``: which of the words each text has as substrings, by one pass of an automaton over it."""
+def terms_within(rows: DataFrame, words: list[str], texts: dict[str, str]) -> DataFrame:
+    """Adds, by name of a new column, which of the words the text of another column has as substrings: one pass of an
+    automaton over each text, in Arrow batches, where workers have one, and else one search for each word."""
+    sent = rows.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for word in words:
-            automaton.add_word(word, word)
-        if words:
-            automaton.make_automaton()
+        words = sent.value
+        try:
+            import ahocorasick
+        except ImportError:
+            within = lambda text: [w for w in words if w in text]
+        else:
+            automaton = ahocorasick.Automaton()
+            for word in words:
+                automaton.add_word(word, word)
+            if words:
+                automaton.make_automaton()
+            within = lambda text: list({w for _, w in automaton.iter(text)}) if words else []
         for batch in batches:
-            found = [list({w for _, w in automaton.iter(t.as_py() or "")}) if words else [] for t in batch.column(body)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "__found"])
-
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("__found", T.ArrayType(T.StringType()))])).drop(body)
-
+            found = [pa.array([within(t.as_py() or "") for t in batch.column(c)], pa.list_(pa.string())) for c in texts.values()]
+            keep = [c for c in batch.schema.names if c not in texts.values()]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *found], names=[*keep, *texts])
 
-def has_automaton() -> bool:
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:
-        return False
-    return True
+    kept = [f for f in rows.schema.fields if f.name not in texts.values()]
+    return rows.mapInArrow(run, T.StructType([*kept, *[T.StructField(c, T.ArrayType(T.StringType())) for c in texts]]))
 
 
 def outline(headings: DataFrame, document: str = "document_path") -> DataFrame:
@@ -116,27 +119,32 @@ def locate(queries: DataFrame, documents: DataFrame, sections: DataFrame, top_do
     question are scored further, even at 0; a section needs a score over 0, and an unsettled one loses 3 after that.
     Returns query_id, document_path, section_id, score, document_score, matched terms, rank.
 
-    Queries are a small stated set: their terms go to the documents, each text is searched once for all of them, and
-    only (query, document) scores are ranked."""
+    Queries are a small stated set: their terms go to the documents, each title, path and text is searched once for all
+    of them, and the questions that a document is among the best of meet its sections where these lie. With over
+    ``MOST_TERMS`` distinct terms, or ``MOST_ROUTES`` pairs of question and document, both are joined by key."""
     asked = queries.select("query_id", query_terms("text").alias("terms"))
-    routed = documents.select("document_path", casefold("routing").alias("routing")).join(F.broadcast(asked)).withColumn("document_terms", matched(F.col("terms"), F.col("routing")))
+    words = asked.select(F.explode("terms").alias("t")).distinct()
+    few = words.limit(MOST_TERMS + 1).count() <= MOST_TERMS
+    routed = documents.select("document_path", casefold("routing").alias("routing")).join(F.broadcast(asked) if few else asked).withColumn("document_terms", matched(F.col("terms"), F.col("routing")))
     routed = routed.select("query_id", "document_path", "terms", "document_terms", match_score(F.col("document_terms"), WEIGHTS["document"]).alias("document_score"))
     routed = routed.withColumn("__n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("document_score"), "document_path"))).filter(F.col("__n") <= max(1, top_documents)).drop("__n")
     bodies = sections.withColumnRenamed("content", "__content") if "content" in sections.columns else sections
     if content and "content" not in sections.columns:
         texts = documents.select("document_path", content_lines("text").alias("__lines"))
         bodies = sections.join(texts, "document_path").withColumn("__content", read_ranges(F.col("__lines"), F.col("content_ranges"))).drop("__lines")
-    bodies = bodies.withColumns({"__title": casefold(F.coalesce("title", F.lit(""))), "__path": casefold(F.array_join("path_titles", " / "))} | ({"__content": casefold("__content")} if content else {}))
-    in_content = F.array().cast("array<string>")
-    if content:
-        in_content = matched(F.col("terms"), F.col("__content"))
-        words = asked.select(F.explode("terms").alias("t")).distinct()
-        if has_automaton() and (n := words.limit(MOST_TERMS + 1).count()) <= MOST_TERMS:
-            bodies = terms_within(bodies, sorted(r.t for r in words.collect()) if n else [], "__content")
-            in_content = F.array_intersect("terms", "__found")
-    found = F.struct(matched(F.col("terms"), F.col("__title")).alias("title_terms"), matched(F.col("terms"), F.col("__path")).alias("path_terms"), in_content.alias("content_terms"))
+    body = casefold("__content") if content else F.lit("")
+    bodies = bodies.select("document_path", "section_id", "source_filename", "ingest_status", casefold(F.coalesce("title", F.lit(""))).alias("__t"), casefold(F.array_join("path_titles", " / ")).alias("__p"), body.alias("__c"))
+    if few:
+        bodies = terms_within(bodies, sorted(r.t for r in words.collect()), {"__title": "__t", "__path": "__p", "__body": "__c"})
+        of = lambda c: F.array_intersect("terms", c)
+        n_routes = queries.count() * max(1, top_documents)
+        routed = F.broadcast(routed) if n_routes <= MOST_ROUTES else routed
+    else:
+        bodies = bodies.withColumnsRenamed({"__t": "__title", "__p": "__path", "__c": "__body"})
+        of = lambda c: matched(F.col("terms"), F.col(c))
+    found = F.struct(of("__title").alias("title_terms"), of("__path").alias("path_terms"), of("__body").alias("content_terms"))
     # A generator of one row: what it gives is computed once, though the filter, the score and the result all use it.
-    hit = routed.join(bodies, "document_path").select("query_id", "document_path", "section_id", "source_filename", "ingest_status", "document_score", "document_terms", F.inline(F.array(found)))
+    hit = bodies.join(routed, "document_path").select("query_id", "document_path", "section_id", "source_filename", "ingest_status", "document_score", "document_terms", F.inline(F.array(found)))
     total = F.col("document_score") + match_score(F.col("title_terms"), WEIGHTS["title"]) + match_score(F.col("path_terms"), WEIGHTS["path"]) + match_score(F.col("content_terms"), WEIGHTS["content"])
     scored = hit.withColumn("score", total).filter("score > 0").withColumn("score", F.col("score") - F.when(F.col("ingest_status").isin(*UNSETTLED), 3).otherwise(0))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "source_filename", "section_id")

@@ -48,7 +48,7 @@ def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overlap_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = t(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
     words = asked(spark, sf_dir).select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
-    shared = docs.join(words, "term").groupBy("query_id", "doc_id").agg(F.count("*").alias("shared"))
+    shared = docs.join(F.broadcast(words), "term").groupBy("query_id", "doc_id").agg(F.count("*").alias("shared"))
     return fusion.rank_within(shared, ["query_id"], F.desc("shared"), "doc_id").filter("rank <= 20")
 
 
@@ -62,8 +62,8 @@ def rrf_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def near_dup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = bm25_topk(spark, sf_dir).join(t(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return fusion.drop_near_duplicates(ranked).select("query_id", "rank", "doc_id")
+    ranked = t(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(bm25_topk(spark, sf_dir)), "doc_id")  # 20 rows a question
+    return fusion.drop_near_duplicates(ranked, keep_text=False).select("query_id", "rank", "doc_id")
 
 
 @query
