@@ -42,6 +42,28 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Scratch:
+    """A scope of written tables: on leaving it all but the kept ones are deleted."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(written(df, name))
+        return self.tables[-1]
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.tables = [x for x in self.tables if x is not df]
+        return df
+
+    def __exit__(self, *_: object) -> None:
+        for df in self.tables:
+            forget(df)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of a frame's size: for tables, what their files hold. Where it knows none, as many shuffle
     partitions of 32 MB as the session has. Only for choosing counts of partitions."""

@@ -1,13 +1,13 @@
 """Vectorised text kernels over Arrow batches.
 
 Every kernel works on whole UTF-8 texts, as bytes, through numpy; no Python loop runs per byte or per word.
-The hash of a byte string is a polynomial over a fixed byte table modulo 2**64, finished by an avalanche step; it
-depends only on the bytes, never on the batch, the partition or the position, so equal strings have equal hashes
-on every executor.
+The hash of a byte string depends only on the bytes, never on the batch, the partition or the position, so equal
+strings have equal hashes on every executor.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,42 +35,98 @@ def stream(seed: int, n: int) -> np.ndarray:
 
 
 BYTE_CODE = stream(11, 256)
-BASE = int(stream(12, 1)[0]) | 1
+SEED, STEP, TURN = (U64(int(x) | 1) for x in stream(12, 3))
 SHINGLE_BASE = U64(int(stream(13, 1)[0]) | 1)
+#: Longer spans are hashed one by one.
+LONGEST = 512
+#: How many low bytes of a word count.
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U64)
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i below n at least."""
-    if len(_powers["up"]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for key, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype=U64)
-            steps[0] = 1
-            _powers[key] = np.cumprod(steps, dtype=U64)
-    return _powers["up"], _powers["down"]
-
-
-class Hasher:
-    """Hashes of any spans of one buffer, after one pass over it."""
-
-    def __init__(self, data: np.ndarray):
-        up, self.down = powers(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, dtype=U64)
-        np.cumsum(BYTE_CODE[data] * up[: len(data)], dtype=U64, out=self.sums[1:])
-
-    def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.sums[end] - self.sums[start]) * self.down[start]
-
-    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        length = (np.asarray(end) - np.asarray(start)).astype(U64)
-        return mix(self.raw(start, end) + length * U64(0x9E3779B97F4A7C15))
+def words_at_bytes(data: np.ndarray) -> np.ndarray:
+    """The little-endian 64-bit word that begins at each byte, and one past the end; beyond the end all bytes are 0."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes: its length and then its words of eight bytes are taken into a state that is
+    avalanched after each, so no algebra on the bytes carries over; spans of over ``LONGEST`` bytes by BLAKE2b."""
+    start, length = np.asarray(start, np.int64), np.asarray(end, np.int64) - np.asarray(start, np.int64)
+    word = words_at_bytes(data)
+    state = mix(length.astype(U64) * STEP + SEED)
+    if not len(start):
+        return state
+    long_ = np.flatnonzero(length > LONGEST)
+    left = np.minimum(length, 8)
+    state = mix(state ^ (word[start] & LOW_BYTES[left]))
+    open_, done = np.flatnonzero((length > 8) & (length <= LONGEST)), 8
+    while len(open_):
+        left = length[open_] - done
+        state[open_] = mix(state[open_] * TURN ^ (word[start[open_] + done] & LOW_BYTES[np.minimum(left, 8)]))
+        open_, done = open_[left > 8], done + 8
+    for i in long_:
+        state[i] = int.from_bytes(hashlib.blake2b(data[start[i] : start[i] + length[i]].tobytes(), digest_size=8).digest(), "little")
+    return state
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One hash for each pair of hashes, in this order; in blocks that stay in the processor's cache."""
+    out = np.empty(len(a), U64)
+    for i in range(0, len(a), 1 << 15):
+        x = np.multiply(b[i : i + (1 << 15)], TURN, out=out[i : i + (1 << 15)])
+        x ^= x >> U64(32)
+        x += a[i : i + (1 << 15)]
+        x *= STEP
+        x ^= x >> U64(29)
+    return out
+
+
+class Rolling:
+    """Hashes of spans at any place of one sequence of bytes or of word hashes, by doubling: the hash of 2**k tokens joins
+    those of its halves, and a span's joins those of the longest such runs at its two ends. ``lengths`` are those of the
+    spans that are asked for, and the hash of a sequence depends on them and on the tokens only."""
+
+    def __init__(self, tokens: np.ndarray, lengths: Iterable[int]):
+        want = {n.bit_length() - 1 for n in lengths}
+        k = 0
+        if tokens.dtype != np.uint8:
+            now = mix(tokens ^ SEED)
+        elif min(want) >= 3:
+            now, k = mix(words_at_bytes(tokens)[: max(0, len(tokens) - 7)] ^ SEED), 3
+        else:
+            now = BYTE_CODE[tokens]
+        self.levels = {}
+        while True:
+            if k in want:
+                self.levels[k] = now
+            if k >= max(want):
+                break
+            n = max(0, len(now) - (1 << k))
+            now = joined(now[:n], now[1 << k :][:n])
+            k += 1
+
+    def all(self, length: int) -> np.ndarray:
+        """Of the spans of this length at all places."""
+        k = length.bit_length() - 1
+        level, n = self.levels[k], max(0, len(self.levels[k]) - length + (1 << k))
+        return joined(level[:n], level[length - (1 << k) :][:n])
+
+    def __call__(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        if isinstance(length, int):
+            k = length.bit_length() - 1
+            return joined(self.levels[k][start], self.levels[k][start + length - (1 << k)])
+        out = np.empty(len(start), U64)
+        kind = np.frexp(length.astype(np.float64))[1] - 1
+        for k in np.unique(kind):
+            mine = np.flatnonzero(kind == k)
+            out[mine] = joined(self.levels[int(k)][start[mine]], self.levels[int(k)][start[mine] + length[mine] - (1 << int(k))])
+        return out
 
 
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,8 +151,6 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
             last = max(first + 1, int(np.searchsorted(at, at[first] + most, side="right")) - 1)
             yield batch.slice(first, last - first), data[at[first] : at[last]], at[first : last + 1] - at[first]
             first = last
-    for key in _powers:  # an idle worker holds no tables
-        _powers[key] = np.ones(1, U64)
 
 
 def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,7 +192,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.
 def hashed_words(data: np.ndarray, at: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of every word, and the first word of each document."""
     start, end, first = word_spans(data, at)
-    return Hasher(LOWER[data] if lower else data)(start, end), start, end, first
+    return span_hashes(LOWER[data] if lower else data, start, end), start, end, first
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import dealt, table, written
-from .kernels import LOWER, SPACE, U64, Hasher, signed, slices
+from .kernels import LOWER, SPACE, U64, signed, slices, span_hashes
 from .perfect_hash import PerfectHash
 
 SHARD_KEYS = 200_000
@@ -51,7 +51,7 @@ def line_keys(data: np.ndarray, at: np.ndarray, least_chars: int) -> tuple[np.nd
     key_start, key_end = start.copy(), start.copy()
     key_start[full], key_end[full] = solid[left[full]], solid[right[full] - 1] + 1
     points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    return start, end, np.searchsorted(owner, np.arange(len(at))), Hasher(LOWER[data])(key_start, key_end), points[key_end] - points[key_start] >= least_chars
+    return start, end, np.searchsorted(owner, np.arange(len(at))), span_hashes(LOWER[data], key_start, key_end), points[key_end] - points[key_start] >= least_chars
 
 
 def _line_ends(start: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table
-from .kernels import LOWER, Hasher, slices, word_spans
+from .kernels import LOWER, slices, span_hashes, word_spans
 from .packed import record_batch
 
 PASSAGE = 40
@@ -67,7 +67,7 @@ def features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         count = (sums[end] - sums[start]).astype(np.float64)
         upper = count if upper is None else upper
         columns.append(per(count) / size)
-    words = Hasher(LOWER[data])(start, end)
+    words = span_hashes(LOWER[data], start, end)
     same = np.zeros(len(words))
     same[1:] = (words[1:] == words[:-1]) & (passage[1:] == passage[:-1])
     order = np.lexsort((words, passage))
