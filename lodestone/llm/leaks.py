@@ -4,12 +4,14 @@ Items and texts are lower-cased (A-Z) and split at white space; their shingles a
 windows that have as many words as an item are compared with it by weighted-shingle similarity: the sum of the lesser
 of both multiplicities of each shingle over the sum of the greater. A window at or over the threshold is a leak.
 
-A window that shares no shingle with an item has similarity 0, so only windows around shared shingles are
-fingerprinted. Fingerprints of 64 bits are searched in a multi-index: they are cut into ``BLOCKS`` blocks, and two
-within ``RADIUS`` bits differ by at most RADIUS // BLOCKS bits in one block, so the items that a block's table has
-under the window's value are all that can be within the radius. Candidates within the radius are verified exactly. At
-the threshold similarity the expected distance is 10 bits and 20 is over three standard deviations away; verbatim
-copies are at 0.
+1. Windows around an item's rarest shingles are fingerprinted; an item over the threshold has one of them at least in
+   its window. Fingerprints of 64 bits are searched in a multi-index of ``BLOCKS`` blocks, each a table of buckets by the
+   block's value: two within ``RADIUS`` = BLOCKS - 1 bits are equal in a block, so the lookups find all within the
+   radius, and an item's nearest window is verified exactly. Verbatim windows are at distance 0, so they are found here.
+2. At the threshold the expected distance is 10 bits, beyond what blocks of a useful width guarantee. So the items that
+   share a rarest shingle with a document and have no verbatim window in it are compared with all its windows exactly:
+   each occurrence of an item's shingle counts for an interval of windows, and a sweep over the intervals' ends gives
+   the greatest overlap, in time that follows the number of occurrences. Nothing over the threshold is missed.
 
 Items are sent to the tasks in parts of ``ITEMS`` at most, one pass over the documents for each, so what is broadcast
 is bounded whatever the benchmark's size.
@@ -38,7 +40,10 @@ from .kernels import U64, hashed_words, shingle_hashes, slices
 from .packed import record_batch
 
 SHINGLE, THRESHOLD = 5, 0.8
-BITS, RADIUS, BLOCKS = 64, 20, 8
+BITS, BLOCKS = 64, 8
+RADIUS = BLOCKS - 1
+#: Candidates of the multi-index that are compared at a time.
+PAIRS = 1 << 20
 ITEMS = 20_000
 _FILTER_BITS = 20
 
@@ -55,41 +60,86 @@ def fingerprints(shingles: np.ndarray, starts: np.ndarray, size: int) -> np.ndar
 
 
 class MultiIndex:
-    """Finds all of a set of fingerprints within RADIUS bits of a query, by blocks of BITS // BLOCKS bits."""
+    """Finds all of a set of fingerprints within RADIUS bits of a query, by equal blocks of BITS // BLOCKS bits."""
 
     def __init__(self, prints: np.ndarray):
         self.prints = prints
-        width = BITS // BLOCKS
-        near = np.bitwise_count(np.arange(1 << width)[:, None] ^ np.arange(1 << width)[None, :]) <= RADIUS // BLOCKS
         values = prints.view(np.uint8).reshape(-1, BLOCKS)
-        #: For each block and each value of it the fingerprints that are near in it.
-        self.tables = [near[:, values[:, b]] for b in range(BLOCKS)]
+        #: For each block the fingerprints by its value, and where each value's bucket begins.
+        self.order = [np.argsort(values[:, b], kind="stable") for b in range(BLOCKS)]
+        self.begin = [np.searchsorted(values[o, b], np.arange(257)) for b, o in enumerate(self.order)]
 
-    def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of queries and fingerprints that are within the radius."""
+    def search(self, queries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers of queries and fingerprints that are within the radius, each pair once, in parts of a bounded size."""
         values = queries.view(np.uint8).reshape(-1, BLOCKS)
-        near = self.tables[0][values[:, 0]]
-        for b in range(1, BLOCKS):
-            near = near | self.tables[b][values[:, b]]
-        q, f = np.nonzero(near)
-        close = np.bitwise_count(queries[q] ^ self.prints[f]) <= RADIUS
-        return q[close], f[close]
-
-
-def similarity(x: Counter, y: Counter) -> float:
-    both = sum((x & y).values())
-    return both / (sum(x.values()) + sum(y.values()) - both)
+        sizes = np.stack([np.diff(self.begin[b])[values[:, b]] for b in range(BLOCKS)], axis=1)
+        running = np.cumsum(sizes.sum(axis=1))
+        low = 0
+        while low < len(queries):
+            high = max(low + 1, int(np.searchsorted(running, (running[low - 1] if low else 0) + PAIRS, side="right")))
+            found = []
+            for b in range(BLOCKS):
+                n = sizes[low:high, b]
+                at = np.repeat(self.begin[b][values[low:high, b]] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                found.append(np.repeat(np.arange(low, high), n) * len(self.prints) + self.order[b][at])
+            pairs = np.unique(np.concatenate(found))
+            q, f = pairs // len(self.prints), pairs % len(self.prints)
+            close = np.bitwise_count(queries[q] ^ self.prints[f]) <= RADIUS
+            yield q[close], f[close]
+            low = high
+
+
+def similarity(both: np.ndarray | int, n: int, m: int) -> np.ndarray | float:
+    """Of two multisets of n and m shingles that share so many."""
+    return both / (n + m - both)
+
+
+class Item:
+    """The shingles of an item: distinct ones, ascending, with their multiplicities."""
+
+    def __init__(self, number: int | None, shingles: np.ndarray):
+        self.number, self.size = number, len(shingles)
+        self.kinds, self.times = np.unique(shingles, return_counts=True)
+
+    def overlap(self, window: np.ndarray) -> int:
+        kinds, times = np.unique(window, return_counts=True)
+        at = np.minimum(np.searchsorted(kinds, self.kinds), len(kinds) - 1)
+        return int(np.minimum(times[at], self.times)[kinds[at] == self.kinds].sum())
+
+    def best(self, order: np.ndarray, ordered: np.ndarray, width: int) -> tuple[int, int]:
+        """The greatest overlap with a window of ``width`` shingles, and the first window that has it. An occurrence
+        counts for the windows that hold it and, before it, fewer of its kind than the item has."""
+        left, right = np.searchsorted(ordered, self.kinds, side="left"), np.searchsorted(ordered, self.kinds, side="right")
+        n = right - left
+        if not n.any():
+            return 0, 0
+        entry = np.repeat(left - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        place, times, first = order[entry], np.repeat(self.times, n), np.repeat(left, n)
+        before = entry - times
+        low = np.maximum(np.where(before >= first, order[np.maximum(before, 0)] + 1, 0), np.maximum(place - width + 1, 0))
+        high = np.minimum(place, len(order) - width) + 1
+        some = low < high
+        at = np.concatenate((low[some], high[some]))
+        if not len(at):
+            return 0, 0
+        by = np.argsort(at, kind="stable")
+        steps = np.concatenate((np.ones(some.sum(), np.int64), np.full(some.sum(), -1)))[by]
+        at, total = at[by], np.cumsum(steps)
+        last = np.append(at[1:] != at[:-1], True)  # the sum at a place holds after all steps there
+        total, at = total[last], at[last]
+        top = int(np.argmax(total))
+        return int(total[top]), int(at[top])
 
 
 class Items:
-    """Benchmark items, by their number of words, with a multi-index for each."""
+    """Benchmark items, by their number of words, with a multi-index for each, and by their rarest shingles."""
 
-    def __init__(self, rows: list[tuple[int, str | None]]):
+    def __init__(self, rows: list[tuple[int, str | None]], threshold: float = THRESHOLD):
+        self.threshold = threshold
         column = pa.array([t for _, t in rows], pa.string())
-        self.groups: dict[int, tuple[list[int], list[Counter], MultiIndex]] = {}
         #: By number of words, the items of fewer words than a shingle: sorted hashes and the items of each.
         self.short: dict[int, tuple[np.ndarray, list[int]]] = {}
-        found: dict[int, list[tuple[int, np.ndarray]]] = {}
+        found: list[tuple[int, int, np.ndarray]] = []
         short: dict[int, list[tuple[int, int]]] = {}
         for batch, data, at in slices([pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), column], names=["item_id", "text"])]):
             words, _, _, first = hashed_words(data, at)
@@ -97,34 +147,48 @@ class Items:
             for i, item in enumerate(batch.column("item_id").to_pylist()):
                 size = int(first[i + 1] - first[i])
                 if size >= SHINGLE:
-                    found.setdefault(size, []).append((item, shingles[bounds[i] : bounds[i + 1]]))
+                    found.append((size, item, shingles[bounds[i] : bounds[i + 1]]))
                 elif size:
                     short.setdefault(size, []).append((int(shingle_hashes(words[first[i] : first[i + 1]], np.array([0, size]), size)[0][0]), item))
-        keys, owners = [], []
         for size, pairs in sorted(short.items()):
             pairs.sort(key=lambda x: x[0])
             self.short[size] = (np.array([h for h, _ in pairs], U64), [i for _, i in pairs])
-        for size, members in sorted(found.items()):
-            prints = np.concatenate([fingerprints(s, np.zeros(1, np.int64), len(s)) for _, s in members])
-            self.groups[size] = ([i for i, _ in members], [Counter(s.tolist()) for _, s in members], MultiIndex(prints))
-            own = np.unique(np.concatenate([s for _, s in members]))
-            keys.append(own)
-            owners.append(np.full(len(own), size))
-        self.keys, self.owners = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((keys, U64), (owners, np.int64)))
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, self.owners = self.keys[order], self.owners[order]
+        found.sort(key=lambda x: x[0])
+        #: Items by number of words, and of each such group its first item and its multi-index.
+        self.items = [Item(number, s) for _, number, s in found]
+        self.sizes = np.array([size for size, _, _ in found], np.int64)
+        self.groups: dict[int, tuple[int, MultiIndex]] = {}
+        for size in np.unique(self.sizes):
+            i, j = np.searchsorted(self.sizes, (size, size + 1))
+            self.groups[int(size)] = int(i), MultiIndex(np.concatenate([fingerprints(s, np.zeros(1, np.int64), len(s)) for _, _, s in found[i:j]]))
+        self._rarest()
+
+    def _rarest(self) -> None:
+        """Of each item so many shingles, in the order of how many items have them, that a multiset over the threshold
+        shares one: it shares threshold * size of them at least."""
+        all_ = np.concatenate([x.kinds for x in self.items]) if self.items else np.zeros(0, U64)
+        kinds, common = np.unique(all_, return_counts=True)
+        keys, owners = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        for i, item in enumerate(self.items):
+            order = np.argsort(common[np.searchsorted(kinds, item.kinds)], kind="stable")
+            spare = item.size - int(np.ceil(self.threshold * item.size - 1e-9))
+            held = np.cumsum(item.times[order])
+            mine = item.kinds[order][: int(np.searchsorted(held, spare, side="right")) + 1]
+            keys.append(mine)
+            owners.append(np.full(len(mine), i))
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], owners[order]
         self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
         self.filter[(self.keys >> U64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
-    def hits(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of shingles that items have, with the items' sizes; a place comes once for each size."""
-        if not len(self.keys):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def hits(self, shingles: np.ndarray) -> np.ndarray:
+        """Places of shingles that are among some item's rarest."""
         place = np.flatnonzero(self.filter[(shingles >> U64(64 - _FILTER_BITS)).astype(np.int64)])
-        left, right = (np.searchsorted(self.keys, shingles[place], side=s) for s in ("left", "right"))
-        n = right - left
-        entry = np.repeat(left - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        return np.repeat(place, n), self.owners[entry]
+        if not len(self.keys) or not len(place):
+            return place[:0]
+        at = np.minimum(np.searchsorted(self.keys, shingles[place]), len(self.keys) - 1)
+        return place[self.keys[at] == shingles[place]]
 
     def short_leaks(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, tuple[int, float, int, int]]]:
         """Document, and item_id, similarity, first word and number of words, of the first run of words that is a short
@@ -143,45 +207,70 @@ class Items:
                 for k in range(i, j):
                     yield d, (ids[k], 1.0, at, size)
 
-    def leaks(self, shingles: np.ndarray, n_words: int, place: np.ndarray, sizes: np.ndarray, threshold: float) -> list[tuple[int, float, int, int]]:
-        """item_id, similarity, first word and number of words of each item's best window in one document."""
-        out = []
-        for size in np.unique(sizes):
-            ids, counters, index = self.groups[int(size)]
+    def leaks(self, shingles: np.ndarray, n_words: int, place: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """item_id, similarity, first word and number of words of each item's best window in one document; ``place`` are
+        the hits in it."""
+        kinds = np.unique(shingles[place])
+        left, right = np.searchsorted(self.keys, kinds, side="left"), np.searchsorted(self.keys, kinds, side="right")
+        near = np.unique(np.concatenate([self.owners[i:j] for i, j in zip(left, right, strict=True)]))
+        best: dict[int, tuple[float, int, int]] = {}
+        for size in np.unique(self.sizes[near]):
             words = min(int(size), n_words)
             width = max(1, words - SHINGLE + 1)
-            reach = place[sizes == size][:, None] - np.arange(width)[None, :]
-            starts = np.unique(reach[(reach >= 0) & (reach <= len(shingles) - width)])
-            best: dict[int, tuple[float, int]] = {}
-            queries, candidates = index.search(fingerprints(shingles, starts, width))
-            for q in np.unique(queries):
-                window = Counter(shingles[starts[q] : starts[q] + width].tolist())
-                for f in candidates[queries == q]:
-                    s = similarity(window, counters[f])
-                    if s >= threshold and s > best.get(f, (0.0, 0))[0]:
-                        best[f] = (s, int(starts[q]))
-            out += [(ids[f], s, at, words) for f, (s, at) in best.items()]
-        return out
-
-
-def _found(batches: Iterable[pa.RecordBatch], items: Items, threshold: float) -> Iterator[tuple[pa.RecordBatch, dict[int, list]]]:
+            lead, index = self.groups[int(size)]
+            if width < self.threshold * self.items[lead].size - 1e-9:
+                continue  # the text is too short for items of this size
+            self._verified(shingles, place, width, words, lead, index, best)
+        order = np.argsort(shingles, kind="stable")
+        ordered = shingles[order]
+        for i in near.tolist():
+            item, words = self.items[i], min(int(self.sizes[i]), n_words)
+            width = max(1, words - SHINGLE + 1)
+            if width < self.threshold * item.size - 1e-9 or best.get(i, (0.0,))[0] == 1.0:
+                continue
+            both, at = item.best(order, ordered, width)
+            s = similarity(both, width, item.size)
+            if s >= self.threshold:
+                best[i] = (s, at, words)
+        return [(self.items[i].number, *x) for i, x in best.items()]
+
+    def _verified(self, shingles: np.ndarray, place: np.ndarray, width: int, words: int, lead: int, index: MultiIndex, best: dict) -> None:
+        """Puts into ``best`` the items of one size of which the window with the nearest fingerprint, the first of such
+        ones, is over the threshold."""
+        touched = np.zeros(len(shingles) + 1, np.int64)
+        np.add.at(touched, np.maximum(place - width + 1, 0), 1)
+        np.add.at(touched, place + 1, -1)
+        starts = np.flatnonzero(np.cumsum(touched[:-1])[: len(shingles) - width + 1])
+        if not len(starts):
+            return
+        prints = fingerprints(shingles, starts, width)
+        nearest = np.full(len(index.prints), np.iinfo(np.int64).max)
+        for q, f in index.search(prints):
+            np.minimum.at(nearest, f, np.bitwise_count(prints[q] ^ index.prints[f]).astype(np.int64) * len(starts) + q)
+        for f in np.flatnonzero(nearest < np.iinfo(np.int64).max).tolist():
+            item, at = self.items[lead + f], int(starts[nearest[f] % len(starts)])
+            s = similarity(item.overlap(shingles[at : at + width]), width, item.size)
+            if s >= self.threshold:
+                best[lead + f] = (s, at, words)
+
+
+def _found(batches: Iterable[pa.RecordBatch], items: Items) -> Iterator[tuple[pa.RecordBatch, dict[int, list]]]:
     """Each slice with the leaks of its documents."""
     for batch, data, at in slices(batches):
         words, _, _, first = hashed_words(data, at)
         shingles, bounds = shingle_hashes(words, first, SHINGLE)
-        place, sizes = items.hits(shingles)
-        doc = np.searchsorted(bounds, place, side="right") - 1
+        place = items.hits(shingles)
+        cuts = np.searchsorted(place, bounds)
         out: dict[int, list] = {}
-        for i in np.unique(doc):
-            mine = doc == i
-            if leaks := items.leaks(shingles[bounds[i] : bounds[i + 1]], int(first[i + 1] - first[i]), place[mine] - bounds[i], sizes[mine], threshold):
+        for i in np.flatnonzero(np.diff(cuts)):
+            if leaks := items.leaks(shingles[bounds[i] : bounds[i + 1]], int(first[i + 1] - first[i]), place[cuts[i] : cuts[i + 1]] - bounds[i]):
                 out[int(i)] = leaks
-        for i, leak in items.short_leaks(words, first) if threshold <= 1 else ():
+        for i, leak in items.short_leaks(words, first) if items.threshold <= 1 else ():
             out.setdefault(i, []).append(leak)
         yield batch, out
 
 
-def _parts(benchmark: DataFrame) -> Iterator[Callable[[], Items]]:
+def _parts(benchmark: DataFrame, threshold: float) -> Iterator[Callable[[], Items]]:
     """The items, in parts of a bounded size; built once in each worker."""
     spark = benchmark.sparkSession
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).toLocalIterator()
@@ -189,15 +278,15 @@ def _parts(benchmark: DataFrame) -> Iterator[Callable[[], Items]]:
     for row in rows:
         part.append((row["item_id"], row["text"]))
         if len(part) == ITEMS:
-            yield _sent(spark, part)
+            yield _sent(spark, part, threshold)
             part = []
     if part:
-        yield _sent(spark, part)
+        yield _sent(spark, part, threshold)
 
 
-def _sent(spark: SparkSession, part: list[tuple]) -> Callable[[], Items]:
+def _sent(spark: SparkSession, part: list[tuple], threshold: float) -> Callable[[], Items]:
     sent = spark.sparkContext.broadcast(sorted(part, key=lambda r: (r[0] is None, r[0])))
-    return lambda: Items(sent.value)
+    return lambda: Items(sent.value, threshold)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -205,10 +294,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     result = "doc_id long, item_id long, similarity double, first_word long, n_words long"
     out = given.sparkSession.createDataFrame([], result)
-    for part in _parts(benchmark):
+    for part in _parts(benchmark, threshold):
 
         def run(batches: Iterable[pa.RecordBatch], part: Callable[[], Items] = part) -> Iterator[pa.RecordBatch]:
-            for batch, found in _found(batches, part(), threshold):
+            for batch, found in _found(batches, part()):
                 rows = [(batch.column("doc_id")[i].as_py(), *leak) for i, leaks in found.items() for leak in leaks]
                 yield record_batch(rows, [x.split()[0] for x in result.split(", ")], [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()])
 
@@ -218,10 +307,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that leak no item, with all their columns."""
-    for part in _parts(benchmark):
+    for part in _parts(benchmark, threshold):
 
         def run(batches: Iterable[pa.RecordBatch], part: Callable[[], Items] = part) -> Iterator[pa.RecordBatch]:
-            for batch, found in _found(batches, part(), threshold):
+            for batch, found in _found(batches, part()):
                 keep = np.ones(batch.num_rows, dtype=bool)
                 keep[list(found)] = False
                 yield batch.filter(pa.array(keep))
@@ -255,9 +344,11 @@ def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str |
             if not words or not asked:
                 continue
             size, n = min(len(asked), len(words)), min(len(asked), SHINGLE)
-            target, best = Counter(shingles(asked, n)), (0.0, 0)
+            target, best, pieces = Counter(shingles(asked, n)), (0.0, 0), shingles(words, n)
             for i in range(len(words) - size + 1):
-                s = similarity(Counter(shingles(words, n)[i : i + max(1, size - n + 1)]), target)
+                window = Counter(pieces[i : i + max(1, size - n + 1)])
+                both = sum((window & target).values())
+                s = similarity(both, sum(window.values()), sum(target.values()))
                 if s > best[0]:
                     best = (s, i)
             if best[0] >= threshold:
