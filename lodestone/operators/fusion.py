@@ -133,3 +133,8 @@ def diversify(ranked: DataFrame, limit: int = 20, documents: int = 3, strict_lim
     most = F.lit(max(1, limit)) if strict_limit else F.greatest(F.lit(max(1, limit)), leads + 1)
     kept = placed.withColumn("__most", most).filter(F.col("position") <= F.col("__most"))
     return kept.drop("__in_doc", "__lead", "__most")
+
+
+def first_of(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row for each key, the first in order."""
+    return rank_within(rows, keys, order, name="__n").filter(F.col("__n") == 1).drop("__n")

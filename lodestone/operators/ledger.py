@@ -86,3 +86,57 @@ def apply_changes(sections: DataFrame, changes: DataFrame, keys: list[str], at:
     out = out.withColumn("started_at", F.when(moved & (F.col("status") == "in_progress"), F.coalesce("started_at", at)).otherwise(F.col("started_at")))
     out = out.withColumn("completed_at", F.when(moved & F.col("status").isin(*TERMINAL_STATUSES), at).otherwise(F.col("completed_at")))
     return out.withColumn("updated_at", F.when(moved, at).otherwise(F.col("updated_at"))).drop("__to")
+
+
+CHANGED_NOTE = "Section content changed since the previous ledger revision."
+
+
+def bundle_id(source_sha256: Column | str) -> Column:
+    return F.concat(F.lit("bundle-v2-"), F.substring(source_sha256, 1, 16))
+
+
+def snapshot(manifests: DataFrame, sections: DataFrame, key: str = "directory") -> tuple[DataFrame, DataFrame]:
+    """What a ledger is made of, of all bundles at once: heads (key, bundle_id, source_sha256, violation) and section
+    entries (key, id, content_sha256, status).
+
+    manifests: key, schema_version, source_sha256. sections: key, id, content, quality, validation_status."""
+    old = ~F.startswith(F.coalesce("schema_version", F.lit("")), F.lit("2"))
+    violation = F.when(old, "bundle-v2-required").when(F.coalesce("source_sha256", F.lit("")) == "", "source-sha-required")
+    heads = manifests.select(key, bundle_id("source_sha256").alias("bundle_id"), "source_sha256", violation.alias("violation"))
+    entries = sections.select(key, F.trim("id").alias("id"), F.sha2(F.coalesce("content", F.lit("")).cast("binary"), 256).alias("content_sha256"), first_status(F.col("validation_status"), F.col("quality")).alias("status"))
+    return heads, entries.filter("id <> ''")
+
+
+def merge_ledgers(heads: DataFrame, entries: DataFrame, old_heads: DataFrame, old_sections: DataFrame, key: str = "directory", at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Ledgers after a new snapshot: heads (key, bundle_id, revision, created_at, action, violation, n_changed) and
+    sections (all kept state, previous_status, orphaned, removed_at).
+
+    heads and entries are of ``snapshot``. old_heads: key, bundle_id, revision, created_at. old_sections: key, id,
+    content_sha256, status, previous_status, outputs, qa_items, notes, started_at, completed_at, updated_at. A ledger of
+    another source keeps its sections, and its head says so. Unchanged sections keep all that they had; changed ones
+    keep outputs, checks and notes, with one note more; sections that went are orphaned and stale."""
+    at = at if at is not None else F.current_timestamp()
+    before = old_heads.select(key, F.col("bundle_id").alias("__bundle"), F.col("revision").alias("__revision"), F.col("created_at").alias("__created"))
+    met = heads.filter("violation IS NULL").drop("violation").join(before, key, "left")
+    known = F.col("__bundle").isNotNull()
+    conflict = known & (F.col("__bundle") != F.col("bundle_id"))
+    met = met.withColumn("violation", F.when(conflict, "bundle-id-conflict")).withColumn("action", F.when(known, "reconciled").otherwise("initialized"))
+    new_heads = met.select(key, "source_sha256", F.when(conflict, F.col("__bundle")).otherwise(F.col("bundle_id")).alias("bundle_id"), F.when(conflict, F.col("__revision")).otherwise(F.coalesce("__revision", F.lit(0)) + 1).alias("revision"), F.coalesce("__created", at).alias("created_at"), "action", "violation")
+    good = met.filter("violation IS NULL").select(key)
+    state = ("status", "previous_status", "outputs", "qa_items", "notes", "started_at", "completed_at", "updated_at")
+    fresh = entries.join(good, key, "left_semi").select(key, "id", F.col("content_sha256").alias("__new"), F.col("status").alias("__first"))
+    # A ledger of another source isn't touched, and neither is one without a new snapshot.
+    held = old_sections.select(key, "id", F.col("content_sha256").alias("__old"), *[F.col(c).alias(f"__{c}") for c in state]).join(good, key, "left_semi")
+    both = fresh.withColumn("__in", F.lit(True)).join(held.withColumn("__was", F.lit(True)), [key, "id"], "full_outer")
+    added, gone = F.col("__was").isNull(), F.col("__in").isNull()
+    changed = ~added & ~gone & ~F.col("__new").eqNullSafe(F.col("__old"))
+    none = F.array().cast("array<string>")
+    kept = {c: F.coalesce(f"__{c}", none) for c in ("outputs", "qa_items", "notes")}
+    kept["notes"] = F.when(changed, F.concat(kept["notes"], F.array(F.lit(CHANGED_NOTE)))).otherwise(kept["notes"])
+    times = {c: F.when(changed, F.lit(None)).otherwise(F.col(f"__{c}")) for c in ("started_at", "completed_at")}
+    sections = both.select(
+        key, "id", F.coalesce("__new", "__old").alias("content_sha256"), F.when(added, F.col("__first")).when(gone, "stale").otherwise(carried_status(F.col("__status"), changed)).alias("status"),
+        F.when(changed, F.col("__status")).otherwise(F.col("__previous_status")).alias("previous_status"), *[x.alias(c) for c, x in kept.items()], *[x.alias(c) for c, x in times.items()],
+        F.when(changed, at).otherwise(F.col("__updated_at")).alias("updated_at"), gone.alias("orphaned"), F.when(gone, at).alias("removed_at"), changed.alias("changed"))
+    counted = sections.filter("changed").groupBy(key).agg(F.count("*").alias("n_changed"))
+    return new_heads.join(counted, key, "left").withColumn("n_changed", F.coalesce("n_changed", F.lit(0))), sections.drop("changed")

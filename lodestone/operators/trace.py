@@ -150,3 +150,34 @@ def short_claim(claims: DataFrame, most: int = 4000) -> DataFrame:
     """The first of a claim's aliases that isn't blank, as text."""
     names = [c for c in ("text", "claim", "statement", "claim_text") if c in claims.columns]
     return claims.withColumn("text", shorten(F.coalesce(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in names]), most))
+
+
+def in_order(*columns: str) -> Window:
+    """A window over the rows of the first column, in the order of the others."""
+    return Window.partitionBy(columns[0]).orderBy(*columns[1:])
+
+
+def append_events(traces: DataFrame, events: DataFrame, new: DataFrame, by: str = "trace_id", at: str = "at", id_column: str = "event_id") -> DataFrame:
+    """Events after an append: the new ones follow those of their trace, in the order of their times, with candidate lists
+    cut to the audit limit. A new event of a trace that was never started has no ordinal but a violation.
+
+    traces: by, of all started ones. events: by, ordinal and the columns of ``new``."""
+    last = events.groupBy(by).agg(F.max("ordinal").alias("__last"))
+    known = traces.select(by).distinct().withColumn("__known", F.lit(True))
+    placed = clean_events(new).join(known, by, "left").join(last, by, "left").withColumn("__n", F.row_number().over(in_order(by, at, id_column)))
+    started = F.coalesce(F.col("__known"), F.lit(False))
+    fresh = placed.withColumn("ordinal", F.when(started, F.coalesce("__last", F.lit(0)) + F.col("__n"))).withColumn("violation", F.when(~started, "trace-not-started")).drop("__known", "__last", "__n")
+    return clean_events(events).withColumn("violation", F.lit(None).cast("string")).unionByName(fresh)
+
+
+def start_traces(started: DataFrame, new: DataFrame, by: str = "trace_id") -> DataFrame:
+    """The new traces, and why one can't be started: its id is taken, or comes twice."""
+    twice = F.count("*").over(Window.partitionBy(by)) > 1
+    met = new.withColumn("__twice", twice).join(started.select(by).distinct().withColumn("__taken", F.lit(True)), by, "left")
+    return met.withColumn("violation", F.when(F.col("__taken"), "trace-exists").when(F.col("__twice"), "trace-id-repeated")).drop("__taken", "__twice")
+
+
+def newest(events: DataFrame, by: list[str], stage: str) -> DataFrame:
+    """The last event of a stage of each group. events: by, ordinal, stage."""
+    last = Window.partitionBy(*by).orderBy(F.desc("ordinal"))
+    return events.filter(F.col("stage") == stage).withColumn("__n", F.row_number().over(last)).filter("__n = 1").drop("__n")
