@@ -203,3 +203,50 @@ WITH {LEDGERS} SELECT directory, id, sha256(CASE WHEN is_new AND edited THEN pri
   CASE WHEN NOT is_old THEN CASE WHEN i % 8 = 0 OR i % 5 = 0 THEN 'qa_required' ELSE 'pending' END WHEN NOT is_new THEN 'stale' WHEN NOT changed THEN held WHEN held = 'qa_required' THEN 'qa_required' ELSE 'stale' END AS status,
   CASE WHEN NOT is_old THEN NULL WHEN changed THEN held WHEN i % 2 = 0 THEN 'pending' END AS previous_status, CASE WHEN is_old THEN 'out' ELSE '' END AS outputs, CASE WHEN is_old AND i % 6 = 0 THEN 'qa' ELSE '' END AS qa_items, CASE WHEN changed THEN 1 ELSE 0 END AS n_notes,
   CASE WHEN is_old AND NOT changed THEN 2021 END AS started, CASE WHEN NOT is_old THEN NULL WHEN changed THEN 2022 ELSE 2021 END AS updated, NOT is_new AS orphaned, CASE WHEN NOT is_new THEN 2022 END AS removed FROM s"""
+
+SQL |= {
+    "source_resolution": """
+WITH w AS (SELECT page_id AS k, CASE WHEN page_id % 4 = 0 THEN '' ELSE 'sha' || (page_id % 3) END AS sha, page_id % 11 <> 0 AS named FROM pages),
+f AS (SELECT k, 'docs/' || k || '.pdf' AS path, 0 AS place, 'sha' || (k % 3) AS h FROM w WHERE k % 2 = 0 AND k % 4 <> 2 UNION ALL SELECT k, '10_Raw/a/' || k || '.pdf', 1, 'sha' || (k % 3) FROM w WHERE k % 5 = 0 AND k % 7 < 3
+  UNION ALL SELECT k, '10_Raw/' || k || '.pdf', 2, 'sha' || (k % 2) FROM w WHERE named AND k % 6 = 1),
+d AS (SELECT f.k, arg_min(path, place) AS path FROM f JOIN w ON w.k = f.k WHERE sha = '' OR sha = h GROUP BY f.k),
+r AS (SELECT k, '10_Raw/' || k || '.pdf' AS path, 'sha' || (k % 2) AS h FROM w WHERE k % 6 = 1 UNION ALL SELECT k, '10_Raw/a/' || k || '.pdf', 'sha' || (k % 3) FROM w WHERE k % 7 < 3 UNION ALL SELECT k, '10_Raw/b/' || k || '.pdf', 'sha' || (k % 3) FROM w WHERE k % 7 < 1),
+l AS (SELECT r.k, min(path) AS path FROM r JOIN w ON w.k = r.k WHERE named AND (sha = '' OR sha = h) GROUP BY r.k HAVING count(*) = 1)
+SELECT w.k AS page_id, coalesce(d.path, l.path) AS source_path, CASE WHEN d.path IS NOT NULL THEN 'path' WHEN l.path IS NOT NULL THEN 'name' ELSE 'unresolved' END AS found_by FROM w LEFT JOIN d ON d.k = w.k LEFT JOIN l ON l.k = w.k""",
+    "asset_resolution": """
+SELECT page_id AS asset_id, CASE WHEN page_id % 10 = 0 THEN NULL WHEN page_id % 3 = 0 AND page_id % 6 = 0 THEN '/abs/' || page_id || '.png' WHEN page_id % 3 <> 0 AND page_id % 5 = 0 THEN 'r1/img/' || page_id || '.png'
+  WHEN page_id % 3 <> 0 AND page_id % 4 = 0 THEN 'r2/img/' || page_id || '.png' WHEN page_id % 5 = 0 THEN 'r1/img/' || page_id || '.png' WHEN page_id % 7 = 0 THEN 'r1/z/' || page_id || '.png'
+  WHEN page_id % 2 = 0 THEN 'r2/deep/er/' || page_id || '.png' WHEN page_id % 4 = 0 THEN 'r2/img/' || page_id || '.png' END AS found FROM pages""",
+    "output_choice": """
+WITH p AS (SELECT page_id, (page_id / 4)::BIGINT AS x, page_id // 4 AS g FROM pages),
+f AS (SELECT g, CASE WHEN page_id % 3 = 0 THEN 'Out/' ELSE 'out/deep/' END || CASE WHEN page_id % 2 = 0 THEN 'Stem' || g ELSE 'x' END || '-' || page_id || CASE WHEN page_id % 5 = 0 THEN '_Content.JSON' ELSE '.md' END AS path FROM p),
+s AS (SELECT *, CASE WHEN contains(lower(path), 'stem' || g || '-') THEN 10 ELSE 0 END + CASE WHEN ends_with(lower(path), '_content.json') THEN 5 ELSE 0 END AS score FROM f)
+SELECT g, path, score FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY score DESC, len(string_split(path, '/')), path) AS n FROM s) WHERE n = 1""",
+    "sidecar_texts": """
+WITH i AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations WHERE role = 'user'),
+t AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations WHERE role = 'assistant' AND conv_id % 5 <> 0), c AS (SELECT DISTINCT conv_id, n FROM t)
+SELECT i.conv_id, i.turn AS ordinal, 'i' || i.turn AS path, CASE WHEN c.n = i.n THEN 't' || t.turn END AS text, CASE WHEN c.n <> i.n THEN 'sidecar-count' END AS violation FROM i LEFT JOIN c ON c.conv_id = i.conv_id LEFT JOIN t ON t.conv_id = i.conv_id AND t.k = i.k""",
+    "packet_provenance": """
+WITH s AS (SELECT page_id, sha256(html) AS file_sha256, CASE WHEN page_id % 4 <> 0 AND page_id % 5 <> 0 THEN 'source' END AS source_sha256 FROM pages)
+SELECT *, CASE WHEN page_id % 3 = 0 AND page_id % 2 <> 0 THEN 'ledger' ELSE coalesce(source_sha256, file_sha256) END AS document_version, page_id % 3 = 0 AS has_ledger, page_id % 4 <> 0 AS has_manifest FROM s""",
+    "packet_outputs": """
+WITH f AS (SELECT CASE WHEN doc_id % 2 = 0 THEN '30_Cards/' ELSE '50_Projects/' END || doc_id || '.md' AS path, text FROM documents WHERE doc_id < 80),
+o AS (SELECT doc_id AS section_id, unnest(['30_Cards/' || (doc_id % 90) || '.md', '50_Projects/' || (doc_id % 70) || '.md']) AS path FROM documents)
+SELECT section_id, path, sha256(text[1:12000]) AS content_sha256, length(text) > 12000 AS content_truncated FROM o JOIN f USING (path)""",
+    "block_features": """
+WITH g AS (SELECT l_orderkey, """ + ", ".join(f"count(*) FILTER (l_partkey % 8 = {i}) AS n_{k}" for i, k in enumerate(("text", "image", "chart", "table", "equation", "list", "code"))) + """ FROM lineitem GROUP BY l_orderkey)
+SELECT *, array_to_string(list_concat(CASE WHEN n_equation > 0 THEN ['formula-semantics'] ELSE [] END, CASE WHEN n_table > 0 THEN ['table-and-cross-page-structure'] ELSE [] END, CASE WHEN n_image + n_chart > 0 THEN ['figure-internals-when-used-as-evidence'] ELSE [] END), ',') AS review_required FROM g""",
+    "spec_indexes": """
+WITH e AS (SELECT o_custkey, o_orderkey AS k, unnest([0, 2]) AS pos, unnest([(o_orderkey % 4) || '.spec-index.md', (o_orderkey % 3) || 'x.spec-index.md']) AS path FROM orders), f AS (SELECT o_custkey, path, min(k * 10 + pos) AS first FROM e GROUP BY ALL)
+SELECT o_custkey, string_agg(path, ',' ORDER BY first) AS paths FROM f GROUP BY o_custkey""",
+    "request_guards": """
+WITH s AS (SELECT conv_id AS r, turn + 1 AS i, conv_id % 5 = 0 AND turn = 2 AS open, CASE WHEN conv_id % 4 = 0 THEN 4 + CASE WHEN conv_id % 8 = 0 THEN turn % 2 ELSE 0 END END AS c FROM conversations WHERE turn < 3 AND NOT (conv_id % 9 = 4 AND turn = 1)),
+g AS (SELECT r, bool_or(open) AS open, list(DISTINCT i) AS taken, count(DISTINCT c) AS counts, max(c) AS c FROM s GROUP BY r),
+q AS (SELECT conv_id AS k, CASE WHEN conv_id % 10 <> 1 THEN conv_id END AS r, CASE WHEN conv_id % 6 <> 5 THEN turn + 2 END AS i, CASE WHEN conv_id % 2 = 0 THEN 5 - CASE WHEN conv_id % 7 = 0 THEN 5 ELSE 0 END END AS n FROM conversations WHERE turn < 5)
+SELECT k, i AS question_index, n AS question_count, CASE WHEN n < 1 THEN 'count-invalid' WHEN n IS NOT NULL AND q.r IS NULL THEN 'count-needs-request' WHEN n IS NOT NULL AND i IS NULL THEN 'count-needs-index' WHEN i > n THEN 'index-over-count'
+  WHEN open THEN 'open-trace' WHEN list_contains(taken, i) THEN 'index-taken' WHEN len([x for x in generate_series(1, i - 1) if NOT list_contains(coalesce(taken, []), x)]) > 0 THEN 'index-not-sequential' WHEN counts > 1 THEN 'counts-inconsistent' WHEN counts = 1 AND n <> g.c THEN 'count-conflict' END AS violation
+FROM q LEFT JOIN g ON g.r = q.r""",
+    "trace_starts": """
+WITH e AS (SELECT event_id, event_id % 430 AS trace_id, count(*) OVER (PARTITION BY event_id % 430) AS n FROM events WHERE event_id < 500)
+SELECT event_id, trace_id, CASE WHEN trace_id IN (SELECT event_id % 430 FROM events WHERE event_id < 500 AND event_id % 7 = 0) THEN 'trace-exists' WHEN n > 1 THEN 'trace-id-repeated' END AS violation FROM e""",
+}

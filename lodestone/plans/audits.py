@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import paths
 from ..functions.text import casefold, clean_pages, empty, page_number, prettify_tables, questions, ranges_id, reason_split, safe_id, sha256, span, terms, truthy, valid_ranges
-from ..operators import catalog, chunking, evidence, fusion, hierarchy, ledger, lint, render, retrieval, session, trace, validate
+from ..operators import catalog, chunking, evidence, fusion, hierarchy, ledger, lint, render, resolve, retrieval, session, trace, validate
 from ..sources import bundles, markdown
 from .queries import asked, bm25_topk, line_chunks, order_status, query, t, turns
 
@@ -420,3 +420,93 @@ def heading_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def casefold_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat("text", F.lit(" Straße ÄÖ ĲŁ")).alias("text"))
     return c.select("conv_id", "turn", sha256(casefold("text")).alias("folded_sha256"), F.size(terms("text")).alias("n_terms"))
+
+
+# ---- resolution
+
+
+@query
+def source_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = t(spark, sf_dir, "pages")
+    file = F.concat(F.col("page_id").cast("string"), F.lit(".pdf"))
+    recorded = F.when(mod("page_id", 2), F.concat(F.lit("docs/"), file)).when(mod("page_id", 3), "../x.pdf")
+    wanted = p.select("page_id", recorded.alias("recorded_path"), F.when(mod("page_id", 5), F.concat(F.lit("10_Raw/a/"), file)).alias("manifest_path"), F.when(~mod("page_id", 11), file).otherwise("").alias("source_filename"), F.when(mod("page_id", 4), "").otherwise(F.concat(F.lit("SHA"), (F.col("page_id") % 3).cast("string"))).alias("source_sha256"))
+    places = (("docs/", F.col("page_id") % 4 != 2, 3), ("10_Raw/", F.col("page_id") % 6 == 1, 2), ("10_Raw/a/", F.col("page_id") % 7 < 3, 3), ("10_Raw/b/", F.col("page_id") % 7 < 1, 3), ("10_Raw/Converted/", F.lit(True), 3))
+    files = lint.union([p.filter(test).select(F.concat(F.lit(folder), file).alias("path"), F.concat(F.lit("sha"), (F.col("page_id") % n).cast("string")).alias("sha256")) for folder, test, n in places])
+    return resolve.resolve_sources(wanted, files, "page_id")
+
+
+@query
+def asset_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = t(spark, sf_dir, "pages")
+    file = F.concat(F.col("page_id").cast("string"), F.lit(".png"))
+    assets = p.select(F.col("page_id").alias("asset_id"), F.when(mod("page_id", 10), "").otherwise(F.concat(F.when(mod("page_id", 3), "/abs/").otherwise("img/"), file)).alias("path"))
+    places = (("/abs/", 6), ("r1/img/", 5), ("r2/img/", 4), ("r2/deep/er/", 2), ("r1/z/", 7), ("other/", 1))
+    files = lint.union([p.filter(mod("page_id", n)).select(F.concat(F.lit(folder), file).alias("path")) for folder, n in places])
+    return resolve.resolve_assets(assets, files, ["r1", "r2"])
+
+
+@query
+def output_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = t(spark, sf_dir, "pages").withColumn("g", (F.col("page_id") / 4).cast("long"))
+    path = F.concat(F.when(mod("page_id", 3), "Out/").otherwise("out/deep/"), F.when(mod("page_id", 2), F.concat(F.lit("Stem"), F.col("g").cast("string"))).otherwise("x"), F.lit("-"), F.col("page_id").cast("string"), F.when(mod("page_id", 5), "_Content.JSON").otherwise(".md"))
+    rows = p.select("g", path.alias("path"), F.concat(F.lit("stem"), F.col("g").cast("string"), F.lit("-")).alias("stem"), F.lit("_content.json").alias("suffix"))
+    return resolve.choose_outputs(rows, ["g"])
+
+
+@query
+def sidecar_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = t(spark, sf_dir, "conversations")
+    images = c.filter("role = 'user'").select("conv_id", F.col("turn").alias("ordinal"), F.concat(F.lit("i"), F.col("turn").cast("string")).alias("path"))
+    texts = c.filter("role = 'assistant' AND conv_id % 5 <> 0").select("conv_id", F.col("turn").alias("ordinal"), F.concat(F.lit("t"), F.col("turn").cast("string")).alias("text"))
+    return resolve.sidecars(images, texts, ["conv_id"])
+
+
+@query
+def packet_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = t(spark, sf_dir, "pages")
+    packets = p.select("page_id", sha256("html").alias("file_sha256"))
+    ledgers = p.filter("page_id % 3 = 0").select("page_id", F.when(mod("page_id", 2), "").otherwise("ledger").alias("document_hash"))
+    manifests = p.filter("page_id % 4 <> 0").select("page_id", F.when(~mod("page_id", 5), "source").alias("source_sha256"))
+    return resolve.provenance(packets, ledgers, manifests, "page_id")
+
+
+@query
+def packet_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = t(spark, sf_dir, "documents")
+    file = lambda folder, n: F.concat(F.lit(folder), (F.col("doc_id") % n).cast("string"), F.lit(".md"))
+    sections = d.select(F.col("doc_id").alias("section_id"), F.array(file("30_Cards/", 90), file("_system/", 3), file("50_Projects/", 70)).alias("outputs"))
+    files = d.filter("doc_id < 80").select(F.concat(F.when(mod("doc_id", 2), "30_Cards/").otherwise("50_Projects/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), "text")
+    out = resolve.governed_outputs(sections, files, ["section_id"])
+    return out.select("section_id", "path", sha256("content").alias("content_sha256"), "content_truncated")
+
+
+@query
+def block_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = ("text", "image", "chart", "table", "equation", "list", "code", "header")
+    kind = F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("l_partkey") % 8 + 1).cast("int"))
+    found = resolve.block_counts(t(spark, sf_dir, "lineitem").select("l_orderkey", kind.alias("type")), ["l_orderkey"])
+    return found.withColumn("review_required", F.array_join("review_required", ","))
+
+
+@query
+def spec_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders")
+    outputs = F.array(F.concat((F.col("o_orderkey") % 4).cast("string"), F.lit(".spec-index.md")), F.lit("card.md"), F.concat((F.col("o_orderkey") % 3).cast("string"), F.lit("x.spec-index.md")))
+    found = resolve.spec_index_paths(o.select("o_custkey", F.col("o_orderkey").alias("ordinal"), outputs.alias("outputs")), ["o_custkey"])
+    return found.select("o_custkey", F.array_join("paths", ",").alias("paths"))
+
+
+@query
+def request_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = t(spark, sf_dir, "conversations").filter("turn < 5")
+    states = c.filter("turn < 3 AND NOT (conv_id % 9 = 4 AND turn = 1)").select(F.col("conv_id").alias("request_id"), F.when(mod("conv_id", 5) & (F.col("turn") == 2), "in_progress").otherwise("completed").alias("status"), (F.col("turn") + 1).alias("question_index"), F.when(mod("conv_id", 4), F.lit(4) + F.when(mod("conv_id", 8), F.col("turn") % 2).otherwise(0)).alias("expected_count"))
+    rows = c.select(F.when(F.col("conv_id") % 10 != 1, F.col("conv_id")).alias("request_id"), F.col("conv_id").alias("k"), F.when(F.col("conv_id") % 6 != 5, F.col("turn") + 2).alias("question_index"), F.when(mod("conv_id", 2), F.lit(5) - F.when(mod("conv_id", 7), 5).otherwise(0)).alias("question_count"))
+    return resolve.request_guard(rows, states).select("k", "question_index", "question_count", "violation")
+
+
+@query
+def trace_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = t(spark, sf_dir, "events").filter("event_id < 500").select("event_id", (F.col("event_id") % 430).alias("trace_id"))
+    started = e.filter("event_id % 7 = 0").select("trace_id")
+    return trace.start_traces(started, e).select("event_id", "trace_id", "violation")

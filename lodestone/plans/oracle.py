@@ -98,7 +98,7 @@ h AS (SELECT k.document_path, k.chunk_id, least(k.chunk_id + 3, k.n) AS line_end
   FROM k JOIN r ON r.document_path = k.document_path AND k.chunk_id <= r.b AND least(k.chunk_id + 3, k.n) >= r.a JOIN scopes s ON s.document_path = r.document_path AND s.turn = r.turn JOIN t ON t.document_path = r.document_path AND t.turn = r.turn JOIN up u ON u.document_path = r.document_path AND u.turn = r.turn)
 SELECT document_path, chunk_id, line_end, section_id, owned_span, depth FROM h WHERE n = 1""",
     "hierarchical_locate": f"""
-WITH RECURSIVE {LOCATE}, so AS (SELECT query_id, section_id, document_path, score, document_score, ct, tt, rank, list_sort([(-length(t), t) for t in list_distinct(tt)]) AS st FROM located WHERE rank <= 50),
+WITH RECURSIVE {LOCATE}, so AS (SELECT query_id, section_id, document_path, score, document_score, ct, tt, rank, list_sort([(-length(t), t) for t in list_distinct(tt)]) AS st FROM located),
 fold AS (SELECT query_id, section_id, 0::BIGINT AS i, []::VARCHAR[] AS kept FROM so
   UNION ALL SELECT f.query_id, f.section_id, f.i + 1, CASE WHEN len([k for k in f.kept if contains(k, s.st[f.i + 1][2])]) > 0 THEN f.kept ELSE list_append(f.kept, s.st[f.i + 1][2]) END FROM fold f JOIN so s ON s.query_id = f.query_id AND s.section_id = f.section_id WHERE f.i < len(s.st))
 SELECT s.query_id, s.document_path, s.section_id, s.score, s.document_score, len(s.ct) AS n_content_terms, array_to_string(f.kept[1:8], ' ') AS title_terms, s.rank
@@ -122,7 +122,7 @@ WITH {TURNS}, d AS (SELECT document_path, string_agg(text, chr(10) ORDER BY turn
 k AS (SELECT s.document_path, s.section_id, 'lines-' || coalesce(string_agg(o.a || '-' || o.b, '+' ORDER BY o.a), '') AS block_id, coalesce(list(o.a ORDER BY o.a) FILTER (o.a IS NOT NULL), []) AS a, coalesce(list(o.b ORDER BY o.a) FILTER (o.a IS NOT NULL), []) AS b FROM scopes s LEFT JOIN own o USING (document_path, turn) GROUP BY s.document_path, s.section_id),
 t AS (SELECT k.*, d.text, string_split(regexp_replace(regexp_replace(d.text, '\\r\\n|\\r', chr(10), 'g'), '\\n$', ''), chr(10)) AS ls FROM k JOIN d USING (document_path)),
 u AS (SELECT document_path, section_id, block_id, text, array_to_string(flatten([ls[a[i]:b[i]] for i in range(1, len(a) + 1)]), chr(10)) AS content FROM t)
-SELECT document_path, section_id, block_id, sha256(coalesce(content[1:2000], '')) AS content_sha256, length(coalesce(content, '')) > 2000 AS content_truncated, sha256(text) AS document_version FROM u""",
+SELECT document_path, section_id, block_id, sha256(coalesce(content[1:12000], '')) AS content_sha256, length(coalesce(content, '')) > 12000 AS content_truncated, sha256(text) AS document_version FROM u""",
     "incremental_diff": """
 WITH n AS (SELECT doc_id::VARCHAR AS source_id, sha256(text) AS new_sha256 FROM documents),
 o AS (SELECT doc_id::VARCHAR AS source_id, sha256(CASE WHEN doc_id % 7 = 0 THEN 'x' || text ELSE text END) AS old_sha256 FROM documents WHERE doc_id % 10 <> 0 UNION ALL SELECT 'gone-' || doc_id, sha256(text) FROM documents WHERE doc_id % 13 = 0)

@@ -115,17 +115,17 @@ def chunk_to_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("document_path", "chunk_id", "line_end", "section_id", "owned_span", "depth")
 
 
-def located(spark: SparkSession, sf_dir: str) -> DataFrame:
+def located(spark: SparkSession, sf_dir: str, questions: DataFrame | None = None) -> DataFrame:
     docs = t(spark, sf_dir, "documents")
     routes = docs.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("lang")), " ").alias("langs"))
     routes = routes.select(F.col("source").alias("document_path"), F.concat_ws(" ", "source", "langs").alias("routing"))
     sections = docs.select(F.col("source").alias("document_path"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("section_id"), F.get(F.split("text", "\n"), F.lit(0)).alias("title"), F.array(F.col("lang")).alias("path_titles"), F.col("text").alias("content"), F.when(F.col("doc_id") % 5 == 0, "stale").otherwise("ingested").alias("ingest_status"), F.col("source").alias("source_filename"))
-    return hierarchy.locate(asked(spark, sf_dir), routes, sections)
+    return hierarchy.locate(asked(spark, sf_dir) if questions is None else questions, routes, sections)
 
 
 @query
 def hierarchical_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return located(spark, sf_dir).filter("rank <= 50").select("query_id", "document_path", "section_id", "score", "document_score", F.size("content_terms").alias("n_content_terms"), F.array_join(compact_terms(F.col("title_terms")), " ").alias("title_terms"), "rank")
+    return located(spark, sf_dir).select("query_id", "document_path", "section_id", "score", "document_score", F.size("content_terms").alias("n_content_terms"), F.array_join(compact_terms(F.col("title_terms")), " ").alias("title_terms"), "rank")
 
 
 @query
@@ -153,7 +153,7 @@ def parent_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = owned(spark, sf_dir)
     texts = turns(spark, sf_dir).groupBy("document_path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x.text), "\n").alias("text"))
-    found = evidence.packets(sections.select("document_path", "section_id", "content_ranges"), texts, most_chars=2000)
+    found = evidence.packets(sections.select("document_path", "section_id", "content_ranges"), texts)
     return found.select("document_path", "section_id", "block_id", sha256("content").alias("content_sha256"), "content_truncated", "document_version")
 
 
