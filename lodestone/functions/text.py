@@ -25,9 +25,16 @@ def empty(kind: str = "string") -> Column:
     return F.array().cast(f"array<{kind}>")
 
 
+#: What full case folding changes in lower-case letters, but for the common ß, by Unicode's own table.
+FOLDS = {chr(c): chr(c).casefold() for c in range(0x110000) if chr(c).casefold() != chr(c) == chr(c).lower() and chr(c) != "ß"}
+RARE = "[" + "".join(sorted(FOLDS)) + "]"
+
+
 def casefold(x: Column | str) -> Column:
-    """Lower case, with the one common letter that only casefolding changes."""
-    return F.replace(F.lower(text(x)), F.lit("ß"), F.lit("ss"))
+    """Full case folding: lower case, ß as ss, and in texts that hold one, the rare letters that only folding changes."""
+    low = F.replace(F.lower(text(x)), F.lit("ß"), F.lit("ss"))
+    folds = F.map_from_arrays(F.array(*map(F.lit, FOLDS)), F.array(*map(F.lit, FOLDS.values())))
+    return F.when(low.rlike(RARE), F.array_join(F.transform(F.split(low, ""), lambda c: F.coalesce(folds[c], c)), "")).otherwise(low)
 
 
 def tokens(x: Column | str) -> Column:

@@ -67,11 +67,16 @@ def read_projections(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Content blocks of a list, or of an object that holds one under content_list, data or items; in order."""
+    """Content blocks of a list, or of an object that holds one under content_list, data or items; in order. A list of
+    lists, as files grouped by page have it, and any other shape raise."""
     block = "struct<type:string,text:string,text_level:int,page_idx:string,bbox:array<double>,img_path:string,image_caption:array<string>,table_caption:array<string>,table_body:string,list_items:array<string>,code_body:string>"
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     keyed = F.coalesce(*[F.from_json("value", f"struct<{k}:array<{block}>>")[k] for k in ("content_list", "data", "items")])
     lists = F.when(F.ltrim("value").startswith("["), F.from_json("value", f"array<{block}>")).otherwise(keyed)
+    parts = F.from_json("value", "array<string>")
+    grouped = F.ltrim("value").startswith("[") & (F.size(parts) > 0) & F.forall(parts, lambda p: F.startswith(p, F.lit("[")))
+    error = lambda what: F.raise_error(F.concat(F.lit(f"{what}: "), "file")).cast(f"array<{block}>")
+    lists = F.when(grouped, error("content list is grouped by page")).when(lists.isNull(), error("content list of an unknown shape")).otherwise(lists)
     return raw.select("file", F.posexplode(lists).alias("ordinal", "b")).select("file", "ordinal", "b.*")
 
 

@@ -364,3 +364,12 @@ def test_evidence_rows(spark):
     body = f"| Source_Bundle-ID | `Section` | Pages | Owned lines |\n| --- | --- | --- | --- |\n| see {b} | `s1` | 1 | 2-3 |\n| none | s2 | 1 | 1 |\n\n| Bundle | Section |\n| --- | --- |\n| {b} | s |\n"
     rows = markdown.evidence_rows(markdown.tables(spark.createDataFrame([("a.md", body)], "source string, content string"))).collect()
     assert [(r.bundle, r.section, r.pages, r.lines) for r in rows] == [(b, "s1", "1", "2-3")]
+
+
+def test_casefold_is_that_of_unicode(spark):
+    from lodestone.functions.text import FOLDS, casefold
+
+    texts = ["Straße", "ΣΑΣ ς", "ﬁn ﬀ ﬆ", "İI ı", "ſoß", "ᾀ ʼN ŉ", "Ꭰ ꭰ", "plain", "", None, *FOLDS]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(casefold("t")).collect()]
+    assert got == [t if t is None else t.casefold() for t in texts]
+    assert len(FOLDS) > 150

@@ -129,3 +129,10 @@ def test_event_streams(spark, tmp_path):
     assert [(r.stage, r.n) for r in spark.table("activity_out").orderBy("since").collect()] == [("begin", 2), ("end", 1)]
     late = arrivals.newer_revisions(spark.createDataFrame([("b", 1), ("c", 5)], "bundle_id string, expected_revision int"), spark.createDataFrame([("b", 1), ("c", 6)], "bundle_id string, revision int"))
     assert [r.bundle_id for r in late.collect()] == ["b"]
+
+
+@pytest.mark.parametrize("text", ['[[{"type": "text"}], []]', "[[]]", '{"other": []}', "3"])
+def test_block_lists_of_other_shapes_raise(spark, tmp_path, text):
+    (tmp_path / "content_list.json").write_text(text)
+    with pytest.raises(Exception, match="content list"):
+        bundles.read_blocks(spark, str(tmp_path)).collect()
