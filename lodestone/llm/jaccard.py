@@ -6,8 +6,9 @@ further work is on classes, so copies are never paired.
 Candidates. Two sets of sizes n and m with a Jaccard of at least t share ``k`` of the ``n - ceil(t n) + k`` and
 ``m - ceil(t m) + k`` least hashes of each (the prefix filter, exact for any k). k is 1 + n // 20, so documents that
 share a line or a passage only are seldom candidates. Prefix hashes are exchanged once, packed in buckets by hash; a
-bucket keeps the hashes that two classes share, and a class with fewer of them than its size asks for is done. Of the
-others each drops the k - 1 hashes that most classes have; two that link still share one.
+bucket keeps the hashes that two classes share, and a class with fewer of them than its size asks for is done; a bucket
+that a common shingle has made large is counted as rows instead, with map-side combining and its hot keys dealt out. Of
+the others each drops the k - 1 hashes that most classes have; two that link still share one.
 
 Tiles. Classes that the kept hashes connect form a family, found by stars from each hash's least class. A family is one
 tile; a crowded one is cut by size band, where each class meets its own band and the next, and then by a grid of
@@ -37,13 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dealt, forget, input_bytes, table, written
-from .components import components
+from .common import Scratch, dealt, forget, input_bytes, table
+from .components import components, hubs, salted_join
 from .kernels import U64, hashed_words, mix, shingle_hashes, signed, slices
 from .packed import unpack
 
 BUCKET_BYTES = 8 << 20
 CROWDED = 1024
+#: Hashes of a bucket that is counted as rows.
+HOT_BUCKET = 4 << 20
 
 SIGNATURES = "doc_id long, text_hash long, n long, s1 long, s2 long, bucket int, keys binary, classes binary, counts binary"
 
@@ -110,12 +113,23 @@ def signatures(batches: Iterable[pa.RecordBatch], size: int, percent: int, bucke
         yield pa.RecordBatch.from_arrays([empty] * 5 + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types[5:], strict=True)], names=names)
 
 
-def shared_keys(rows: pa.Table, buckets: int) -> pa.Table:
-    """key, c, m: of one bucket, the hashes that m > 1 classes share, once for each class."""
+def unpacked_keys(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of packed rows, without their two lowest bytes, and the class of each."""
     wide = np.zeros((sum(x.as_buffer().size for x in rows.column("keys")) // 6, 8), np.uint8)
     wide[:, :6] = unpack(rows, "keys", np.uint8).reshape(-1, 6)
-    key = wide.view(np.int64).ravel()
-    cls = np.repeat(unpack(rows, "classes", np.int64), unpack(rows, "counts", np.uint32))
+    return wide.view(np.int64).ravel(), np.repeat(unpack(rows, "classes", np.int64), unpack(rows, "counts", np.uint32))
+
+
+def keys_as_rows(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            key, cls = unpacked_keys(batch.slice(i, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(key * buckets + batch.column("bucket")[i].as_py()), pa.array(cls)], names=["key", "c"])
+
+
+def shared_keys(rows: pa.Table, buckets: int) -> pa.Table:
+    """key, c, m: of one bucket, the hashes that m > 1 classes share, once for each class."""
+    key, cls = unpacked_keys(rows)
     order = np.lexsort((cls, key))
     key, cls = key[order], cls[order]
     new = np.ones(len(key), dtype=bool)
@@ -234,20 +248,45 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     shingles), and with ``links`` n_links (how many other rows link with it directly)."""
     given = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     buckets = max(8, input_bytes(docs) // BUCKET_BYTES)
-    scan = written(given.mapInArrow(lambda it: signatures(it, size, percent, buckets), SIGNATURES), "signatures")
-    each = written(scan.filter("bucket IS NULL").select("doc_id", "text_hash", "n", "s1", "s2"), "each")
-    classes = written(each.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")), "classes")
-    tiles = written(scan.filter("bucket IS NOT NULL").select("bucket", "keys", "classes", "counts").groupBy("bucket").applyInArrow(lambda t: shared_keys(t, buckets), "key long, c long, m int"), "tiles")
-    forget(scan)
+    with Scratch() as scratch:
+        each, named = _named(scratch, given, buckets, size, percent, links)
+    counted = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if links else []
+    out = each.join(dealt(named), ["n", "s1", "s2"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "link_key", *counted)
+
+
+def _candidates(scratch: Scratch, packed: DataFrame, buckets: int) -> DataFrame:
+    """key, c, m of all buckets."""
+    hot = [r["bucket"] for r in packed.groupBy("bucket").agg(F.sum(F.length("keys")).alias("n")).filter(F.col("n") > 6 * HOT_BUCKET).collect()]
+    shared = packed.filter(~F.col("bucket").isin(hot)) if hot else packed
+    shared = shared.groupBy("bucket").applyInArrow(lambda t: shared_keys(t, buckets), "key long, c long, m int")
+    if hot:
+        pairs = scratch.written(packed.filter(F.col("bucket").isin(hot)).mapInArrow(lambda it: keys_as_rows(it, buckets), "key long, c long").distinct(), "hot-keys")
+        counts = scratch.written(pairs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "hot-counts")
+        met = salted_join(pairs, counts, "key", "c", hubs(counts, "key", pairs.count()))
+        shared = shared.unionByName(met.select("key", "c", F.col("n").cast("int").alias("m")))
+    return scratch.written(shared, "tiles")
+
+
+def _named(scratch: Scratch, given: DataFrame, buckets: int, size: int, percent: int, links: bool) -> tuple[DataFrame, DataFrame]:
+    """Two kept tables: each row with its set's digest, and each digest with its class, its component and its links."""
+    scan = scratch.written(given.mapInArrow(lambda it: signatures(it, size, percent, buckets), SIGNATURES), "signatures")
+    each = scratch.keep(scratch.written(scan.filter("bucket IS NULL").select("doc_id", "text_hash", "n", "s1", "s2"), "each"))
+    classes = scratch.written(each.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")), "classes")
+    tiles = _candidates(scratch, scan.filter("bucket IS NOT NULL").select("bucket", "keys", "classes", "counts"), buckets)
+    forget(scratch.keep(scan))
 
     own = tiles.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("m", "key")), asc=False).alias("t"))
     own = own.join(dealt(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n", "copies")), "c").withColumn("asked", (1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)).cast("int"))
     own = own.filter(F.size("t") >= F.col("asked"))
-    kept = written(own.select("c", "doc_id", "copies", F.explode(F.slice("t", F.col("asked"), F.size("t"))).alias("k")).select("c", "doc_id", "copies", "k.key"), "kept")
-    edges = kept.select("c", "key").join(dealt(kept.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("m")).filter("m > 1")), "key").select(F.col("c").alias("a"), F.col("least").alias("b"))
+    kept = scratch.written(own.select("c", "doc_id", "copies", F.explode(F.slice("t", F.col("asked"), F.size("t"))).alias("k")).select("c", "doc_id", "copies", "k.key"), "kept")
+    stars_of = scratch.written(kept.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("n")).filter("n > 1"), "stars-of-keys")
+    edges = salted_join(kept.select("c", "key"), stars_of.drop("n"), "key", "c", hubs(stars_of, "key", kept.count())).select(F.col("c").alias("a"), F.col("least").alias("b"))
     families = components(edges, "families")
-    sized = families.join(dealt(families.groupBy("label").agg(F.count("*").cast("int").alias("m"))), "label").select(F.col("node").alias("c"), F.col("label").alias("family"), "m")
-    wanted = written(kept.select("c", "doc_id", "copies").distinct().join(dealt(sized), "c"), "wanted")
+    sizes = scratch.written(families.groupBy("label").agg(F.count("*").alias("n")), "sizes")
+    hot = hubs(sizes, "label", families.count())
+    sized = salted_join(families, sizes, "label", "node", hot).select(F.col("node").alias("c"), F.col("label").alias("family"), F.col("n").cast("int").alias("m"))
+    wanted = scratch.written(kept.select("c", "doc_id", "copies").distinct().join(dealt(sized), "c"), "wanted")
 
     arrays = given.join(dealt(wanted), "doc_id").select("c", "family", "m", "copies", "text").mapInArrow(lambda it: full_sets(it, size), "c long, family long, m int, copies long, n long, elements binary")
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9).cast("int")
@@ -257,20 +296,17 @@ def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str =
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1))).withColumn("row", F.least("block", "other")).withColumn("col", F.greatest("block", "other"))
     cells = cells.select("family", "c", "n", "copies", "elements", "seat.band", "seat.own", "block", "row", "col", (F.col("row") != F.col("col")).alias("off"))
     stars = cells.groupBy("family", "band", "row", "col").applyInArrow(lambda t: link_tile(t, percent, links), "a long, b long, links long")
-    stars = written(stars, "stars") if links else stars
+    stars = scratch.written(stars, "stars") if links else stars
     final = components(stars, "links")
 
-    least = final.join(dealt(classes.select(F.col("s1").alias("node"), "class_id")), "node").groupBy("label").agg(F.min("class_id").alias("component_id"))
-    ids = final.join(dealt(least), "label").select(F.col("node").alias("s1"), "label", "component_id")
-    named = written(classes.join(dealt(ids), "s1", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id"), F.coalesce("label", "s1").alias("link_key")), "named")
-    counted = []
+    least = scratch.written(final.join(dealt(classes.select(F.col("s1").alias("node"), "class_id")), "node").groupBy("label").agg(F.min("class_id").alias("component_id"), F.count("*").alias("n")), "least")
+    ids = salted_join(final, least.drop("n"), "label", "node", hubs(least, "label", final.count())).select(F.col("node").alias("s1"), "label", "component_id")
+    named = classes.join(dealt(ids), "s1", "left").select("n", "s1", "s2", "class_id", F.coalesce("component_id", "class_id").alias("component_id"), F.coalesce("label", "s1").alias("link_key"))
     if links:
         near = stars.filter("a = b").groupBy(F.col("a").alias("s1")).agg(F.sum("links").alias("near"))
         sums = classes.join(dealt(near), "s1", "left").select("n", "s1", "s2", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
         named = named.join(dealt(sums), ["n", "s1", "s2"])
-        counted = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
-    out = each.join(dealt(named), ["n", "s1", "s2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "link_key", *counted)
+    return each, scratch.keep(scratch.written(named, "named"))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
