@@ -20,8 +20,9 @@ An item of fewer than SHINGLE words is one shingle of its own length, so it has
 words and 0 with all others; these are looked up by hash, by one more pass of shingles for each such length.
 
 Defined results: null and empty texts and items match nothing; a short item leaks wherever its words stand, however
-common they are; a document of fewer than SHINGLE words is one shingle; a document shorter than the item is one window; repeated documents are told one by
-one; repeated items are told by their own ids; of equally similar windows the first counts; other columns pass.
+common they are; a document of fewer than SHINGLE words is one shingle; a document shorter than the item is one window;
+repeated documents are told one by one, and so are those with a null id; repeated items are told by their own ids, null
+too; of equally similar windows the first counts; other columns pass, whatever their names.
 """
 
 from __future__ import annotations

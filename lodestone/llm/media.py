@@ -4,7 +4,7 @@ A payload is stored as quantised coefficients, 64 to a block, so it is kept with
 decodes the Huffman-coded scan and rebuilds the luminance thumbnail from DC coefficients.
 
 Defined results: a null or empty text is a payload of 64 zero bytes; equal texts give equal files; repeated rows are
-all returned; other columns are ignored; an empty table gives an empty result; a text over 4 GB is refused.
+all returned, those with a null id too; other columns are ignored, whatever their names; an empty table gives an empty result; a text over 4 GB is refused.
 """
 
 from __future__ import annotations

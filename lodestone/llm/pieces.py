@@ -21,7 +21,7 @@ and their ids are gathered. Texts of any length are encoded whole, in time in pr
 word; the library adds over a whole text, which can only differ where two sums are equal but for rounding.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; text that holds U+2581 itself decodes
-to a space there, as the model's format has it; repeated rows are encoded one by one; other columns of the documents
+to a space there, as the model's format has it; repeated rows and rows with a null id are encoded one by one; other columns of the documents
 pass unchanged but for ``ids``, which is set; ids out of range raise; byte ids that aren't UTF-8 decode to U+FFFD.
 """
 

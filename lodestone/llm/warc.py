@@ -8,7 +8,8 @@ output nor the reader ever holds a whole oversized record; the reader carries on
 
 Defined results: a null payload is empty; a repeated id is a record of its own, with the same record id; of records
 with equal payloads of at least ``least`` bytes that with the largest id is the response, ties included (each of the
-tied rows is one); an empty table gives an empty archive; other columns are ignored.
+tied rows is one); a record with a null id is always a response; an empty table gives an empty archive; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
