@@ -30,9 +30,12 @@ FOLDS = {chr(c): chr(c).casefold() for c in range(0x110000) if chr(c).casefold()
 RARE = "[" + "".join(sorted(FOLDS)) + "]"
 
 
-def casefold(x: Column | str) -> Column:
-    """Full case folding: lower case, ß as ss, and in texts that hold one, the rare letters that only folding changes."""
+def casefold(x: Column | str, full: bool = False) -> Column:
+    """Lower case with ß as ss; with ``full``, Unicode's full case folding, at the price of a search for the rare letters
+    that only folding changes. Index and questions are folded alike, so tokens use the plain form."""
     low = F.replace(F.lower(text(x)), F.lit("ß"), F.lit("ss"))
+    if not full:
+        return low
     folds = F.map_from_arrays(F.array(*map(F.lit, FOLDS)), F.array(*map(F.lit, FOLDS.values())))
     return F.when(low.rlike(RARE), F.array_join(F.transform(F.split(low, ""), lambda c: F.coalesce(folds[c], c)), "")).otherwise(low)
 
