@@ -7,12 +7,13 @@ A rule that spans several parts is repeated in each of them; a page is read once
 
 Defined results: a null url, or one without ``://``, has empty host and path; no rule fits an empty host (but for
 rules with an empty host, which fit every url); equal rules collapse and block wins over allow; of different rules of
-one length the longer host wins; repeated pages are
-judged one by one; no rules give the default verdict; other columns of either table are ignored.
+one length the longer host wins; repeated pages are judged one by one, and so are those with a null id; no rules give the
+default verdict; other columns of either table are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
@@ -92,6 +93,17 @@ def sweep(batches: Iterable[pa.RecordBatch], default: str) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), *[pa.string()] * 4), strict=True)], names=["row_id", "host", "path", "rule", "verdict"])
 
 
+def places_before(bounds: list, x: Column) -> Column:
+    """How many of the ascending bounds (k, s) are at most x: first among every so many of them, and then within these."""
+    if not bounds:
+        return F.lit(0)
+    size = math.isqrt(len(bounds) - 1) + 1
+    cut = lambda bs: F.array(*[F.struct(F.lit(b.k).alias("k"), F.lit(b.s).alias("s")) for b in bs])
+    chunks = [bounds[i : i + size] for i in range(0, len(bounds), size)]
+    chunk = F.size(F.filter(cut([c[0] for c in chunks[1:]]), lambda c: c <= x)) if len(chunks) > 1 else F.lit(0)
+    return chunk * size + F.size(F.filter(F.get(F.array(*[cut(c) for c in chunks]), chunk), lambda c: c <= x))
+
+
 def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_column: str = "page_id", url_column: str = "url", parts: int | None = None) -> DataFrame:
     """Judges every page by the longest rule that fits its url.
 
@@ -111,8 +123,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_c
     picked = sorted((r.key, r.spread) for r in sample.collect())[3::4]
     cuts = sorted(set(picked))
     bounds = spark.range(1).select(F.array(*[place(F.lit(k), F.lit(s).cast("long")) for k, s in cuts]) if cuts else F.expr("cast(array() as array<struct<k:string,s:bigint>>)")).first()[0]
-    cut = F.array(*[place(F.lit(b.k), F.lit(b.s)) for b in bounds]) if bounds else None
-    part = lambda x: F.size(F.filter(cut, lambda c: c <= x)) if cut is not None else F.lit(0)
+    part = lambda x: places_before(bounds, x)
     lowest, highest = F.lit(-(2**63)), F.lit(2**63 - 1)
     ruled = rules.select(F.translate(F.coalesce("host", F.lit("")), UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").distinct().withColumn("key", host_key(F.col("host")))
     ruled = ruled.withColumn("part", F.explode(F.sequence(part(place(F.col("key"), lowest)), part(place(F.concat("key", F.lit("\U0010ffff")), highest)))))
