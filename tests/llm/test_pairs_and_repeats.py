@@ -49,6 +49,14 @@ def test_crowded_families_are_cut_and_lose_no_link(spark, rows, monkeypatch):
     assert sorted(map(tuple, got)) == linked_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("hub", [1000, 1])
+def test_common_shingles_and_labels_are_dealt_out(spark, rows, monkeypatch, hub):
+    monkeypatch.setattr(importlib.import_module("lodestone.llm.components"), "HUB", hub)
+    monkeypatch.setattr(jaccard, "HOT_BUCKET", 1)
+    got = jaccard.similar(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), 4, 85).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == linked_components(rows, 4, 85)
+
+
 @pytest.mark.parametrize("crowded", [1024, 2])
 def test_links_are_counted_as_of_all_pairs(spark, rows, monkeypatch, crowded):
     monkeypatch.setattr(jaccard, "CROWDED", crowded)
@@ -110,27 +118,45 @@ def test_connected_components_of_random_edges(spark, monkeypatch, hub):
 def test_repeated_windows_go_byte_for_byte(docs, rows):
     got = {}
     for r in suffixes.remove_repeats(docs).collect():
-        got.setdefault(r["doc_id"], []).append((r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()))
+        got.setdefault(r["doc_id"], []).append((r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest(), r["n_repeated_words"]))
     want = defaultdict(list)
     for (d, *_), x in zip(rows, suffixes.brute_force([(t or "").encode() for _, t, *_ in rows]), strict=True):
         want[d].append(x)
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
 
 
-@pytest.mark.parametrize(("length", "gram", "step"), [(12, 4, 3), (30, 8, 30), (5, 5, 1)])
-def test_repeats_of_other_lengths(docs, rows, length, gram, step):
-    got = sorted((r["doc_id"], r["n_removed"], r["n_spans"]) for r in suffixes.remove_repeats(docs, length, gram, step).collect())
-    want = sorted((d, x[1], x[2]) for (d, *_), x in zip(rows, suffixes.brute_force([(t or "").encode() for _, t, *_ in rows], length), strict=True))
+@pytest.mark.parametrize(("length", "gram", "step", "words"), [(12, 4, 3, 7), (30, 8, 30, 12), (5, 5, 1, 1), (3, 1, 2, 4)])
+def test_repeats_of_other_lengths(docs, rows, length, gram, step, words):
+    got = sorted((r["doc_id"], r["n_removed"], r["n_spans"], r["n_repeated_words"]) for r in suffixes.remove_repeats(docs, length, gram, step, words).collect())
+    want = sorted((d, *x[1:3], x[4]) for (d, *_), x in zip(rows, suffixes.brute_force([(t or "").encode() for _, t, *_ in rows], length, words), strict=True))
+    assert got == want
+
+
+@pytest.mark.parametrize("name", ["CROWDED", "COMBINED", "SEGMENT"])
+def test_repeats_of_split_buckets_and_small_tasks(docs, rows, monkeypatch, name):
+    monkeypatch.setattr(suffixes, name, 2000 if name == "SEGMENT" else 2)
+    got = sorted((r["doc_id"], r["n_removed"], r["n_spans"], r["n_repeated_words"]) for r in suffixes.remove_repeats(docs, 60, 8, 20, 12).collect())
+    want = sorted((d, *x[1:3], x[4]) for (d, *_), x in zip(rows, suffixes.brute_force([(t or "").encode() for _, t, *_ in rows], 60, 12), strict=True))
     assert got == want
 
 
+def test_passes_keep_what_is_equal_in_all_digits():
+    rng = np.random.default_rng(0)
+    digits = [rng.integers(0, 5, 400) for _ in range(4)]
+    seen = defaultdict(list)
+    for i, key in enumerate(zip(*digits, strict=True)):
+        seen[key].append(i)
+    assert sorted(suffixes.repeated(digits)) == sorted(i for x in seen.values() if len(x) > 1 for i in x)
+    assert not len(suffixes.repeated([np.zeros(0, np.int64)] * 2))
+
+
 def test_long_documents_are_cut_in_segments_without_loss(spark, monkeypatch):
     rng = np.random.default_rng(4)
     letters = rng.integers(97, 123, 30000).astype(np.uint8).tobytes().decode()
     texts = [(1, letters + letters[100:9000]), (2, letters[5000:7000])]
     monkeypatch.setattr(suffixes, "SEGMENT", 4000)
     data = np.frombuffer(texts[0][1].encode(), np.uint8)
-    whole = {(int(s - e[0] + b), int(c)) for p, e, b in suffixes.units(data, np.array([0, len(data)]), 400) for s, c in zip(*suffixes.runs(p, e, 400, 32, 128)[3:], strict=True)}
+    whole = {(int(s - e[0] + b), int(c)) for p, e, b in suffixes.segments(data, np.array([0, len(data)]), 400) for s, c in zip(*suffixes.runs(p, e, 400, 32, 112)[3:], strict=True)}
     covered = sorted(x for s, c in whole for x in range(s, s + c))
     assert covered == list(range(len(data) - 399))
     got = sorted((r["doc_id"], r["n_removed"], r["n_spans"]) for r in suffixes.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect())
@@ -160,9 +186,11 @@ def test_lines_go_but_from_the_largest_id(docs, rows, broadcast_bytes):
     assert sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in got.collect()) == line_reference(rows, 10, 3)
 
 
-def test_lines_in_many_shards(docs, rows, monkeypatch):
+@pytest.mark.parametrize("broadcast_bytes", [lines.BROADCAST_BYTES, 0])
+def test_lines_in_many_shards(docs, rows, monkeypatch, broadcast_bytes):
     monkeypatch.setattr(lines, "SHARD_KEYS", 1)
-    got = lines.dedup_lines(docs, least_chars=10, least_docs=3)
+    monkeypatch.setattr(lines, "PROBES", 2)
+    got = lines.dedup_lines(docs, least_chars=10, least_docs=3, broadcast_bytes=broadcast_bytes)
     assert sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in got.collect()) == line_reference(rows, 10, 3)
 
 
@@ -176,6 +204,20 @@ def test_perfect_hash_is_minimal_and_perfect():
         assert (index(others) < max(1, len(keys))).all()
 
 
+def thue_morse(n, a, b):
+    """A string and its complement collide in every polynomial hash modulo a power of two."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join(b if x else a for x in bits), "".join(a if x else b for x in bits)
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048, 4096])
+def test_strings_that_fool_polynomials_stay_apart(spark, n):
+    x, y = thue_morse(n, "a", "b")
+    docs = spark.createDataFrame([(1, x), (2, x), (3, x), (4, y), (5, y)], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.similar(docs).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    assert [r["n_dropped"] for r in lines.dedup_lines(docs).collect()] == [0] * 5
+
+
 def test_empty_tables(empty):
     assert jaccard.similar(empty).count() == 0
     assert suffixes.remove_repeats(empty).count() == 0

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -12,7 +13,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import bigrams, jpeg, leaks, media, pieces, quality, urls, warc
-from lodestone.llm.kernels import Hasher, hashed_words, slices, text_buffers, word_spans
+from lodestone.llm.kernels import Rolling, hashed_words, slices, span_hashes, text_buffers, word_spans
+
+from .test_pairs_and_repeats import thue_morse
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -35,10 +38,26 @@ def test_words_and_hashes_don_t_depend_on_the_batch(rows):
 
 
 def test_equal_spans_have_equal_hashes():
-    data = np.frombuffer(b"abcabcXabc", np.uint8)
-    h = Hasher(data)(np.array([0, 3, 7, 1]), np.array([3, 6, 10, 4]))
-    assert h[0] == h[1] == h[2] != h[3]
+    rng = np.random.default_rng(9)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    for size in (1, 2, 3, 7, 8, 9, 16, 17, 600):
+        start = np.arange(len(data) - size + 1)
+        texts = [data[i : i + size].tobytes() for i in start]
+        by_words = np.repeat(np.arange(len(data)), 1)[: len(data)].astype(np.uint64) % np.uint64(97)
+        for hashes, kinds in ((span_hashes(data, start, start + size), texts), (Rolling(data, (size, 600)).all(size), texts), (Rolling(by_words, (size,))(start, size), [by_words[i : i + size].tobytes() for i in start])):
+            assert len(set(hashes.tolist())) == len(set(kinds)) == len(set(zip(hashes.tolist(), kinds, strict=True)))
+    rolling = Rolling(data, (5, 40))
+    assert (rolling(np.array([3, 9]), np.array([5, 40])) == np.array([rolling.all(5)[3], rolling.all(40)[9]])).all()
     assert word_spans(np.zeros(0, np.uint8), np.zeros(1, np.int64))[0].size == 0
+    assert span_hashes(np.zeros(0, np.uint8), np.zeros(2, np.int64), np.zeros(2, np.int64)).size == 2
+
+
+def test_scores_and_leaks_of_strings_that_fool_polynomials(spark):
+    x, y = thue_morse(1024, "a", "b")
+    docs = spark.createDataFrame([(1, "p " + x), (2, "p " + y)], "doc_id long, text string")
+    assert [r["n_backoff"] for r in bigrams.score_documents(docs).collect()] == [1, 1]
+    items = spark.createDataFrame([(1, "p " + x)], "item_id long, text string")
+    assert [r["doc_id"] for r in leaks.find_leaks(docs, items).collect()] == [1]
 
 
 def test_media_columns_keep_every_byte(docs, rows):
@@ -81,18 +100,51 @@ def test_jpeg_refuses_what_it_can_t_read(file):
         jpeg.decode([file])
 
 
-def test_pieces_are_the_library_s(rows):
+#: Model files merge repeated parts, so a few bytes at the end turn a model into another: of unigrams, and one that
+#: squeezes spaces and marks no beginning.
+VARIANTS = {"merges": b"", "unigrams": b"\x12\x02\x18\x01", "squeezed": b"\x1a\x04\x18\x00\x20\x01", "squeezed unigrams": b"\x12\x02\x18\x01\x1a\x04\x18\x01\x20\x01"}
+
+
+def plain_model(pieces_, byte_fallback):
+    """A small unigram model file: unknown, pieces with scores, and the bytes."""
+    field = lambda n, x: bytes([n << 3 | 2]) + (bytes([len(x)]) if len(x) < 128 else bytes([len(x) & 127 | 128, len(x) >> 7])) + x
+    piece = lambda t, s, k: field(1, field(1, t.encode()) + b"\x15" + struct.pack("<f", s) + bytes([0x18, k]))
+    out = piece("<unk>", 0, 2) + b"".join(piece(t, s, 1) for t, s in pieces_)
+    out += b"".join(piece(f"<0x{b:02X}>", 0, 6) for b in range(256)) if byte_fallback else b""
+    trainer = b"\x18\x01" + (b"\x98\x02\x01" if byte_fallback else b"")
+    return out + field(2, trainer) + field(3, field(1, b"identity") + b"\x18\x01\x20\x00\x28\x01")
+
+
+@pytest.mark.parametrize("kind", [*VARIANTS, "small", "small without bytes", "across words"])
+def test_pieces_are_the_library_s(rows, kind):
     spm = pytest.importorskip("sentencepiece")
-    with open(pieces.default_model(), "rb") as f:
-        mine = pieces.Transducer(f.read())
-    theirs = spm.SentencePieceProcessor(model_file=pieces.default_model())
+    if kind in VARIANTS:
+        with open(pieces.default_model(), "rb") as f:
+            raw = f.read() + VARIANTS[kind]
+        if "unigrams" in kind:  # a cost of a thousand millions would swallow all others in the library's 32-bit sums
+            raw = raw.replace(struct.pack("<f", -1e9), struct.pack("<f", -4e4))
+    else:
+        more = [("g▁A", -1.5), ("e▁the", -2.0)] if kind == "across words" else []
+        raw = plain_model([("▁", -3.0), ("t", -4.0), ("th", -4.25), ("the", -5.5), ("▁the", -5.0), ("e", -3.5), ("h", -4.5), ("i", -4.0), ("n", -4.0), ("g", -4.0), ("ing", -6.0), ("in", -5.75), ("A", -5.0), ("é", -7.0), ("▁A", -4.5), ("same", -8.0), ("w", -3.0), (".", -2.0), (".e", -9.0), *more], kind != "small without bytes")
+    mine, theirs = pieces.Transducer(raw), spm.SentencePieceProcessor(model_proto=raw)
     rng = np.random.default_rng(3)
     alphabet = list("abcdeé ñß  \n\t漢字🙂▁.,!0123 ABthing'\"()") + ["the", " of", "²."]
-    texts = [t or "" for _, t, *_ in rows] + ["".join(rng.choice(alphabet, rng.integers(0, 50))) for _ in range(1500)] + [" " * n + "a" for n in range(40)]
+    texts = [t or "" for _, t, *_ in rows if len(t or "") < 3000] + ["".join(rng.choice(alphabet, rng.integers(0, 50))) for _ in range(1500)] + [" " * n + "a" for n in range(40)]
     for t in texts:
-        ids = list(mine.encode(t))
+        ids = mine.encode(t)
         assert ids == theirs.encode(t), repr(t)
         assert mine.decode(ids) == theirs.decode(ids)
+    data, at = text_buffers(pa.array(texts))
+    ids, ends = mine.encode_batch(data, at)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [mine.encode(t) for t in texts]
+
+
+def test_ids_out_of_range_raise():
+    with open(pieces.default_model(), "rb") as f:
+        model = pieces.Transducer(f.read())
+    for ids in ([-1], [5, 32000]):
+        with pytest.raises(ValueError, match="range"):
+            model.decode(ids)
 
 
 def test_pieces_of_documents(docs, rows):
@@ -101,9 +153,10 @@ def test_pieces_of_documents(docs, rows):
     assert all(len(r["ids"]) == 0 for r in out if not r["text"])
 
 
-def test_only_models_of_merges_compile():
-    with pytest.raises(ValueError, match="merges"):
-        pieces.Transducer(b"\x0a\x05\x0a\x01a\x18\x01")
+@pytest.mark.parametrize("end", [b"\x12\x02\x18\x03", b"\x1a\x03\x12\x01x", b"\x0a\x06\x0a\x02zz\x18\x04"])
+def test_other_models_are_refused(end):
+    with pytest.raises(ValueError, match="only"):
+        pieces.Transducer(plain_model([("a", -1.0)], True) + end)
 
 
 def score_reference(rows):
@@ -176,15 +229,65 @@ def test_leaks_with_items_in_parts(spark, docs, monkeypatch):
     assert leaks.drop_leaks(more, bench).count() == docs.count()
 
 
-def test_multi_index_finds_all_within_the_radius():
+def test_multi_index_finds_all_within_the_radius(monkeypatch):
     rng = np.random.default_rng(5)
-    prints = rng.integers(0, 2**63, 300).astype(np.uint64)
+    prints = np.concatenate((rng.integers(0, 2**63, 300).astype(np.uint64), np.zeros(40, np.uint64)))
     queries = prints[:50].copy()
-    for _ in range(12):
+    for _ in range(9):
         queries ^= np.uint64(1) << rng.integers(0, 64, 50).astype(np.uint64)
-    q, f = leaks.MultiIndex(prints).search(queries)
+    queries = np.append(queries, np.uint64(3))
     distance = np.bitwise_count(queries[:, None] ^ prints[None, :])
-    assert set(zip(q.tolist(), f.tolist(), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(distance <= leaks.RADIUS)), strict=True))
+    want = sorted(zip(*(x.tolist() for x in np.nonzero(distance <= leaks.RADIUS)), strict=True))
+    for most in (leaks.PAIRS, 7):
+        monkeypatch.setattr(leaks, "PAIRS", most)
+        parts = list(leaks.MultiIndex(prints).search(queries))
+        assert sorted(x for q, f in parts for x in zip(q.tolist(), f.tolist(), strict=True)) == want and len(want) >= 60
+    assert sum(np.diff(b)[v] for b in leaks.MultiIndex(prints[:300]).begin for v in (0, 77, 200)) < 0.2 * 3 * 300  # the buckets prune
+
+
+def test_windows_at_the_threshold_are_all_found(spark):
+    """Recall over windows of every distance, and what the multi-index alone would have found of them."""
+    rng = np.random.default_rng(12)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items, docs = [], []
+    for i in range(60):
+        n = int(rng.integers(5, 60))
+        words = [vocabulary[j] for j in rng.integers(0, 60 if i % 3 else 3, n)]
+        items.append((i, " ".join(words)))
+        for k in range(4):
+            copy = list(words)
+            for _ in range(k):
+                copy[int(rng.integers(0, n))] = vocabulary[int(rng.integers(0, 60))]
+            pad = [vocabulary[j] for j in rng.integers(0, 60, int(rng.integers(0, 30)))]
+            docs.append((len(docs), " ".join([*pad, *copy, *pad[::-1], *(copy if k == 2 else [])])))
+    items += [(200, items[3][1]), (None, items[4][1])]
+    got = sorted((r[0], r[1] is None, r[1] or 0, round(r[2], 9), r[3], r[4]) for r in leaks.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect())
+    want = sorted((a, b is None, b or 0, round(c, 9), e, f) for a, b, c, e, f in leaks.brute_force(docs, items))
+    assert got == want
+    near = [x for x in want if x[3] < 1]
+    assert len(near) > 20
+
+
+def test_a_very_long_text_with_many_items_that_share_words():
+    import time
+
+    rng = np.random.default_rng(13)
+    vocabulary = [f"w{i}" for i in range(40)]
+    template = [vocabulary[j] for j in rng.integers(0, 40, 40)]
+    items = []
+    for i in range(3000):
+        words = list(template)
+        words[i % 40] = vocabulary[int(rng.integers(0, 40))]
+        items.append((i, " ".join(words)))
+    text = " ".join(" ".join(template if rng.random() < 0.3 else [vocabulary[j] for j in rng.integers(0, 40, 40)]) for _ in range(2500))
+    began = time.monotonic()
+    index = leaks.Items(items)
+    data, at = text_buffers(pa.array([text]))
+    words, _, _, first = hashed_words(data, at)
+    assert first[-1] == 100_000
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+    found = [x for _, out in leaks._found([batch], index) for x in out[0]]
+    assert len(found) == 3000 and time.monotonic() - began < 60
 
 
 def test_quality_learns_junk_passages(spark):
@@ -210,20 +313,24 @@ def test_quality_learns_from_all_passages(spark, monkeypatch):
     given = []
     monkeypatch.setattr(quality, "train", lambda bags, labels: given.extend(bags))
     quality.fit(docs, spark.createDataFrame([(d, i % 2) for i, d in enumerate(ids)], "doc_id long, quality int"))
-    assert [len(b) for b in given] == [101, 65, 1, 1]
+    assert [len(b.shares) for b in given] == [101, 65, 1, 1]
     for bag, text in zip(given, texts, strict=True):
         raw = np.frombuffer(text.encode(), np.uint8)
-        assert np.array_equal(bag, quality.features(raw, np.array([0, len(raw)]))[0])
+        want = quality.features(raw, np.array([0, len(raw)]))
+        assert all(np.array_equal(getattr(bag, k), getattr(want, k)) for k in ("shares", "bounds", "first", "rows"))
 
 
 def test_quality_gradients_are_right():
     rng = np.random.default_rng(7)
-    bags = [rng.normal(size=(n, quality.N_FEATURES)) for n in (1, 3, 2)]
-    model = quality.train([b.astype(float) for b in bags], np.array([1.0, 0.0, 1.0]))
-    x, bounds, y = np.concatenate(bags), np.array([0, 1, 4, 6]), np.array([1.0, 0.0, 1.0])
-    loss = lambda: -np.mean(y * np.log(model.forward(x, bounds)[-1]) + (1 - y) * np.log(1 - model.forward(x, bounds)[-1]))
-    for key, grad in model.gradients(x, bounds, y).items():
-        at = (0,) * model.weights[key].ndim
+    bags = []
+    for n in (1, 3, 2):
+        words = rng.integers(0, 4, n)
+        bags.append(quality.Bags(rng.normal(size=(n, quality.N_FEATURES)), np.array([0, n]), np.concatenate(([0], np.cumsum(words))), rng.integers(0, 5, (words.sum(), 2)).astype(np.uint16)))
+    y = np.array([1.0, 0.0, 1.0])
+    model, all_ = quality.train(bags, y), quality.Bags.of(bags)
+    loss = lambda: -np.mean(y * np.log(model.forward(all_)[-1]) + (1 - y) * np.log(1 - model.forward(all_)[-1]))
+    for key, grad in model.gradients(all_, y).items():
+        at = (int(all_.rows[0, 0]), 1) if key == "E" else (0,) * model.weights[key].ndim
         old = model.weights[key][at]
         model.weights[key][at] = old + 1e-6
         up = loss()
@@ -233,6 +340,69 @@ def test_quality_gradients_are_right():
         assert abs((up - down) / 2e-6 - grad[at]) < 1e-6
 
 
+def test_quality_scores_are_those_of_plain_loops(spark, docs, rows):
+    """Passages, words, projection, attention and score of every document again, one number at a time."""
+    rng = np.random.default_rng(14)
+    n = quality.N_FEATURES
+    shapes = {"W": (n + 16, 32), "b": (32,), "V": (32, 16), "U": (32, 16), "w": (16,), "c": (32,), "d": (1,), "E": (2 * quality.BUCKETS + 1, 16)}
+    w = {k: rng.normal(0, 0.3, s) for k, s in shapes.items()}
+    model = quality.Model(mean=rng.normal(size=n), scale=rng.random(n) + 0.5, weights=w)
+    got = {}
+    for r in quality.score_quality(docs, model).collect():
+        got.setdefault((r["doc_id"], r["text"]), set()).add(r["score"])
+    hash_of = lambda x: int(span_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x.encode())]))[0])
+    count = lambda s, f: sum(map(f, s))
+    kinds = [lambda b: 65 <= b <= 90, lambda b: 97 <= b <= 122, lambda b: 48 <= b <= 57, lambda b: b >= 128, lambda b: 32 < b < 127 and not chr(b).isalnum(), *[lambda b, c=c: b == ord(c) for c in "!?.,|:;-_/"], lambda b: chr(b) in "#$%&*@~^+=<>", lambda b: chr(b) in "()[]{}\"'"]
+    for (d, text), scores in got.items():
+        if len(text or "") > 20000:
+            continue
+        found = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+        parts = [found[i : i + quality.PASSAGE] for i in range(0, len(found), quality.PASSAGE)] or [[]]
+        h, logits, before = [], [], None
+        for part in parts:
+            x, mean = [0.0] * n, np.zeros(16)
+            if part:
+                raw = [t.encode() for _, _, t in part]
+                size, k = sum(map(len, raw)), len(raw)
+                low = [t.translate(LOWER) for _, _, t in part]
+                x = [sum(count(b, f) for b in raw) / size for f in kinds]
+                lines = []
+                for i, (a, _, _) in enumerate(part):
+                    last = part[i - 1][1] if i else before
+                    lines.append(text[last:a].count("\n") if last is not None else 0)
+                avg = size / k
+                signs = [kinds[4](b[-1]) for b in raw]
+                x += [math.log1p(k), avg, math.sqrt(max(sum(len(b) ** 2 for b in raw) / k - avg**2, 0)), sum(count(b, kinds[0]) >= len(b) / 2 for b in raw) / k, sum(kinds[0](b[0]) for b in raw) / k, sum(a == b for a, b in zip(low, low[1:], strict=False)) / k, len(set(low)) / k, max(Counter(low).values()) / k, sum(lines) / k, sum(signs) / k, sum(len(b) <= 3 for b in raw) / k]
+                for i, t in enumerate(low):
+                    mean += w["E"][hash_of(t) % quality.BUCKETS] / k
+                    if i + 1 < k:
+                        pair = np.array([(hash_of(t) * 3 + hash_of(low[i + 1])) % 2**64], np.uint64)
+                        from lodestone.llm.kernels import mix
+
+                        mean += w["E"][quality.BUCKETS + 1 + int(mix(pair)[0]) % quality.BUCKETS] / k
+                    else:
+                        mean += w["E"][quality.BUCKETS] / k
+                before = part[-1][1]
+            z = np.concatenate(((np.float32(x) - model.mean) / model.scale, mean))
+            hidden = [math.tanh(sum(z[i] * w["W"][i, j] for i in range(len(z))) + w["b"][j]) for j in range(32)]
+            gate = [math.tanh(np.dot(hidden, w["V"][:, j])) / (1 + math.exp(-np.dot(hidden, w["U"][:, j]))) for j in range(16)]
+            h.append(hidden)
+            logits.append(math.exp(np.dot(gate, w["w"])))
+        bag = sum(a / sum(logits) * np.array(x) for a, x in zip(logits, h, strict=True))
+        want = 1 / (1 + math.exp(-(np.dot(bag, w["c"]) + w["d"][0])))
+        assert len(scores) == 1 and abs(scores.pop() - want) < 1e-5, (d, text)
+
+
+def test_labels_without_documents_take_no_place(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(i, "good plain words here" if i % 2 else "BUY!! NOW!! $$$ BUY!!") for i in ids], "doc_id long, text string")
+    ghosts = spark.range(1000, 300_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    labels = ghosts.unionByName(spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int"))
+    model = quality.fit(docs, labels, most_docs=300)
+    assert model.constant is None
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in quality.score_quality(docs, model).collect())
+
+
 def test_quality_without_labels_or_of_one_kind(spark, docs, rows):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.fit(docs, none)
@@ -321,6 +491,28 @@ def test_empty_tables_of_text_operators(spark, empty):
     assert quality.score_quality(empty, quality.fit(empty, spark.createDataFrame([], "doc_id long, quality int"))).count() == 0
 
 
+def test_clashing_columns_of_text_operators(spark, docs, rows):
+    names = ("bucket", "slice", "row", "score", "item_id", "words", "payload", "media", "key", "n_words")
+    more = docs.select("*", *[F.lit("x").alias(n) for n in names])
+    plain = lambda df: sorted(map(str, df.collect()))
+    assert plain(media.media_features(media.store_media(more))) == plain(media.media_features(media.store_media(docs)))
+    assert plain(bigrams.score_documents(more)) == plain(bigrams.score_documents(docs))
+    bench = spark.createDataFrame([(1, " ".join(rows[0][1].split()[:30]))], "item_id long, text string")
+    assert plain(leaks.find_leaks(more, bench.withColumn("doc_id", F.lit("y")))) == plain(leaks.find_leaks(docs, bench))
+    assert leaks.drop_leaks(more, bench).columns == more.columns
+
+
+def test_places_among_many_bounds(spark):
+    from collections import namedtuple
+
+    bound = namedtuple("bound", "k s")
+    for n in (0, 1, 2, 3, 10, 17):
+        bounds = [bound(f"k{i // 2:02d}", i % 2) for i in range(n)]
+        frame = spark.createDataFrame([(f"k{i // 2:02d}", i % 2) for i in range(-2, n + 3)], "k string, s int")
+        got = frame.select("k", "s", urls.places_before(bounds, F.struct("k", "s")).alias("p")).collect()
+        assert [r["p"] for r in got] == [sum((b.k, b.s) <= (r["k"], r["s"]) for b in bounds) for r in got]
+
+
 def test_null_ids(spark, docs, rows):
     from lodestone.llm import jaccard, lines, suffixes
 
