@@ -7,7 +7,7 @@ indexes three arrays: fingerprints (the 64-bit hash), counts, and the largest do
 nothing, so they aren't indexed; a probe tells them by the fingerprint.
 
 The shards are broadcast while their bytes stay under a checked bound. Beyond it the probes are dealt out by shard and
-salt, and each task loads one shard at a time.
+salt, a shard over as many tasks as the occurrences of its lines ask for, and each task loads one shard at a time.
 
 Defined results: a null or empty text is one empty line; each row is a document of its own, so rows that repeat an id
 count one by one and all of them keep the line if theirs is the largest id; rows with a null id keep all lines and
@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import dealt, table, written
+from .common import dealt, forget, table, written
 from .kernels import LOWER, SPACE, U64, signed, slices, span_hashes
 from .perfect_hash import PerfectHash
 
 SHARD_KEYS = 200_000
 BROADCAST_BYTES = 64 << 20
 KEY_BYTES = 25
+#: Probes that a task of the dealt form takes, but for chance.
+PROBES = 2_000_000
 
 
 def line_keys(data: np.ndarray, at: np.ndarray, least_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -184,10 +186,12 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bro
         found = {r.shard: pickle.loads(r["index"]) for r in indexed.collect()}
         empty = (PerfectHash(np.zeros(0, U64)), np.zeros(0, U64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
         sent = spark.sparkContext.broadcast([found.get(s, empty) for s in range(shards)] if found else [])
+        forget(counts)
         return docs.mapInArrow(lambda it: drop_by_probe(it, sent.value, least_chars), schema)
-    salts = 8
-    probes = seen.withColumn("shard", number).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).withColumn("index", F.lit(None).cast("binary"))
-    rows = indexed.select(F.lit(0).cast("long").alias("hash"), F.lit(0).cast("long").alias("doc_id"), "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "index").unionByName(probes)
+    loads = F.broadcast(keyed.groupBy("shard").agg((1 + F.floor(F.sum("n_docs") / PROBES)).cast("int").alias("salts")))  # a row for each shard
+    salt = F.pmod(F.xxhash64("doc_id"), "salts").cast("int")
+    probes = seen.withColumn("shard", number).join(loads, "shard").select("hash", "doc_id", "shard", salt.alias("salt"), F.lit(None).cast("binary").alias("index"))
+    rows = indexed.join(loads, "shard").select(F.lit(0).cast("long").alias("hash"), F.lit(0).cast("long").alias("doc_id"), "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "index").unionByName(probes)
     rows = rows.repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("index").isNull())
     gone = rows.mapInArrow(probe_dealt, "hash long, doc_id long").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("hash").alias("__drop"))
     return docs.join(dealt(gone), docs.doc_id == gone["__id"], "left").drop("__id").mapInArrow(lambda it: drop_by_key(it, least_chars), schema)
@@ -199,10 +203,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = r"""
-WITH l AS (SELECT doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+WITH l AS (SELECT r, doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS line FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
 k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
-c AS (SELECT key, count(DISTINCT doc_id) AS n, max(doc_id) AS top FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
-j AS (SELECT k.doc_id, k.i, k.line, c.key IS NOT NULL AND k.doc_id <> c.top AS gone FROM k LEFT JOIN c ON k.key = c.key)
+c AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 40 AND doc_id IS NOT NULL GROUP BY key HAVING count(DISTINCT r) >= 5),
+j AS (SELECT k.r, k.doc_id, k.i, k.line, coalesce(c.key IS NOT NULL AND k.doc_id <> c.top, false) AS gone FROM k LEFT JOIN c ON k.key = c.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-FROM j GROUP BY doc_id
+FROM j GROUP BY r, doc_id
 """
