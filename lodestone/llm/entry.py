@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bigrams, jaccard, leaks, lines, media, pieces, quality, suffixes, urls, warc
+from . import bigrams, jaccard, leaks, lines, media, negatives, pieces, quality, secret_scan, suffixes, turns, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urls.op1_url_filters,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": leaks.op8_decontamination,
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_line_dedup": lines.op10_line_dedup,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_secret_scans": secret_scan.op12_secret_scans,
+    "op13_turn_repair": turns.op13_turn_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +30,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_lm_scoring": bigrams.SQL,
     "op7_warc": warc.SQL,
     "op10_line_dedup": lines.SQL,
+    "op11_hard_negatives": negatives.SQL,
+    "op12_secret_scans": secret_scan.SQL,
 }
