@@ -59,13 +59,13 @@ WITH g AS (SELECT user_id, event_id % 30 AS stage_id, epoch_us(min(ts) FILTER (e
 SELECT *, round((ended - started) / 1000.0::DOUBLE, 3) AS duration_ms FROM g""",
     "trace_finish": """
 WITH g AS (SELECT user_id AS t, count(*) FILTER (event_type = 'error') AS o, count(*) FILTER (event_type = 'purchase') AS e, count(*) FILTER (event_type = 'signup') AS c,
-  list(DISTINCT event_type) FILTER (event_id % 40 = 0) AS seen FROM events GROUP BY user_id),
+  list(DISTINCT event_type || '-' || (event_id % 40)) AS seen FROM events GROUP BY user_id),
 s AS (SELECT *, CASE WHEN t % 7 = 0 THEN 'odd' WHEN t % 3 = 0 THEN 'failed' ELSE 'completed' END AS status, CASE WHEN t % 11 = 0 THEN 'none' WHEN t % 4 = 0 THEN 'gap' ELSE 'clear' END AS level FROM g)
 SELECT t AS trace_id, 'unknown-status' AS violation FROM s WHERE status = 'odd' UNION ALL SELECT t, 'unknown-evidence-level' FROM s WHERE level = 'none' UNION ALL SELECT t, 'open-stages' FROM s WHERE o > 0
 UNION ALL SELECT t, 'evidence-required' FROM s WHERE status = 'completed' AND level <> 'gap' AND e = 0 UNION ALL SELECT t, 'claims-required' FROM s WHERE status = 'completed' AND c = 0
-UNION ALL SELECT t, 'missing-stages:' || array_to_string([x for x in ['click', 'error', 'view'] if NOT list_contains(seen, x)], ',') FROM s WHERE seen IS NOT NULL AND NOT list_has_all(seen, ['click', 'error', 'view'])""",
+UNION ALL SELECT t, 'missing-stages:' || array_to_string([x for x in ['click-3', 'error-7', 'view-11'] if NOT list_contains(seen, x)], ',') FROM s WHERE seen IS NOT NULL AND NOT list_has_all(seen, ['click-3', 'error-7', 'view-11'])""",
     "trace_tables": r"""
-WITH e AS (SELECT user_id, event_id AS k, '| ' || event_id || ' | ' || event_type || ' | r\|' || (event_id % 3) || ' | ' || CASE WHEN event_id % 2 = 0 THEN 'ok' ELSE '' END || ' | ' || CASE WHEN event_id % 7 <> 0 THEN (event_id % 1000)::VARCHAR ELSE '' END || ' |' AS line FROM events WHERE event_id % 5 = 0)
+WITH e AS (SELECT user_id, event_id AS k, '| ' || event_id || ' | ' || event_type || ' | r\|' || (event_id % 3) || ' | ' || CASE WHEN event_id % 2 = 0 THEN 'ok' ELSE '' END || ' | ' || CASE WHEN event_id % 7 <> 0 THEN (event_id % 1000)::VARCHAR ELSE '' END || ' |' AS line FROM events)
 SELECT user_id, sha256('| # | stage | route | status | ms |' || chr(10) || '| --- | --- | --- | --- | --- |' || chr(10) || string_agg(line, chr(10) ORDER BY k)) AS markdown_sha256, (count(*) + 2)::INT AS n_lines FROM e GROUP BY user_id""",
     "trace_append": """
 WITH o AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ordinal FROM events WHERE event_id % 3 = 0), m AS (SELECT user_id, max(ordinal) AS m FROM o GROUP BY user_id),
@@ -74,7 +74,7 @@ SELECT user_id, event_id, ordinal, least(20, event_id % 40 + 1)::INT AS n_candid
 UNION ALL SELECT user_id, event_id, CASE WHEN user_id % 10 <> 0 THEN ordinal END, least(20, event_id % 40 + 1)::INT, CASE WHEN user_id % 10 = 0 THEN 'trace-not-started' END FROM n""",
     "newest_fusion": "SELECT user_id, max(event_id) AS ordinal, arg_max(value, event_id) AS value FROM events WHERE event_type = 'purchase' GROUP BY user_id",
     "catalog_handles": """
-WITH p AS (SELECT conv_id AS trace_id, role AS document_path, (turn % 4)::VARCHAR AS section_id, min(turn) AS rank FROM conversations WHERE turn < 8 GROUP BY ALL),
+WITH p AS (SELECT conv_id AS trace_id, role AS document_path, (turn % 4)::VARCHAR AS section_id, min(turn) AS rank FROM conversations GROUP BY ALL),
 h AS (SELECT *, rank < 3 AS held, rank > 0 AS seen, 'v' || (rank % 8) AS v FROM p),
 n AS (SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY CASE WHEN held THEN rank + 1 END NULLS LAST, rank, document_path, section_id) AS k FROM h)
 SELECT trace_id, document_path, section_id, CASE WHEN held THEN rank + 1 ELSE k END::INT AS handle_no, CASE WHEN held AND NOT seen AND trace_id % 3 = 0 THEN 'old' ELSE v END AS document_version, CASE WHEN held AND seen AND trace_id % 3 = 0 THEN 'document-version-changed' END AS violation FROM n""",
@@ -128,7 +128,7 @@ SELECT page_id, regexp_replace(slashed, '^/+|/+$', '', 'g') AS normalised, NOT r
   CASE WHEN regexp_matches(name, '.\.[^.]*$') THEN regexp_replace(name, '\.[^.]*$', '') ELSE name END AS stem, lower(regexp_extract(name, '.(\.[^.]*)$', 1)) AS suffix,
   ends_with(lower(raw), '.md') AND len([x for x in string_split(raw, '/') if starts_with(x, '.') OR starts_with(x, '~')]) = 0 AS visible, starts_with(regexp_replace(slashed, '^/+|/+$', '', 'g'), '30_Cards/') AS below FROM n""",
     "range_functions": """
-WITH r AS (SELECT l_orderkey, l_linenumber, [x for x in [{'a': (l_partkey % 7)::INT, 'b': (l_suppkey % 9)::INT}, {'a': 3, 'b': (l_partkey % 5)::INT}] if x.a >= 1 AND x.b >= x.a] AS g, (l_suppkey % 4)::INT AS s FROM lineitem WHERE l_linenumber <= 2),
+WITH r AS (SELECT l_orderkey, l_linenumber, [x for x in [{'a': (l_partkey % 7)::INT, 'b': (l_suppkey % 9)::INT}, {'a': 3, 'b': (l_partkey % 5)::INT}] if x.a >= 1 AND x.b >= x.a] AS g, (l_suppkey % 4)::INT AS s FROM lineitem),
 v AS (SELECT l_orderkey, l_linenumber, CASE WHEN len(g) > 0 THEN g WHEN s >= 1 AND s <= 3 THEN [{'a': s, 'b': 3}] ELSE [] END AS g FROM r)
 SELECT l_orderkey, l_linenumber, 'lines-' || array_to_string([x.a || '-' || x.b for x in g], '+') AS block_id, coalesce(list_sum([x.b - x.a + 1 for x in g]), 0)::INT AS n_lines FROM v""",
 }
@@ -230,7 +230,7 @@ SELECT i.conv_id, i.turn AS ordinal, 'i' || i.turn AS path, CASE WHEN c.n = i.n
 WITH s AS (SELECT page_id, sha256(html) AS file_sha256, CASE WHEN page_id % 4 <> 0 AND page_id % 5 <> 0 THEN 'source' END AS source_sha256 FROM pages)
 SELECT *, CASE WHEN page_id % 3 = 0 AND page_id % 2 <> 0 THEN 'ledger' ELSE coalesce(source_sha256, file_sha256) END AS document_version, page_id % 3 = 0 AS has_ledger, page_id % 4 <> 0 AS has_manifest FROM s""",
     "packet_outputs": """
-WITH f AS (SELECT CASE WHEN doc_id % 2 = 0 THEN '30_Cards/' ELSE '50_Projects/' END || doc_id || '.md' AS path, text FROM documents WHERE doc_id < 80),
+WITH f AS (SELECT CASE WHEN doc_id % 2 = 0 THEN '30_Cards/' ELSE '50_Projects/' END || doc_id || '.md' AS path, text FROM documents),
 o AS (SELECT doc_id AS section_id, unnest(['30_Cards/' || (doc_id % 90) || '.md', '50_Projects/' || (doc_id % 70) || '.md']) AS path FROM documents)
 SELECT section_id, path, sha256(text[1:12000]) AS content_sha256, length(text) > 12000 AS content_truncated FROM o JOIN f USING (path)""",
     "block_features": """
@@ -242,11 +242,11 @@ SELECT o_custkey, string_agg(path, ',' ORDER BY first) AS paths FROM f GROUP BY
     "request_guards": """
 WITH s AS (SELECT conv_id AS r, turn + 1 AS i, conv_id % 5 = 0 AND turn = 2 AS open, CASE WHEN conv_id % 4 = 0 THEN 4 + CASE WHEN conv_id % 8 = 0 THEN turn % 2 ELSE 0 END END AS c FROM conversations WHERE turn < 3 AND NOT (conv_id % 9 = 4 AND turn = 1)),
 g AS (SELECT r, bool_or(open) AS open, list(DISTINCT i) AS taken, count(DISTINCT c) AS counts, max(c) AS c FROM s GROUP BY r),
-q AS (SELECT conv_id AS k, CASE WHEN conv_id % 10 <> 1 THEN conv_id END AS r, CASE WHEN conv_id % 6 <> 5 THEN turn + 2 END AS i, CASE WHEN conv_id % 2 = 0 THEN 5 - CASE WHEN conv_id % 7 = 0 THEN 5 ELSE 0 END END AS n FROM conversations WHERE turn < 5)
+q AS (SELECT conv_id AS k, CASE WHEN conv_id % 10 <> 1 THEN conv_id END AS r, CASE WHEN conv_id % 6 <> 5 THEN turn + 2 END AS i, CASE WHEN conv_id % 2 = 0 THEN 5 - CASE WHEN conv_id % 7 = 0 THEN 5 ELSE 0 END END AS n FROM conversations)
 SELECT k, i AS question_index, n AS question_count, CASE WHEN n < 1 THEN 'count-invalid' WHEN n IS NOT NULL AND q.r IS NULL THEN 'count-needs-request' WHEN n IS NOT NULL AND i IS NULL THEN 'count-needs-index' WHEN i > n THEN 'index-over-count'
   WHEN open THEN 'open-trace' WHEN list_contains(taken, i) THEN 'index-taken' WHEN len([x for x in generate_series(1, i - 1) if NOT list_contains(coalesce(taken, []), x)]) > 0 THEN 'index-not-sequential' WHEN counts > 1 THEN 'counts-inconsistent' WHEN counts = 1 AND n <> g.c THEN 'count-conflict' END AS violation
 FROM q LEFT JOIN g ON g.r = q.r""",
     "trace_starts": """
-WITH e AS (SELECT event_id, event_id % 430 AS trace_id, count(*) OVER (PARTITION BY event_id % 430) AS n FROM events WHERE event_id < 500)
-SELECT event_id, trace_id, CASE WHEN trace_id IN (SELECT event_id % 430 FROM events WHERE event_id < 500 AND event_id % 7 = 0) THEN 'trace-exists' WHEN n > 1 THEN 'trace-id-repeated' END AS violation FROM e""",
+WITH d AS (SELECT event_id, event_id - CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS trace_id FROM events), e AS (SELECT *, count(*) OVER (PARTITION BY trace_id) AS n FROM d)
+SELECT event_id, trace_id, CASE WHEN trace_id IN (SELECT trace_id FROM d WHERE event_id % 7 = 0) THEN 'trace-exists' WHEN n > 1 THEN 'trace-id-repeated' END AS violation FROM e""",
 }

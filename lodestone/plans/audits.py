@@ -197,13 +197,13 @@ def trace_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = e.groupBy(F.col("user_id").alias("trace_id")).agg(F.count_if(F.col("event_type") == "error").alias("n_open_stages"), F.count_if(F.col("event_type") == "purchase").alias("n_evidence"), F.count_if(F.col("event_type") == "signup").alias("n_claims"))
     status = F.when(mod("trace_id", 7), "odd").when(mod("trace_id", 3), "failed").otherwise("completed")
     level = F.when(mod("trace_id", 11), "none").when(mod("trace_id", 4), "gap").otherwise("clear")
-    gaps = trace.stage_gaps(e.filter("event_id % 40 = 0").select(F.col("user_id").alias("trace_id"), F.col("event_type").alias("stage")), ["trace_id"], ("click", "error", "view"))
+    gaps = trace.stage_gaps(e.select(F.col("user_id").alias("trace_id"), F.concat_ws("-", "event_type", (F.col("event_id") % 40).cast("string")).alias("stage")), ["trace_id"], ("click-3", "error-7", "view-11"))
     return trace.finish_violations(sums.withColumns({"status": status, "evidence_level": level}), gaps)
 
 
 @query
 def trace_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t(spark, sf_dir, "events").filter("event_id % 5 = 0").select("user_id", F.col("event_id").alias("ordinal"), F.col("event_type").alias("stage"), F.concat(F.lit("r|"), (F.col("event_id") % 3).cast("string")).alias("route"), F.when(mod("event_id", 2), "ok").alias("status"), F.when(~mod("event_id", 7), (F.col("event_id") % 1000).cast("int")).alias("duration_ms"))
+    e = t(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("ordinal"), F.col("event_type").alias("stage"), F.concat(F.lit("r|"), (F.col("event_id") % 3).cast("string")).alias("route"), F.when(mod("event_id", 2), "ok").alias("status"), F.when(~mod("event_id", 7), (F.col("event_id") % 1000).cast("int")).alias("duration_ms"))
     return trace.render_events(e, ["user_id"]).select("user_id", sha256("markdown").alias("markdown_sha256"), F.size(F.split("markdown", "\n")).alias("n_lines"))
 
 
@@ -233,7 +233,7 @@ def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def catalog_handles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fusion.first_of(packet_rows(spark, sf_dir).filter("rank < 8"), ["trace_id", "document_path", "section_id"], "rank")
+    rows = fusion.first_of(packet_rows(spark, sf_dir), ["trace_id", "document_path", "section_id"], "rank")
     held = rows.filter("rank < 3").select("trace_id", (F.col("rank") + 1).cast("int").alias("handle_no"), "document_path", "section_id", F.when(mod("trace_id", 3), "old").otherwise(F.col("document_version")).alias("document_version"))
     out = session.upsert_catalog(held, rows.filter("rank > 0"))
     return out.select("trace_id", "document_path", "section_id", "handle_no", "document_version", "violation")
@@ -362,7 +362,7 @@ def path_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def range_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = t(spark, sf_dir, "lineitem").filter("l_linenumber <= 2")
+    li = t(spark, sf_dir, "lineitem")
     one = F.struct((F.col("l_partkey") % 7).cast("int").alias("start_line"), (F.col("l_suppkey") % 9).cast("int").alias("end_line"))
     two = F.struct(F.lit(3).alias("start_line"), (F.col("l_partkey") % 5).cast("int").alias("end_line"))
     found = li.select("l_orderkey", "l_linenumber", valid_ranges(F.array(one, two), (F.col("l_suppkey") % 4).cast("int"), F.lit(3)).alias("r"))
@@ -476,7 +476,7 @@ def packet_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents")
     file = lambda folder, n: F.concat(F.lit(folder), (F.col("doc_id") % n).cast("string"), F.lit(".md"))
     sections = d.select(F.col("doc_id").alias("section_id"), F.array(file("30_Cards/", 90), file("_system/", 3), file("50_Projects/", 70)).alias("outputs"))
-    files = d.filter("doc_id < 80").select(F.concat(F.when(mod("doc_id", 2), "30_Cards/").otherwise("50_Projects/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), "text")
+    files = d.select(F.concat(F.when(mod("doc_id", 2), "30_Cards/").otherwise("50_Projects/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), "text")
     out = resolve.governed_outputs(sections, files, ["section_id"])
     return out.select("section_id", "path", sha256("content").alias("content_sha256"), "content_truncated")
 
@@ -499,7 +499,7 @@ def spec_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def request_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = t(spark, sf_dir, "conversations").filter("turn < 5")
+    c = t(spark, sf_dir, "conversations")
     states = c.filter("turn < 3 AND NOT (conv_id % 9 = 4 AND turn = 1)").select(F.col("conv_id").alias("request_id"), F.when(mod("conv_id", 5) & (F.col("turn") == 2), "in_progress").otherwise("completed").alias("status"), (F.col("turn") + 1).alias("question_index"), F.when(mod("conv_id", 4), F.lit(4) + F.when(mod("conv_id", 8), F.col("turn") % 2).otherwise(0)).alias("expected_count"))
     rows = c.select(F.when(F.col("conv_id") % 10 != 1, F.col("conv_id")).alias("request_id"), F.col("conv_id").alias("k"), F.when(F.col("conv_id") % 6 != 5, F.col("turn") + 2).alias("question_index"), F.when(mod("conv_id", 2), F.lit(5) - F.when(mod("conv_id", 7), 5).otherwise(0)).alias("question_count"))
     return resolve.request_guard(rows, states).select("k", "question_index", "question_count", "violation")
@@ -507,6 +507,6 @@ def request_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trace_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t(spark, sf_dir, "events").filter("event_id < 500").select("event_id", (F.col("event_id") % 430).alias("trace_id"))
+    e = t(spark, sf_dir, "events").select("event_id", (F.col("event_id") - F.when(mod("event_id", 5), 1).otherwise(0)).alias("trace_id"))
     started = e.filter("event_id % 7 = 0").select("trace_id")
     return trace.start_traces(started, e).select("event_id", "trace_id", "violation")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -36,3 +37,15 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(archive)
         _shipped.add(context.applicationId)
     return spark
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for tables that a job writes and reads again, below spark.checkpoint.dir, which the driver and all
+    executors share. Only a local session may leave that unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="lodestone-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,10 +6,10 @@ import os
 import pytest
 
 duckdb = pytest.importorskip("duckdb")
-from lodestone.plans import audit_sql, audits, oracle  # noqa: E402, F401
+from lodestone.plans import audit_sql, audits, oracle, stored  # noqa: E402, F401
 from lodestone.plans.queries import QUERIES  # noqa: E402
 
-ORACLE = {**oracle.ORACLE, **audit_sql.SQL}
+ORACLE = {**oracle.ORACLE, **audit_sql.SQL, **stored.SQL}
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
