@@ -4,46 +4,137 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import casefold, content_lines, match_score, matched, query_terms, read_ranges, span, valid_ranges
+from ..functions.substrings import Finder
+from ..functions.text import casefold, content_lines, query_terms, read_ranges, span, valid_ranges
 
 WEIGHTS = {"document": 5, "title": 9, "path": 4, "content": 2}
 UNSETTLED = ("stale", "pending", "in_progress")
-#: Distinct terms of a set of questions that one pass looks for; more are tested question by question.
-MOST_TERMS = 200_000
-#: Pairs of a question and a document that are sent to all tasks.
-MOST_ROUTES = 100_000
-
-
-def terms_within(rows: DataFrame, words: list[str], texts: dict[str, str]) -> DataFrame:
-    """Adds, by name of a new column, which of the words the text of another column has as substrings: one pass of an
-    automaton over each text, in Arrow batches, where workers have one, and else one search for each word."""
-    sent = rows.sparkSession.sparkContext.broadcast(words)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = sent.value
-        try:
-            import ahocorasick
-        except ImportError:
-            within = lambda text: [w for w in words if w in text]
-        else:
-            automaton = ahocorasick.Automaton()
-            for word in words:
-                automaton.add_word(word, word)
-            if words:
-                automaton.make_automaton()
-            within = lambda text: list({w for _, w in automaton.iter(text)}) if words else []
-        for batch in batches:
-            found = [pa.array([within(t.as_py() or "") for t in batch.column(c)], pa.list_(pa.string())) for c in texts.values()]
-            keep = [c for c in batch.schema.names if c not in texts.values()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *found], names=[*keep, *texts])
-
-    kept = [f for f in rows.schema.fields if f.name not in texts.values()]
-    return rows.mapInArrow(run, T.StructType([*kept, *[T.StructField(c, T.ArrayType(T.StringType())) for c in texts]]))
+#: Questions that one pass over documents and sections answers.
+MOST_QUESTIONS = 10_000
+#: Pairs of a section and a question that are scored at once.
+SLICE_PAIRS = 50_000
+NONE = pa.list_(pa.string())
+
+
+class Asked:
+    """A block of questions turned round: for each distinct term, which questions have it, where in their list, and its
+    weight."""
+
+    def __init__(self, questions: pa.Table):
+        self.ids = questions.column("query_id").combine_chunks()
+        lists = questions.column("terms").to_pylist()
+        self.words = sorted({t for terms in lists for t in terms})
+        number = {w: i for i, w in enumerate(self.words)}
+        self.weight = np.array([max(1, len(w) - 1) for w in self.words], np.float64)
+        word = np.array([number[t] for terms in lists for t in terms], np.int64)
+        order = np.argsort(word, kind="stable")
+        self.question = np.repeat(np.arange(len(lists)), [len(x) for x in lists])[order]
+        self.place = np.array([i for terms in lists for i in range(len(terms))], np.int64)[order]
+        self.start = np.searchsorted(word[order], np.arange(len(self.words) + 1))
+        self.find = Finder(self.words)
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def hits(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """text, question, place of the term in the question's list, term; for each term of a question in a text."""
+        text, word = self.find(texts)
+        n = self.start[word + 1] - self.start[word]
+        at = np.repeat(self.start[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.repeat(text, n), self.question[at], self.place[at], np.repeat(word, n)
+
+    def lists(self, of: np.ndarray, place: np.ndarray, word: np.ndarray, n: int) -> pa.Array:
+        """For each of n owners its terms, in the order of the question's list."""
+        order = np.lexsort((place, of))
+        ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=n)))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(self.words, pa.string()).take(pa.array(word[order])))
+
+
+def best_documents(batches: Iterable[pa.RecordBatch], asked: Asked, top: int) -> Iterator[pa.RecordBatch]:
+    """question, document_path, document_score, document_terms: of each batch the best documents of each question that
+    have a term of it, and, as question -1, the least paths, for questions that too few documents have a term of."""
+    names = ["question", "document_path", "document_score", "document_terms"]
+    for batch in batches:
+        least = sorted(batch.column("document_path").drop_null().to_pylist())[: 2 * top]
+        yield pa.RecordBatch.from_arrays([pa.array([-1] * len(least), pa.int32()), pa.array(least, pa.string()), pa.array([0] * len(least), pa.int32()), pa.array([[]] * len(least), NONE)], names=names)
+        text, question, place, word = asked.hits(batch.column("routing"))
+        pair, of = np.unique(question * max(1, batch.num_rows) + text, return_inverse=True)
+        if not len(pair):
+            continue
+        score = WEIGHTS["document"] * np.bincount(of, asked.weight[word]).astype(np.int64)
+        paths = np.array(batch.column("document_path").to_pylist(), dtype=object)
+        rank_of_path = np.argsort(np.argsort(paths, kind="stable"), kind="stable")
+        q, d = pair // batch.num_rows, pair % batch.num_rows
+        order = np.lexsort((rank_of_path[d], -score, q))
+        kept = order[np.arange(len(order)) - np.searchsorted(q[order], q[order]) < top]
+        terms = asked.lists(of, place, word, len(pair)).take(pa.array(kept))
+        yield pa.RecordBatch.from_arrays([pa.array(q[kept].astype(np.int32)), pa.array(paths[d[kept]], pa.string()), pa.array(score[kept].astype(np.int32)), terms], names=names)
+
+
+class Routes:
+    """Which questions a document is among the best of, by document."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by([("document_path", "ascending"), ("question", "ascending")])
+        paths = rows.column("document_path").to_pylist()
+        self.question, self.score = rows.column("question").to_numpy(), rows.column("document_score").to_numpy()
+        self.terms = rows.column("document_terms").combine_chunks() if rows.num_rows else pa.array([], NONE)
+        self.slices: dict[str, tuple[int, int]] = {}
+        for i, p in enumerate(paths):
+            self.slices[p] = (self.slices.get(p, (i, i))[0], i + 1)
+
+
+FIELDS = ("title", "path", "content")
+
+
+def score_sections(batches: Iterable[pa.RecordBatch], asked: Asked, routes: Routes, terms: bool) -> Iterator[pa.RecordBatch]:
+    """A row for each section and question that its document is among the best of, if the score is over 0."""
+    for batch in batches:
+        slices = [routes.slices.get(p, (0, 0)) for p in batch.column("document_path").to_pylist()]
+        ends = np.cumsum([b - a for a, b in slices])
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + SLICE_PAIRS, side="right")))
+            found = _scored(batch.slice(at, stop - at), slices[at:stop], asked, routes, terms)
+            if found is not None:
+                yield found
+            at = stop
+
+
+def _scored(batch: pa.RecordBatch, slices: list[tuple[int, int]], asked: Asked, routes: Routes, terms: bool) -> pa.RecordBatch | None:
+    n = np.array([b - a for a, b in slices])
+    if not n.sum():
+        return None
+    section = np.repeat(np.arange(len(n)), n)
+    route = np.repeat(np.array([a for a, _ in slices]) - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    pairs = section * len(asked) + routes.question[route]  # ascending, as a document's routes are
+    total, met = routes.score[route].astype(np.int64), {}
+    for field in FIELDS:
+        text, question, place, word = asked.hits(batch.column(field))
+        key = text * len(asked) + question
+        of = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        hit = pairs[of] == key
+        of, place, word = of[hit], place[hit], word[hit]
+        total += WEIGHTS[field] * np.bincount(of, asked.weight[word], len(pairs)).astype(np.int64)
+        met[field] = of, place, word
+    kept = np.flatnonzero(total > 0)
+    take = lambda column, rows: column.take(pa.array(rows))
+    arrays = [take(asked.ids, routes.question[route[kept]])]
+    arrays += [take(batch.column(c), section[kept]) for c in ("document_path", "section_id", "source_filename", "ingest_status")]
+    arrays += [pa.array(total[kept].astype(np.int32)), pa.array(routes.score[route[kept]].astype(np.int32))]
+    names = ["query_id", "document_path", "section_id", "source_filename", "ingest_status", "score", "document_score"]
+    if terms:
+        arrays += [take(routes.terms, route[kept]), *[take(asked.lists(*met[f], len(pairs)), kept) for f in FIELDS]]
+        names += ["document_terms", *[f"{f}_terms" for f in FIELDS]]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 def outline(headings: DataFrame, document: str = "document_path") -> DataFrame:
@@ -110,42 +201,52 @@ def deepest_container(points: DataFrame, sections: DataFrame, document: str = "d
     return points.join(scopes, hit, "left").withColumn("__n", F.row_number().over(best)).filter("__n = 1").drop("__n", "__doc", "start_line", "end_line", "level")
 
 
-def locate(queries: DataFrame, documents: DataFrame, sections: DataFrame, top_documents: int = 8, content: bool = True) -> DataFrame:
+def locate(queries: DataFrame, documents: DataFrame, sections: DataFrame, top_documents: int = 8, content: bool = True, terms: bool = True, most: int = MOST_QUESTIONS) -> DataFrame:
     """Scores sections for questions by terms in the document's routing text, the title, the path and the content.
 
-    queries: query_id, text. documents: document_path, routing, and text if ``content``. sections: document_path,
-    section_id, title, path_titles, content_ranges, ingest_status, source_filename; or content itself for the ranges,
-    and then documents need no text. The best ``top_documents`` of each
-    question are scored further, even at 0; a section needs a score over 0, and an unsettled one loses 3 after that.
-    Returns query_id, document_path, section_id, score, document_score, matched terms, rank.
+    queries: query_id, text; each id once. documents: document_path, routing, and text if ``content``. sections:
+    document_path, section_id, title, path_titles, content_ranges, ingest_status, source_filename; or content itself for
+    the ranges, and then documents need no text. The best ``top_documents`` of each question are scored further, even at
+    0; a section needs a score over 0, and an unsettled one loses 3 after that. Returns query_id, document_path,
+    section_id, score, document_score, matched terms (unless ``terms`` is False), rank.
 
-    Queries are a small stated set: their terms go to the documents, each title, path and text is searched once for all
-    of them, and the questions that a document is among the best of meet its sections where these lie. With over
-    ``MOST_TERMS`` distinct terms, or ``MOST_ROUTES`` pairs of question and document, both are joined by key."""
+    Questions are a stated set, taken in blocks of ``most``. A block's terms, turned into postings, go to all tasks; each
+    routing text, title, path and content is read once, and what it has of all questions' terms is added up question by
+    question where it lies. Between the two passes only a block's pairs of question and document come to the driver."""
     asked = queries.select("query_id", query_terms("text").alias("terms"))
-    words = asked.select(F.explode("terms").alias("t")).distinct()
-    few = words.limit(MOST_TERMS + 1).count() <= MOST_TERMS
-    routed = documents.select("document_path", casefold("routing").alias("routing")).join(F.broadcast(asked) if few else asked).withColumn("document_terms", matched(F.col("terms"), F.col("routing")))
-    routed = routed.select("query_id", "document_path", "terms", "document_terms", match_score(F.col("document_terms"), WEIGHTS["document"]).alias("document_score"))
-    routed = routed.withColumn("__n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("document_score"), "document_path"))).filter(F.col("__n") <= max(1, top_documents)).drop("__n")
+    few = asked.limit(most + 1).toArrow()
+    n = few.num_rows if few.num_rows <= most else asked.count()
+    blocks = max(1, -(-n // most))
+    top = max(1, top_documents)
+    folded = documents.select("document_path", casefold("routing").alias("routing"))
     bodies = sections.withColumnRenamed("content", "__content") if "content" in sections.columns else sections
     if content and "content" not in sections.columns:
         texts = documents.select("document_path", content_lines("text").alias("__lines"))
         bodies = sections.join(texts, "document_path").withColumn("__content", read_ranges(F.col("__lines"), F.col("content_ranges"))).drop("__lines")
     body = casefold("__content") if content else F.lit("")
-    bodies = bodies.select("document_path", "section_id", "source_filename", "ingest_status", casefold(F.coalesce("title", F.lit(""))).alias("__t"), casefold(F.array_join("path_titles", " / ")).alias("__p"), body.alias("__c"))
-    if few:
-        bodies = terms_within(bodies, sorted(r.t for r in words.collect()), {"__title": "__t", "__path": "__p", "__body": "__c"})
-        of = lambda c: F.array_intersect("terms", c)
-        n_routes = queries.count() * max(1, top_documents)
-        routed = F.broadcast(routed) if n_routes <= MOST_ROUTES else routed
-    else:
-        bodies = bodies.withColumnsRenamed({"__t": "__title", "__p": "__path", "__c": "__body"})
-        of = lambda c: matched(F.col("terms"), F.col(c))
-    found = F.struct(of("__title").alias("title_terms"), of("__path").alias("path_terms"), of("__body").alias("content_terms"))
-    # A generator of one row: what it gives is computed once, though the filter, the score and the result all use it.
-    hit = bodies.join(routed, "document_path").select("query_id", "document_path", "section_id", "source_filename", "ingest_status", "document_score", "document_terms", F.inline(F.array(found)))
-    total = F.col("document_score") + match_score(F.col("title_terms"), WEIGHTS["title"]) + match_score(F.col("path_terms"), WEIGHTS["path"]) + match_score(F.col("content_terms"), WEIGHTS["content"])
-    scored = hit.withColumn("score", total).filter("score > 0").withColumn("score", F.col("score") - F.when(F.col("ingest_status").isin(*UNSETTLED), 3).otherwise(0))
+    bodies = bodies.select("document_path", "section_id", "source_filename", "ingest_status", casefold(F.coalesce("title", F.lit(""))).alias("title"), casefold(F.array_join("path_titles", " / ")).alias("path"), body.alias("content"))
+    lists = ["document_terms", *[f"{f}_terms" for f in FIELDS]] if terms else []
+    schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType), *[bodies.schema[c] for c in ("document_path", "section_id", "source_filename", "ingest_status")], T.StructField("score", T.IntegerType()), T.StructField("document_score", T.IntegerType()), *[T.StructField(c, T.ArrayType(T.StringType())) for c in lists]])
+    scored = None
+    for block in range(blocks):
+        mine = Asked(few if blocks == 1 else asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).toArrow())
+        sent = queries.sparkSession.sparkContext.broadcast(mine)
+        found = folded.mapInArrow(lambda it, sent=sent: best_documents(it, sent.value, top), "question int, document_path string, document_score int, document_terms array<string>")
+        best = found.withColumn("__n", F.row_number().over(Window.partitionBy("question").orderBy(F.desc("document_score"), "document_path"))).filter(F.col("__n") <= F.when(F.col("question") < 0, 2 * top).otherwise(top)).drop("__n")
+        routes = queries.sparkSession.sparkContext.broadcast(Routes(_with_spare(best.toArrow(), len(mine), top)))
+        hits = bodies.mapInArrow(lambda it, sent=sent, routes=routes: score_sections(it, sent.value, routes.value, terms), schema)
+        scored = hits if scored is None else scored.unionByName(hits)
+    scored = scored.withColumn("score", F.col("score") - F.when(F.col("ingest_status").isin(*UNSETTLED), 3).otherwise(0))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "source_filename", "section_id")
-    return scored.select("query_id", "document_path", "section_id", "source_filename", "score", "document_score", "document_terms", "title_terms", "path_terms", "content_terms").withColumn("rank", F.row_number().over(order))
+    return scored.select("query_id", "document_path", "section_id", "source_filename", "score", "document_score", *lists).withColumn("rank", F.row_number().over(order))
+
+
+def _with_spare(best: pa.Table, questions: int, top: int) -> pa.Table:
+    """The best documents of each question, filled up to ``top`` by others at 0, in the order of their paths."""
+    has: dict[int, set[str]] = {}
+    for q, p in zip(best.column("question").to_pylist(), best.column("document_path").to_pylist(), strict=True):
+        has.setdefault(q, set()).add(p)
+    spare = sorted(has.pop(-1, ()))
+    more = [(q, p) for q in range(questions) if len(has.get(q, ())) < top for p in [x for x in spare if x not in has.get(q, ())][: top - len(has.get(q, ()))]]
+    filled = pa.table({"question": pa.array([q for q, _ in more], pa.int32()), "document_path": pa.array([p for _, p in more], pa.string()), "document_score": pa.array([0] * len(more), pa.int32()), "document_terms": pa.array([[]] * len(more), NONE)})
+    return pa.concat_tables([best.filter(pc.greater_equal(best.column("question"), 0)).cast(filled.schema), filled])

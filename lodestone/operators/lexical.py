@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import tokens
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
-#: Distinct terms of a set of questions that are sent to all tasks; more are joined by key.
+#: Pairs of a question and a term of it that are sent to all tasks; more are joined by key.
 MOST_TERMS = 1_000_000
 
 
@@ -57,11 +57,11 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 20, k1: float = K1,
     words of the corpus move only if asked for."""
     asked = queries.select("query_id", F.explode(tokens("text")).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
     words = asked.select("term").distinct()
-    few = words.limit(MOST_TERMS + 1).count() <= MOST_TERMS
+    few = asked.limit(MOST_TERMS + 1).count() <= MOST_TERMS
     sent = F.broadcast if few else (lambda df: df)
     tf = index.documents.select("doc_id", "dl", F.explode("terms").alias("term")).join(sent(words), "term").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
     weighed = asked.join(sent(index.idf(words)), "term")
-    hits = tf.join(sent(weighed) if few else weighed, "term")
+    hits = tf.join(sent(weighed), "term")
     part = F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scored = hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))).filter(F.col("rank") <= k)

@@ -115,12 +115,12 @@ def chunk_to_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("document_path", "chunk_id", "line_end", "section_id", "owned_span", "depth")
 
 
-def located(spark: SparkSession, sf_dir: str, questions: DataFrame | None = None) -> DataFrame:
+def located(spark: SparkSession, sf_dir: str, questions: DataFrame | None = None, terms: bool = True) -> DataFrame:
     docs = t(spark, sf_dir, "documents")
     routes = docs.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("lang")), " ").alias("langs"))
     routes = routes.select(F.col("source").alias("document_path"), F.concat_ws(" ", "source", "langs").alias("routing"))
-    sections = docs.select(F.col("source").alias("document_path"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("section_id"), F.get(F.split("text", "\n"), F.lit(0)).alias("title"), F.array(F.col("lang")).alias("path_titles"), F.col("text").alias("content"), F.when(F.col("doc_id") % 5 == 0, "stale").otherwise("ingested").alias("ingest_status"), F.col("source").alias("source_filename"))
-    return hierarchy.locate(asked(spark, sf_dir) if questions is None else questions, routes, sections)
+    sections = docs.select(F.col("source").alias("document_path"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("section_id"), F.substring_index("text", "\n", 1).alias("title"), F.array(F.col("lang")).alias("path_titles"), F.col("text").alias("content"), F.when(F.col("doc_id") % 5 == 0, "stale").otherwise("ingested").alias("ingest_status"), F.col("source").alias("source_filename"))
+    return hierarchy.locate(asked(spark, sf_dir) if questions is None else questions, routes, sections, terms=terms)
 
 
 @query
@@ -130,7 +130,7 @@ def hierarchical_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def diversified_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fusion.diversify(located(spark, sf_dir).select("query_id", "document_path", "section_id", "rank"), limit=10).select("query_id", "document_path", "section_id", "rank", "position")
+    return fusion.diversify(located(spark, sf_dir, terms=False).select("query_id", "document_path", "section_id", "rank"), limit=10).select("query_id", "document_path", "section_id", "rank", "position")
 
 
 @query
