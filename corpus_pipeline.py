@@ -11,10 +11,17 @@ the columns of documents, with n_chars set anew where a text changed. Rejected d
    nothing else, and of null ids with the same shingles one stays; empty documents are linked with nothing;
 4. leaks: documents that leak a benchmark item go;
 5. tokens: ids, n_tokens, and whether decoding gives the text back, are added.
+
+Documents may have other columns, of any names: each stage works under names of its own and gives them back as they were;
+a column that the last stage adds and that a document has already gets an underscore more. An empty table passes all
+stages and stays empty.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,18 +29,46 @@ from lodestone.llm import jaccard, leaks, lines, pieces, quality
 from lodestone.llm.common import dealt, forget, table, written
 
 SHINGLE, PERCENT = 5, 80
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def apart(stage: Stage) -> Stage:
+    """The stage, with the documents' other columns under names that nothing in it uses, and back under their own."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        hidden = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        shown = {h: c for c, h in hidden.items()}
+        out = stage(spark, docs.select(*[F.col(quoted(c)).alias(hidden.get(c, c)) for c in docs.columns]), sf_dir)
+        taken, names = {c.lower() for c in docs.columns}, []
+        for c in out.columns:
+            name = shown.get(c, c)
+            while c not in shown and c not in COLUMNS and name.lower() in taken:
+                name += "_"
+            names.append(name)
+        return out.select(*[F.col(quoted(c)).alias(n) for c, n in zip(out.columns, names, strict=True)])
+
+    return run
 
 
+@apart
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return quality.score_quality(docs, model).filter("predicted = 1").select(docs.columns)
 
 
+@apart
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(docs)
     return kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
+@apart
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = lambda text: (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id"), F.isnull("doc_id").alias("__null"), text.alias("__text"))
     least = jaccard.similar(docs, SHINGLE, PERCENT).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -44,10 +79,12 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.withColumn("__row", F.row_number().over(first)).filter("__row = 1").select(docs.columns)
 
 
+@apart
 def leaks_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return leaks.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@apart
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = pieces.decode_pieces(pieces.encode_pieces(docs))
     return out.select(*docs.columns, "ids", F.size("ids").alias("n_tokens"), F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
