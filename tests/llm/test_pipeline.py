@@ -36,18 +36,34 @@ def test_stages_are_those_of_a_plain_pipeline(spark):
 
 
 def test_stages_take_odd_rows_and_extra_columns(spark, docs, empty):
+    """Other columns, among them all that a stage uses itself, come through each stage with type and value."""
     from pyspark.sql import functions as F
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "SentencePiece encoding and decoding"]
-    for given in (docs.withColumn("score", F.lit("x")).withColumn("n_lines", F.lit(1)), empty):
-        frame = given
-        for _, stage in corpus_pipeline.STAGES[:-1]:
-            out = stage(spark, frame, SF)
-            assert out.columns == given.columns
-            assert out.count() <= frame.count()
-            frame = out
-        last = corpus_pipeline.STAGES[-1][1](spark, frame, SF)
-        assert last.filter("NOT round_trip").count() == 0 and last.count() == frame.count()
+    own = ["score", "predicted", "held_out", "n_lines", "n_dropped", "__row", "__id", "__null", "__text", "__own_0", "component_id", "decoded", "ids", "N_Tokens", "round_trip", "a.b", "a`b"]
+    value = lambda i: F.concat(F.lit(f"{i}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))
+    given = docs.select("*", *[value(i).alias(c) for i, c in enumerate(own)])
+    frame = given
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, frame, SF)
+        if i < 4:
+            assert out.schema.simpleString() == given.schema.simpleString()
+        else:
+            assert out.columns == [*given.columns, "ids_", "n_tokens_", "round_trip_"]
+        got = out.collect()
+        assert 0 < len(got) <= frame.count()
+        for r in got:
+            at = "none" if r["doc_id"] is None else r["doc_id"]
+            assert [r[5 + k] for k in range(len(own))] == [f"{k}:{at}" for k in range(len(own))]
+        frame = out
+    assert all(r["round_trip_"] and r["n_tokens_"] == len(r["ids_"]) for r in got)
+
+
+def test_stages_take_an_empty_table(spark, empty):
+    frame = empty
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        frame = stage(spark, frame, SF)
+        assert frame.count() == 0 and frame.columns[:5] == empty.columns and (i == 4 or len(frame.columns) == 5)
 
 
 def test_near_duplicates_with_null_and_reused_ids(spark):
