@@ -198,6 +198,20 @@ def severities(found: DataFrame) -> DataFrame:
     return found.groupBy("severity").agg(F.count("*").alias("n"))
 
 
+def metrics() -> dict[str, Column]:
+    """What a lint run counts of governed files, for an aggregate, or for a job that observes itself as it checks them.
+
+    Over path, frontmatter (map of arrays) and links (array): files; files in a folder of cards; and of what says that it
+    is a card (and has front matter, and is no source map) those with a link."""
+    parts = F.split("path", "/")
+    card = F.get(F.col("frontmatter")["type"], F.lit(0)) == "knowledge-card"
+    governed = ~F.endswith("path", F.lit(".source-map.md")) & F.col("frontmatter").isNotNull()
+    return {
+        "governed_markdown_files": F.count("path"), "knowledge_cards": F.count_if(F.get(parts, F.size(parts) - 2) == "30_Cards"),
+        "linked_knowledge_cards": F.count_if(governed & F.coalesce(card, F.lit(False)) & (F.size("links") > 0)),
+    }
+
+
 def report(found: DataFrame) -> DataFrame:
     """One Markdown line for each issue, in order of severity, code and path, for a sink to write."""
     rank = F.when(F.col("severity") == "error", 0).when(F.col("severity") == "warning", 1).otherwise(2)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import empty, sha256
-from ..operators import commits, lexical, lexical_store, render, sync, vector_store
+from ..operators import commits, decisions, lexical, lexical_store, lint, observed, render, sync, vector_store
 from ..session import work_folder
 from ..sources.revisions import Store
 from .audit_sql import SQL as AUDIT_SQL
@@ -224,3 +224,49 @@ f AS (SELECT file, regexp_replace(regexp_replace(string_agg(ls, '' ORDER BY turn
 SELECT f.file, sha256(md) AS markdown_sha256, (length(md) - length(replace(md, chr(10), '')))::INT AS n_lines, n_blocks, max_page, coalesce((SELECT string_agg(x, ',' ORDER BY x) FROM i WHERE i.file = f.file), '') AS issues,
   coalesce((SELECT string_agg(id || '|images/' || id || suffix || '|' || CASE WHEN there THEN 'pass' ELSE 'fail' END, ',' ORDER BY turn) FROM m WHERE m.file = f.file AND kind IN ('image', 'chart')), '') AS images,
   coalesce((SELECT string_agg(id || '|' || p1 || '|' || p2 || '|' || q || '|' || ev, ',' ORDER BY turn) FROM t WHERE t.file = f.file), '') AS tables FROM f"""
+
+
+# ---- decisions, and counts of a run
+
+DECISIONS = (
+    '{"status":"completed","claims":[{"text":" A "},{"claim":"B","evidence_refs":["P1","P2"]}],"unresolved_items":["u"]}', '{"status":', "[1,2]", '{"status":"x","zeta":1,"alpha":2}', '{"unresolved":["a"],"unresolved_items":["b"]}', '{"unresolved":["","x"]}', '{"claims":{}}',
+    '{"claims":[{"text":"ok"},7]}', '{"claims":[{"text":" ","statement":5}]}', '{"claims":[{"claim_text":"t","evidence_refs":"P1"}]}', '{"events":[{"stage":"s","extensions":{"route":1}}]}', '{"claims":[],"verified_evidence_refs":["P3"],"events":[{"stage":"s","note":"n"}]}',
+)
+
+
+@query
+def decision_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions of all shapes, one for each turn; both outputs, as they are written."""
+    which = ((F.col("conv_id") * 3 + F.col("turn")) % len(DECISIONS) + 1).cast("int")
+    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.element_at(F.array(*[F.lit(d) for d in DECISIONS]), which).alias("decision"))
+    store = new_store(spark, "decisions")
+    decisions.record_decisions(store, rows)
+    claim = F.get("claims", F.size("claims") - 1)
+    return store.read("decisions").select("conv_id", "turn", F.size("claims").alias("n_claims"), claim.text.alias("last_text"), F.array_join(claim.evidence_refs, "+").alias("refs"), F.array_join("unresolved", "+").alias("unresolved"), F.size("verified_evidence_refs").alias("n_verified"), "n_events", "reason", "recommendation")
+
+
+SQL["decision_fold"] = """
+WITH c AS (SELECT conv_id, turn, (conv_id * 3 + turn) % 12 AS k FROM conversations), g AS (SELECT *, k IN (0, 11) AS ok FROM c)
+SELECT conv_id, turn, CASE WHEN ok THEN CASE k WHEN 0 THEN 2 ELSE 0 END END::INT AS n_claims, CASE k WHEN 0 THEN 'B' END AS last_text, CASE k WHEN 0 THEN 'P1+P2' END AS refs, CASE k WHEN 0 THEN 'u' WHEN 11 THEN '' END AS unresolved,
+  CASE k WHEN 0 THEN 0 WHEN 11 THEN 1 END::INT AS n_verified, CASE k WHEN 0 THEN 0 WHEN 11 THEN 1 END::INT AS n_events,
+  CASE k WHEN 1 THEN 'broken-json' WHEN 2 THEN 'not-an-object' WHEN 3 THEN 'unsupported-fields:alpha,zeta' WHEN 4 THEN 'unresolved-conflict' WHEN 5 THEN 'unresolved-not-texts' WHEN 6 THEN 'claims-not-a-list' WHEN 7 THEN 'claim-2-not-an-object'
+    WHEN 8 THEN 'claim-1-without-text' WHEN 9 THEN 'claim-1-refs-not-a-list' WHEN 10 THEN 'event-1-reserved-extensions:route' END AS reason,
+  CASE WHEN k IN (1, 2) THEN 'send-the-decision-again' WHEN k = 3 THEN 'drop-or-rename-fields' WHEN NOT ok THEN 'correct-and-finalize-again' END AS recommendation FROM g"""
+
+
+@query
+def lint_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a lint run over all pages counts as it goes, beside the issues that it writes."""
+    p = t(spark, sf_dir, "pages")
+    path = F.concat(F.when(mod("page_id", 3), "v/30_Cards/").otherwise("v/n/"), F.col("page_id").cast("string"), F.when(mod("page_id", 7), ".source-map.md").otherwise(".md"))
+    matter = F.when(~mod("page_id", 5), F.create_map(F.lit("type"), F.array(F.when(mod("page_id", 2), "knowledge-card").otherwise("note"))))
+    notes = p.select(path.alias("path"), matter.alias("frontmatter"), F.when(mod("page_id", 4), F.array(F.lit("x"))).otherwise(empty()).alias("links"))
+    events: list[dict] = []
+    with observed.Run("lint", "rules", events.append, lint.metrics()) as run:
+        found = lint.front_matter_rules(run.rows(notes))
+        found.write.parquet(work_folder(spark, "issues"))
+    return spark.createDataFrame([tuple(events[0][k] for k in ("hit_count", *lint.metrics()))], "hit_count long, governed_markdown_files long, knowledge_cards long, linked_knowledge_cards long")
+
+
+SQL["lint_metrics"] = """
+SELECT count(*) AS hit_count, count(*) AS governed_markdown_files, count(*) FILTER (page_id % 3 = 0) AS knowledge_cards, count(*) FILTER (page_id % 7 <> 0 AND page_id % 5 <> 0 AND page_id % 2 = 0 AND page_id % 4 = 0) AS linked_knowledge_cards FROM pages"""

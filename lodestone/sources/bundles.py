@@ -28,7 +28,9 @@ def json_files(spark: SparkSession, root: str, glob: str, schema: str, drop_brok
 def discover_bundles(spark: SparkSession, root: str, flat: bool = False) -> DataFrame:
     """directory, folder of bundles: where manifest, outline and document are all there; ``flat`` takes only direct
     children with a bundle's suffix, complete or not."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.url_decode("path").alias("path"))
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listing = listing if flat else listing.option("pathGlobFilter", "{manifest.json,outline.json,document.md}")
+    files = listing.load(root).select(F.url_decode("path").alias("path"))
     parts = files.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder"), F.element_at(F.split("path", "/"), -1).alias("name"))
     if flat:
         base = root.rstrip("/").removeprefix("file://")

@@ -7,7 +7,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import commits, dense, lexical, lexical_store, render, vector_store
+from lodestone.operators import commits, decisions, dense, lexical, lexical_store, observed, render, vector_store
 from lodestone.sources.revisions import Conflict, Store
 
 
@@ -210,3 +210,43 @@ def test_repeated_heading_levels_are_told(spark):
     assert [r.code for r in render.issues(render.laid_out(blocks)).collect()] == ["heading-levels-reconstructed"]
     assert render.issues(render.laid_out(blocks.filter("ordinal < 10"))).count() == 0
     assert [r.level for r in render.laid_out(blocks).orderBy("ordinal").collect()] == [1] + [2] * 10
+
+
+def test_decisions_fold_or_are_recorded(spark, store):
+    rows = {
+        "ok": '{"claims":[{"claim":" x ","text":"","evidence_refs":["P1",2],"status":"gap"}],"unresolved":["a"],"unresolved_items":["a"],"events":[{"stage":"s","more":1,"extensions":{"more":1}}],"conclusion":"c"}',
+        "empty": "{}", "null": None, "cut": "{", "list": "[]", "two": '{"b":1,"a":2}', "claims": '{"claims":null}', "claim": '{"claims":[{"text":"t","x":1}]}', "open": '{"unresolved_items":[" "]}', "events": '{"events":{}}', "event": '{"events":[1]}',
+        "extra": '{"events":[{"extensions":[]}]}', "clash": '{"events":[{"more":1,"extensions":{"more":2}}]}', "paths": '{"events":[{"inspected_paths":"p"}]}', "verified": '{"verified_evidence_refs":"P1"}',
+    }
+    decisions.record_decisions(store, spark.createDataFrame(list(rows.items()), "trace_id string, decision string"))
+    good = {r.trace_id: r for r in store.read("decisions", parts=["folded"]).collect()}
+    bad = {r.trace_id: (r.reason, r.recommendation) for r in store.read("decisions", parts=["failed"]).collect()}
+    assert len(good) + len(bad) == len(rows) and set(good) == {"ok", "empty"}
+    ok = good["ok"]
+    assert [tuple(c) for c in ok.claims] == [(1, "x", "gap", ["P1", "2"], None)] and ok.unresolved == ["a"] and ok.n_events == 1 and ok.conclusion == "c" and good["empty"].claims == []
+    again, change, correct = "send-the-decision-again", "drop-or-rename-fields", "correct-and-finalize-again"
+    assert bad == {
+        "null": ("broken-json", again), "cut": ("broken-json", again), "list": ("not-an-object", again), "two": ("unsupported-fields:a,b", change), "claims": ("claims-not-a-list", correct), "claim": ("claim-1-unsupported-fields:x", correct),
+        "open": ("unresolved-not-texts", correct), "events": ("events-not-a-list", correct), "event": ("event-1-not-an-object", correct), "extra": ("event-1-extensions-not-an-object", correct), "clash": ("event-1-extension-conflicts:more", correct),
+        "paths": ("event-1-inspected_paths-not-a-list", correct), "verified": ("verified-not-a-list", correct),
+    }
+
+
+def test_a_run_tells_its_counts_and_outlives_its_trace(spark):
+    events = []
+    rows = spark.range(10)
+    with observed.Run("recall", "bm25", events.append, {"odd": F.count_if(F.expr("id % 2 = 1"))}) as run:
+        assert run.rows(rows).filter("id > 3").count() == 6
+    assert (events[0]["status"], events[0]["hit_count"], events[0]["odd"]) == ("ok", 10, 5) and events[0]["duration_ms"] > 0
+
+    def broken(_):
+        raise OSError("disk full")
+
+    with pytest.warns(UserWarning, match="disk full"), observed.Run("recall", "bm25", broken) as run:
+        assert run.rows(rows).count() == 10
+    with observed.Run("recall", "bm25", events.append, keep_going=True) as run:
+        run.rows(rows.select(F.raise_error(F.lit("no provider")))).collect()
+    assert events[1]["status"] == "unavailable" and "no provider" in events[1]["warnings"][0] and events[1]["hit_count"] == 0
+    with pytest.raises(ValueError), observed.Run("recall", "bm25", events.append):
+        raise ValueError("mine")
+    assert events[2]["status"] == "unavailable"
