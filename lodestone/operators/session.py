@@ -54,13 +54,15 @@ class Session:
 
 
 def upsert_catalog(catalog: DataFrame, packets: DataFrame) -> DataFrame:
-    """The catalogue after an inspection: a section keeps its handle, new ones get the next; violation where a known
+    """The catalogue after an inspection: a section keeps its handle, new ones get those after the highest; violation where a known
     section's document version changed. catalog: trace_id, handle_no, document_path, section_id, document_version."""
     keys = ["trace_id", "document_path", "section_id"]
     seen = packets.select(*keys, F.col("document_version").alias("__version"), F.col("rank").alias("__rank"))
     both = catalog.join(seen, keys, "full_outer")
     whole = Window.partitionBy("trace_id")
-    fresh = F.row_number().over(whole.orderBy(F.col("handle_no").asc_nulls_last(), "__rank", "document_path", "section_id"))
+    new = F.col("handle_no").isNull()
+    place = F.row_number().over(Window.partitionBy("trace_id", new).orderBy("__rank", "document_path", "section_id"))
+    fresh = (F.coalesce(F.max("handle_no").over(whole), F.lit(0)) + place).cast("int")
     changed = F.col("handle_no").isNotNull() & F.col("__version").isNotNull() & (F.col("__version") != F.col("document_version"))
     return both.withColumn("violation", F.when(changed, "document-version-changed")).withColumn("handle_no", F.coalesce("handle_no", fresh)).withColumn("document_version", F.coalesce("__version", "document_version")).drop("__version", "__rank")
 

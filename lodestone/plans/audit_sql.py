@@ -76,7 +76,7 @@ UNION ALL SELECT user_id, event_id, CASE WHEN user_id % 10 <> 0 THEN ordinal END
     "catalog_handles": """
 WITH p AS (SELECT conv_id AS trace_id, role AS document_path, (turn % 4)::VARCHAR AS section_id, min(turn) AS rank FROM conversations GROUP BY ALL),
 h AS (SELECT *, rank < 3 AS held, rank > 0 AS seen, 'v' || (rank % 8) AS v FROM p),
-n AS (SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY CASE WHEN held THEN rank + 1 END NULLS LAST, rank, document_path, section_id) AS k FROM h)
+n AS (SELECT *, coalesce(max(CASE WHEN held THEN rank + 1 END) OVER (PARTITION BY trace_id), 0) + row_number() OVER (PARTITION BY trace_id, held ORDER BY rank, document_path, section_id) AS k FROM h)
 SELECT trace_id, document_path, section_id, CASE WHEN held THEN rank + 1 ELSE k END::INT AS handle_no, CASE WHEN held AND NOT seen AND trace_id % 3 = 0 THEN 'old' ELSE v END AS document_version, CASE WHEN held AND seen AND trace_id % 3 = 0 THEN 'document-version-changed' END AS violation FROM n""",
     "decision_audit": """
 WITH c AS (SELECT conv_id AS trace_id, turn AS claim_no, role, turn % 5 = 0 OR trim(coalesce(text, '')) = '' AS blank, turn % 4 = 0 AS bare FROM conversations)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import empty, sha256
-from ..operators import commits, decisions, lexical, lexical_store, lint, observed, render, sync, vector_store
+from ..operators import commits, decisions, headings, lexical, lexical_store, lint, observed, render, session, sync, trace, vector_store
 from ..session import work_folder
 from ..sources.revisions import Store
 from .audit_sql import SQL as AUDIT_SQL
@@ -270,3 +270,85 @@ def lint_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["lint_metrics"] = """
 SELECT count(*) AS hit_count, count(*) AS governed_markdown_files, count(*) FILTER (page_id % 3 = 0) AS knowledge_cards, count(*) FILTER (page_id % 7 <> 0 AND page_id % 5 <> 0 AND page_id % 2 = 0 AND page_id % 4 = 0) AS linked_knowledge_cards FROM pages"""
+
+
+# ---- small operators that other queries don't reach
+
+
+@query
+def corpus_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = t(spark, sf_dir, "documents")
+    return sync.corpus_fingerprint(sync.fingerprints(d, "doc_id", "text"))
+
+
+SQL["corpus_prints"] = """
+SELECT count(*) AS n_sources, sha256(coalesce(sum(('0x' || sha256(doc_id || '|' || sha256(text))[1:15])::BIGINT), 0)::HUGEINT::VARCHAR) AS corpus_fingerprint FROM documents"""
+
+
+@query
+def claim_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first alias of a claim that says something, cut to length."""
+    c = t(spark, sf_dir, "conversations")
+    claims = c.select("conv_id", "turn", F.when(mod("turn", 2), " ").alias("text"), F.when(mod("turn", 3), F.col("text")).alias("claim"), F.when(mod("turn", 5), "").otherwise(F.col("role")).alias("statement"), F.lit("last").alias("claim_text"))
+    return trace.short_claim(claims, 90).select("conv_id", "turn", "text")
+
+
+SQL["claim_texts"] = """
+WITH c AS (SELECT conv_id, turn, trim(CASE WHEN turn % 3 = 0 AND trim(text) <> '' THEN text WHEN turn % 5 <> 0 THEN role ELSE 'last' END) AS x FROM conversations)
+SELECT conv_id, turn, CASE WHEN length(x) <= 90 THEN x ELSE x[1:89] || '…' END AS text FROM c"""
+
+
+@query
+def unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders")
+    given = F.map_from_arrays(F.array(F.lit("answer"), F.concat(F.lit("k"), (F.col("o_orderkey") % 3).cast("string")), F.when(mod("o_orderkey", 2), "claims").otherwise("zeta")), F.array(F.lit(1), F.lit(2), F.lit(3)))
+    return o.select("o_orderkey", F.array_join(session.unknown_keys(given, (*session.DECISION_KEYS, "k1")), ",").alias("unknown"))
+
+
+SQL["unknown_fields"] = """
+SELECT o_orderkey, array_to_string([x for x in [CASE WHEN o_orderkey % 3 <> 1 THEN 'k' || (o_orderkey % 3) END, CASE WHEN o_orderkey % 2 <> 0 THEN 'zeta' END] if x IS NOT NULL], ',') AS unknown FROM orders"""
+
+
+@query
+def projection_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = t(spark, sf_dir, "part")
+    name = F.concat(F.regexp_replace("p_name", " ", F.lit(" & ")), F.when(mod("p_partkey", 3), "_image_document_bundle").when(mod("p_partkey", 2), "_document_bundle").otherwise("!"))
+    return p.select("p_partkey", headings.projection_name(F.when(mod("p_partkey", 7), "!?").otherwise(name)).alias("name"))
+
+
+SQL["projection_names"] = """
+SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'document' ELSE regexp_replace(regexp_replace(replace(p_name, ' ', ' & '), '[^A-Za-z0-9._-]+', '-', 'g'), '^-+|-+$', '', 'g') END || '.section-query-index.json' AS name FROM part"""
+
+
+@query
+def heading_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels of headings, and ids of figures and tables, of each conversation in order."""
+    c = t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("file"), F.col("turn").cast("int").alias("ordinal"))
+    said = F.element_at(F.array(F.lit("Plain"), F.lit("2 Scope"), F.lit("3.1.4 Deep"), F.lit("(2) item"), F.lit("4. item"), F.lit("目 录"), F.lit("附录 2")), ((F.col("file") + F.col("ordinal") * 3) % 7 + 1).cast("int"))
+    levels = headings.structural_levels(c.withColumns({"text": said, "text_level": F.when(mod("ordinal", 4), 0).otherwise(1)}))
+    caption = F.element_at(F.array(F.lit("Figure 2.1 x"), F.lit("Table 3"), F.lit(None).cast("string"), F.lit("none")), ((F.col("file") + F.col("ordinal")) % 4 + 1).cast("int"))
+    ids = headings.asset_ids(c.withColumns({"caption": caption, "kind": F.when(mod("ordinal", 3), "table").otherwise("fig"), "page": (F.col("ordinal") / 2).cast("int") + 1, "sequence": F.col("ordinal") + 1}))
+    return levels.join(ids, ["file", "ordinal"])
+
+
+SQL["heading_levels"] = """
+WITH RECURSIVE c AS (SELECT conv_id AS file, turn::INT AS ordinal, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, (conv_id + turn * 3) % 7 AS h, (conv_id + turn) % 4 AS q, turn % 3 = 0 AS is_table, turn % 4 = 0 AS bare FROM conversations),
+b AS (SELECT *, CASE WHEN q = 0 AND NOT is_table THEN 'fig_2_1' WHEN q = 1 THEN 'table_3' ELSE CASE WHEN is_table THEN 'table' ELSE 'fig' END || '_p' || (ordinal // 2 + 1) || '_n' || (ordinal + 1) END AS base FROM c),
+r AS (SELECT DISTINCT file, 0::BIGINT AS k, NULL::INT AS ordinal, 0 AS level, 0 AS cur, NULL::VARCHAR AS id, []::VARCHAR[] AS taken FROM b
+  UNION ALL SELECT file, k, ordinal, level, CASE WHEN level > 0 THEN level ELSE cur END, id, list_append(taken, id) FROM (SELECT b.file, b.k, b.ordinal, r.cur, r.taken,
+    CASE WHEN r.cur = 0 THEN 1 WHEN h IN (5, 6) THEN 2 WHEN h = 3 THEN 0 WHEN h = 1 THEN 2 WHEN h = 2 THEN 4 WHEN h = 4 THEN 0 WHEN bare THEN 0 ELSE least(greatest(r.cur + 1, 2), 6) END AS level,
+    CASE WHEN NOT list_contains(r.taken, base) THEN base ELSE base || '_' || list_filter(range(2, len(r.taken) + 3), lambda x: NOT list_contains(r.taken, base || '_' || x))[1] END AS id FROM r JOIN b ON b.file = r.file AND b.k = r.k + 1) x)
+SELECT file, ordinal, level, id FROM r WHERE k > 0"""
+
+
+@query
+def event_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate lists of trace events, cut to what an audit keeps."""
+    e = t(spark, sf_dir, "events")
+    some = F.transform(F.sequence(F.lit(1), (F.col("event_id") % 40 + 1).cast("int")), lambda i: i.cast("string"))
+    found = trace.clean_events(e.select("event_id", some.alias("candidates"), F.slice(some, 1, 3).alias("rejected")))
+    return found.select("event_id", F.size("candidates").alias("n_candidates"), F.array_join("rejected", ",").alias("rejected"))
+
+
+SQL["event_cuts"] = """
+SELECT event_id, least(event_id % 40 + 1, 20)::INT AS n_candidates, array_to_string([x for x in range(1, least(event_id % 40 + 1, 3) + 1)], ',') AS rejected FROM events"""

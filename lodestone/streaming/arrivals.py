@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sha256
 from ..operators.sync import difference, fingerprints, upsert
+from ..sources.revisions import Store
 
 EVENT = "trace_id string, ordinal int, stage string, route string, status string, at timestamp, duration_ms double, accounting string"
 
@@ -39,6 +40,32 @@ def sync_stream(stream: DataFrame, read: Callable[[], DataFrame], write: Callabl
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
 
 
+def sync_store(stream: DataFrame, store: Store, checkpoint: str, buckets: int = 64, on_changes: Callable[[DataFrame, DataFrame], None] | None = None):
+    """``sync_stream`` into a store: the table ``documents`` lies in buckets by source, and a batch reads and writes only
+    those of the files that it has, to a new revision beside the one that it read. Removed files are found by a
+    comparison with a full listing, not by a stream."""
+
+    def batch(rows: DataFrame, _: int) -> None:
+        new = rows.groupBy("source").agg(F.max_by("content", "seen_at").alias("content")).withColumn("sha256", sha256("content")).persist()
+        marked = new.withColumn("bucket", F.pmod(F.xxhash64("source"), F.lit(buckets)).cast("int"))
+        hit = sorted(str(r.bucket) for r in marked.select("bucket").distinct().collect())  # as many as there are buckets
+        change = store.change()
+        there = "documents" in change.tables
+        held = store.read("documents", change.base, hit) if there else new.limit(0)
+        changes = difference(fingerprints(new), held.select(F.col("source").alias("source_id"), "sha256")).filter("change IN ('added', 'changed')").persist()
+        if not changes.isEmpty():
+            fresh = new.join(changes.select(F.col("source_id").alias("source")), "source", "left_semi")
+            after = upsert(held, fresh, "source").withColumn("bucket", F.pmod(F.xxhash64("source"), F.lit(buckets)).cast("int"))
+            change.put_parts("documents", after.select("source", "content", "sha256", "bucket").repartition("bucket"), "bucket", hit)
+            change.publish()
+            if on_changes:
+                on_changes(fresh, changes)
+        changes.unpersist()
+        new.unpersist()
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+
+
 def unique_events(events: DataFrame, late: str = "1 hour") -> DataFrame:
     """An append-only stream of trace events without what is sent again within the watermark."""
     return events.withWatermark("at", late).dropDuplicatesWithinWatermark(["trace_id", "ordinal"])

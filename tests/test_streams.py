@@ -41,3 +41,26 @@ def test_stages_are_timed_over_batches(spark, tmp_path):
     every = spark.createDataFrame([e for b in batches for e in b], SCHEMA).filter(F.col("stage_id").isin("late", "twice", "tick", "tock"))
     paired = {r.stage_id: r.duration_ms for r in trace.pair_stages(every, ["trace_id"]).collect()}
     assert paired == {k: v for (k, o), v in told.items() if k in paired and o == "completed"}
+
+
+def test_files_are_synced_into_a_store_bucket_by_bucket(spark, tmp_path):
+    from lodestone.sources.revisions import Store
+    from lodestone.streaming import arrivals
+
+    root, store, seen = tmp_path / "vault", Store(spark, str(tmp_path / "store")), []
+    root.mkdir()
+
+    def run():
+        arrivals.sync_store(arrivals.markdown_stream(spark, str(root)), store, str(tmp_path / "check"), 8, lambda fresh, _: seen.append(fresh.count())).trigger(availableNow=True).start().awaitTermination()
+
+    for i in range(6):
+        (root / f"n{i}.md").write_text(f"text {i}")
+    run()
+    first = store.manifest(1)["documents"]["parts"]
+    (root / "n7.md").write_text("new")
+    run()
+    second = store.manifest(2)["documents"]["parts"]
+    assert seen == [6, 1] and store.head() == 2 and store.read("documents").count() == 7
+    assert sum(second.get(k) != v for k, v in first.items()) <= 1
+    run()
+    assert store.head() == 2 and {r.content for r in store.read("documents").collect()} == {*(f"text {i}" for i in range(6)), "new"}
