@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import empty, sha256
-from ..operators import commits, decisions, headings, lexical, lexical_store, lint, observed, render, session, sync, trace, vector_store
+from ..operators import commits, decisions, headings, image_bundles, lexical, lexical_store, lint, observed, render, session, sync, trace, vector_store
 from ..session import work_folder
 from ..sources.revisions import Store
 from .audit_sql import SQL as AUDIT_SQL
@@ -352,3 +352,28 @@ def event_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["event_cuts"] = """
 SELECT event_id, least(event_id % 40 + 1, 20)::INT AS n_candidates, array_to_string([x for x in range(1, least(event_id % 40 + 1, 3) + 1)], ',') AS rejected FROM events"""
+
+
+# ---- bundles of images
+
+
+@query
+def image_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as images in sets of one to five, some with a text: documents, digests and where the last section lies."""
+    p = t(spark, sf_dir, "pages")
+    size = F.when(F.floor(F.col("page_id") / 5) % 4 == 0, F.col("page_id")).otherwise(F.floor(F.col("page_id") / 5) + 10**9)
+    images = p.select(size.alias("bundle"), F.col("page_id").alias("ordinal"), F.concat(F.lit("in/a b"), F.col("page_id").cast("string"), F.lit(".PNG")).alias("path"), sha256("html").alias("sha256"), F.when(~mod("page_id", 3), F.concat(F.lit(" "), F.substring("html", 1, 30), F.lit("x\n"))).alias("ocr_text"))
+    placed = image_bundles.pages(images)
+    ends = image_bundles.sections(placed).groupBy("bundle").agg(F.max("start_line").alias("last_start"), F.max("end_line").alias("last_end"))
+    found = image_bundles.bundles(placed, "table-image").join(ends, "bundle")
+    return found.select("bundle", sha256("document").alias("document_sha256"), "source_filename", "source_sha256", "n_images", "n_texts", F.size("issues").alias("n_issues"), F.array_join("review_required", ",").alias("review_required"), "last_start", "last_end")
+
+
+SQL["image_sets"] = """
+WITH p AS (SELECT CASE WHEN (page_id // 5) % 4 = 0 THEN page_id ELSE page_id // 5 + 1000000000 END AS bundle, page_id, sha256(html) AS sha, CASE WHEN page_id % 3 <> 0 THEN regexp_replace(html[1:30] || 'x', '^\\s+', '') ELSE '' END AS said FROM pages),
+n AS (SELECT *, row_number() OVER (PARTITION BY bundle ORDER BY page_id) AS page FROM p),
+l AS (SELECT *, CASE WHEN said = '' THEN 10 ELSE 12 END AS n, '<!-- source-page: ' || page || ' -->' || chr(10) || chr(10) || '# Image page ' || page || chr(10) || chr(10) || '![Image page ' || page || '](images/page_' || lpad(page::VARCHAR, 3, '0') || '.png)' || chr(10) || chr(10)
+  || CASE WHEN said = '' THEN '<!-- image-only-source: true; qa: review -->' || chr(10) || chr(10) || 'OCR text is unavailable. Treat this page as visual evidence until targeted OCR or manual review is completed.' ELSE '<!-- ocr-derived: true; qa: review -->' || chr(10) || chr(10) || '## OCR Text' || chr(10) || chr(10) || said END AS ls FROM n),
+g AS (SELECT bundle, string_agg(ls, chr(10) || chr(10) ORDER BY page) || chr(10) AS doc, string_agg(sha, '' ORDER BY page) AS shas, min(page_id) AS first, count(*) AS n_images, count(*) FILTER (said <> '') AS n_texts, sum(n)::INT AS total, arg_max(n, page) AS last_n FROM l GROUP BY bundle)
+SELECT bundle, sha256(doc) AS document_sha256, CASE WHEN n_images = 1 THEN 'a b' || first || '.PNG' ELSE 'a-b' || first || '-image-set' END AS source_filename, CASE WHEN n_images = 1 THEN shas ELSE sha256(shas) END AS source_sha256, n_images, n_texts, (n_images - n_texts + 1)::INT AS n_issues,
+  'image-source-visual-review' || CASE WHEN n_texts > 0 THEN ',ocr-text-verification' ELSE '' END || ',table-structure' AS review_required, total - last_n + 3 AS last_start, total - 1 AS last_end FROM g"""
