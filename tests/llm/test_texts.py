@@ -553,3 +553,13 @@ def test_null_ids(spark, docs, rows):
     pages = spark.createDataFrame([(None, "http://a.net/", "x" * 2000), (1, None, "x" * 2000), (None, None, None)], "page_id long, url string, html string")
     assert warc.read_archive(warc.write_archive(pages)).count() == 3
     assert urls.filter_urls(pages, spark.createDataFrame(urls.RULES + [(None, None, "allow")], "host string, path string, verdict string")).count() == 3
+
+
+def test_requests_of_all_slices_share_a_row(spark):
+    """Rows between two buckets don't grow with the slices, and slices have homes in several buckets."""
+    docs = spark.sql("SELECT id AS doc_id, concat_ws(' ', transform(sequence(0, 60), x -> concat('w', (x * x * 7 + id * 13) % 997))) AS text FROM range(640)").repartition(32)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    requests = docs.mapInArrow(lambda it: bigrams.explode_pairs(it, 8, none), bigrams.PAIRS).groupBy("bucket").applyInArrow(lambda t: bigrams.score_pairs(t, 8), bigrams.REQUESTS).cache()
+    assert 8 < requests.filter("keys IS NOT NULL AND counts IS NULL").count() <= 8 * 8
+    assert requests.filter("keys IS NULL").select("bucket").distinct().count() > 4
+    requests.unpersist()
