@@ -110,7 +110,7 @@ class Change:
     def put(self, table: str, rows: DataFrame, part: str = WHOLE, keep: bool = False) -> None:
         """The rows become the table, or, with ``keep``, one part of it beside the others."""
         folder = self._folder()
-        rows.write.parquet(f"{self.store.path}/{folder}")
+        rows.write.option("compression", "zstd").parquet(f"{self.store.path}/{folder}")
         old = self.tables[table]["parts"] if keep and table in self.tables else {}
         self.tables[table] = {"schema": rows.schema.jsonValue(), "parts": {**old, part: folder}}
 
@@ -118,7 +118,7 @@ class Change:
         """A part for each value of a column of few values. These replace the parts of ``replaced`` (all parts: None);
         one of these that gets no rows is gone."""
         folder = self._folder()
-        rows.write.partitionBy(by).parquet(f"{self.store.path}/{folder}")
+        rows.write.option("compression", "zstd").partitionBy(by).parquet(f"{self.store.path}/{folder}")
         names = [f.getPath().getName() for f in self.store._fs.listStatus(self.store._path(f"{self.store.path}/{folder}")) if f.isDirectory()]
         new = {n.partition("=")[2]: f"{folder}/{n}" for n in names if n.startswith(f"{by}=")}
         gone = None if replaced is None else set(replaced)

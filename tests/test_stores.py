@@ -7,7 +7,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import commits, decisions, dense, lexical, lexical_store, observed, render, vector_store
+from lodestone.operators import commits, decisions, dense, lexical, lexical_store, observed, render, sync, vector_store
 from lodestone.sources.revisions import Conflict, Store
 
 
@@ -287,3 +287,15 @@ def test_an_index_sends_each_query_once(spark, store):
     got, read = vector_store.search(store, queries, 5)
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
     assert rows_of(got) == rows_of(dense.knn(vectors, queries, 5)) and read.filter("n_read > n_held").count() == 0
+
+
+def test_a_sync_takes_touched_buckets_in_groups(spark, store, monkeypatch):
+    """Few touched ids at once, and one bucket of more than that, by key: the index is the rebuilt one."""
+    monkeypatch.setattr(lexical_store, "MOST_SENT", 5)
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    before, after = frame([(i, f"old w{i % 7}") for i in range(40)]), frame([(i, f"{'new' if i % 3 else 'old'} w{i % 7}") for i in range(5, 60)])
+    lexical_store.create(store, before, buckets=8)
+    prints = lambda rows: sync.fingerprints(rows, "doc_id", "text")
+    lexical_store.sync(store, after, sync.difference(prints(after), prints(before)))
+    stats = lambda index: rows_of(index.stats.select("term", "df", "n_tokens").fillna("\0", "term"))
+    assert stats(lexical_store.load(store)) == stats(lexical.build(after)) and lexical_store.load(store).documents.count() == 55
