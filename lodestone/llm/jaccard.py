@@ -10,9 +10,12 @@ bucket keeps the hashes that two classes share, and a class with fewer of them t
 that a common shingle has made large is counted as rows instead, with map-side combining and its hot keys dealt out. Of
 the others each drops the k - 1 hashes that most classes have; two that link still share one.
 
-Tiles. Classes that the kept hashes connect form a family, found by stars from each hash's least class. A family is one
-tile; a crowded one is cut by size band, where each class meets its own band and the next, and then by a grid of
-blocks. Each class goes to its tile with its sorted array, once for a small family.
+Tiles. Classes that the kept hashes connect form a family, found by stars from each hash's least class. As a corpus grows,
+chance connects families, and one of them comes to hold most classes. A crowded family is therefore joined anew, by
+those pairs alone that share a kept hash and whose sketches (parities of 512 cells, which differ in no more cells than
+the sets differ in elements) allow a link; what nothing joins is done. A family is one tile; one that is crowded still
+is cut by size band, where each class meets its own band and the next, and a crowded band by a grid of blocks, as many
+as its own classes and guests ask for. Each class goes to its tile with its sorted array, once for a small family.
 
 Within a tile classes are sorted by size, and each is compared with those in its size range only, unless already
 linked to it. A hashed bitmap bounds the overlap from above: a bit set in one and not in the other is an element that
@@ -35,7 +38,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, dealt, forget, input_bytes, table
@@ -47,8 +50,11 @@ BUCKET_BYTES = 8 << 20
 CROWDED = 1024
 #: Hashes of a bucket that is counted as rows.
 HOT_BUCKET = 4 << 20
+SEATS = "array<struct<band: int, own: boolean, side: int>>"
+#: Cells of a sketch.
+CELLS = 512
 
-SIGNATURES = "doc_id long, text_hash long, n long, s1 long, s2 long, bucket int, keys binary, classes binary, counts binary"
+SIGNATURES = "doc_id long, text_hash long, n long, s1 long, s2 long, sketch binary, bucket int, keys binary, classes binary, counts binary"
 
 
 def asked(n: int) -> int:
@@ -77,25 +83,31 @@ def digest(elements: np.ndarray) -> tuple[int, int]:
     return int(signed(s)[0]), int(signed(x)[0])
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """Of each cell of hashes, whether the set has an odd number of them."""
+    return np.packbits(np.bincount((elements & U64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1).tobytes()
+
+
 def signatures(batches: Iterable[pa.RecordBatch], size: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """A row for each document, and packed rows of prefix hashes (6 bytes each) with their classes, one for each
     bucket. Of equal sets in a slice one is sent."""
-    types = [pa.int64()] * 5 + [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    types = [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in SIGNATURES.split(", ")]
     for batch, data, at in slices(batches):
-        n, s1, s2, keys, owner = [], [], [], [], []
+        n, s1, s2, sketches, keys, owner = [], [], [], [], [], []
         known: set[int] = set()
         for elements in sets(data, at, size):
             a, b = digest(elements)
             n.append(len(elements))
             s1.append(a)
             s2.append(b)
+            sketches.append(sketch(elements))
             if len(elements) and a not in known:
                 known.add(a)
                 keys.append(elements[: prefix(len(elements), percent)])
                 owner.append(a)
         none = pa.nulls(batch.num_rows, pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *[pa.array(x, pa.int64()) for x in (n, s1, s2)], pa.nulls(batch.num_rows, pa.int32()), none, none, none], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *[pa.array(x, pa.int64()) for x in (n, s1, s2)], pa.array(sketches, pa.binary()), pa.nulls(batch.num_rows, pa.int32()), none, none, none], names=names)
         if not keys:
             continue
         key, cls = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
@@ -110,7 +122,7 @@ def signatures(batches: Iterable[pa.RecordBatch], size: int, percent: int, bucke
         ends = [*new, len(key)]
         rows = [(int(of[new[i]]), short[ends[i] : ends[j]].tobytes(), owners[cls[new[i:j]]].tobytes(), counts[i:j].tobytes()) for i, j in zip(cuts, cuts[1:], strict=False)]
         empty = pa.nulls(len(rows), pa.int64())
-        yield pa.RecordBatch.from_arrays([empty] * 5 + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types[5:], strict=True)], names=names)
+        yield pa.RecordBatch.from_arrays([empty] * 5 + [pa.nulls(len(rows), pa.binary())] + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types[6:], strict=True)], names=names)
 
 
 def unpacked_keys(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -189,6 +201,28 @@ def linked(both: np.ndarray | int, n: np.ndarray | int, m: np.ndarray | int, per
     return (100 + percent) * both >= percent * (n + m)
 
 
+def link_sketches(rows: pa.Table, percent: int) -> pa.Table:
+    """a, b: of classes that share a hash, stars of those that pairs connect which their sizes and sketches allow to link."""
+    rows = rows.sort_by([("n", "ascending"), ("c", "ascending")])
+    c, n = rows.column("c").to_numpy(), rows.column("n").to_numpy()
+    bits = unpack(rows, "sketch", U64).reshape(len(c), -1)
+    last, comp = np.searchsorted(n, n * 100 // percent, side="right"), np.arange(len(c))
+    for i in range(len(c)):
+        j = i + 1 + np.flatnonzero(comp[i + 1 : last[i]] != comp[i])
+        if not len(j):
+            continue
+        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        j = j[linked((n[i] + n[j] - apart) // 2, n[i], n[j], percent)]
+        if len(j):
+            comp[np.isin(comp, comp[j])] = comp[i]
+            if (comp == comp[i]).all():
+                break
+    least = np.full(len(c), np.iinfo(np.int64).max)
+    np.minimum.at(least, comp, c)
+    keep = c != least[comp]
+    return pa.table({"a": c[keep], "b": least[comp][keep]})
+
+
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
     """Size of the intersection of two sorted arrays of distinct elements."""
     if len(x) > len(y):
@@ -238,8 +272,8 @@ def full_sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Recor
                 rows.append(i)
                 out.append((len(elements), elements.tobytes()))
         if rows:
-            kept = batch.select(["c", "family", "m", "copies"]).take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)]], names=["c", "family", "m", "copies", "n", "elements"])
+            kept = batch.select(["c", "family", "copies", "seats"]).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)]], names=["c", "family", "copies", "seats", "n", "elements"])
 
 
 def similar(docs: DataFrame, size: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text", links: bool = False) -> DataFrame:
@@ -268,31 +302,66 @@ def _candidates(scratch: Scratch, packed: DataFrame, buckets: int) -> DataFrame:
     return scratch.written(shared, "tiles")
 
 
+def _band(percent: int) -> Column:
+    """Of sizes: two sets that link are in one band or in neighbouring ones."""
+    return F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9).cast("int")
+
+
+def _sized(scratch: Scratch, families: DataFrame) -> tuple[DataFrame, bool]:
+    """c, family, m (classes of the family), and whether there is a crowded family."""
+    sizes = scratch.written(families.groupBy("label").agg(F.count("*").alias("n")), "sizes")
+    sized = salted_join(families, sizes, "label", "node", hubs(sizes, "label", families.count()))
+    return sized.select(F.col("node").alias("c"), F.col("label").alias("family"), F.col("n").cast("int").alias("m")), not sizes.filter(F.col("n") > CROWDED).isEmpty()
+
+
+def _parted(scratch: Scratch, met: DataFrame, wanted: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``wanted`` with each crowded family parted into those that sketches connect. A hash of many classes is cut by
+    size band."""
+    crowd = wanted.filter(F.col("m") > CROWDED)
+    sketched = crowd.select("c", "n").join(dealt(classes.select(F.col("s1").alias("c"), "sketch")), "c")
+    bands = F.when(F.col("met") > CROWDED, F.array(_band(percent), _band(percent) + 1)).otherwise(F.array(F.lit(0)))
+    groups = met.select("c", "key", "met").join(dealt(sketched), "c").select("key", F.explode(bands).alias("band"), "c", "n", "sketch")
+    parts, _ = _sized(scratch, components(groups.groupBy("key", "band").applyInArrow(lambda t: link_sketches(t, percent), "a long, b long"), "parts"))
+    parted = crowd.drop("family", "m").join(dealt(parts), "c")
+    return scratch.written(wanted.filter(F.col("m") <= CROWDED).unionByName(parted), "parted")
+
+
+def _seated(scratch: Scratch, wanted: DataFrame, percent: int) -> DataFrame:
+    """doc_id, c, family, copies, seats: for each class the bands of its family where it is compared, as one of the
+    band's own or as a guest from the band below, and over how many blocks each band is cut. A band without classes of
+    its own has no guests."""
+    columns = ["doc_id", "c", "family", "copies"]
+    small = wanted.filter(F.col("m") <= CROWDED).select(*columns, F.array(F.struct(F.lit(0).alias("band"), F.lit(True).alias("own"), F.lit(1).alias("side"))).alias("seats"))
+    seat = lambda band, own: F.struct(band.alias("band"), F.lit(own).alias("own"))
+    seats = wanted.filter(F.col("m") > CROWDED).withColumn("seat", F.explode(F.array(seat(_band(percent), True), seat(_band(percent) + 1, False))))
+    seats = seats.select(*columns, "seat.*").withColumn("cell", F.xxhash64("family", "band"))
+    full = scratch.written(seats.groupBy("cell").agg(F.count("*").alias("n"), F.max("own").alias("used")).filter("used AND n > 1").drop("used"), "bands")
+    seats = salted_join(seats, full, "cell", "c", hubs(full, "cell", seats.count())).withColumn("side", F.ceil(F.col("n") / (4 * CROWDED)).cast("int"))
+    return small.unionByName(seats.groupBy(*columns).agg(F.collect_list(F.struct("band", "own", "side")).alias("seats")).withColumn("seats", F.col("seats").cast(SEATS)))
+
+
 def _named(scratch: Scratch, given: DataFrame, buckets: int, size: int, percent: int, links: bool) -> tuple[DataFrame, DataFrame]:
     """Two kept tables: each row with its set's digest, and each digest with its class, its component and its links."""
     scan = scratch.written(given.mapInArrow(lambda it: signatures(it, size, percent, buckets), SIGNATURES), "signatures")
     each = scratch.keep(scratch.written(scan.filter("bucket IS NULL").select("doc_id", "text_hash", "n", "s1", "s2"), "each"))
-    classes = scratch.written(each.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")), "classes")
+    classes = scratch.written(scan.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.min("sketch").alias("sketch")), "classes")
     tiles = _candidates(scratch, scan.filter("bucket IS NOT NULL").select("bucket", "keys", "classes", "counts"), buckets)
     forget(scratch.keep(scan))
 
     own = tiles.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("m", "key")), asc=False).alias("t"))
     own = own.join(dealt(classes.select(F.col("s1").alias("c"), F.col("class_id").alias("doc_id"), "n", "copies")), "c").withColumn("asked", (1 + F.floor(F.floor(F.col("n") * percent / 100) / 20)).cast("int"))
     own = own.filter(F.size("t") >= F.col("asked"))
-    kept = scratch.written(own.select("c", "doc_id", "copies", F.explode(F.slice("t", F.col("asked"), F.size("t"))).alias("k")).select("c", "doc_id", "copies", "k.key"), "kept")
-    stars_of = scratch.written(kept.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("n")).filter("n > 1"), "stars-of-keys")
-    edges = salted_join(kept.select("c", "key"), stars_of.drop("n"), "key", "c", hubs(stars_of, "key", kept.count())).select(F.col("c").alias("a"), F.col("least").alias("b"))
-    families = components(edges, "families")
-    sizes = scratch.written(families.groupBy("label").agg(F.count("*").alias("n")), "sizes")
-    hot = hubs(sizes, "label", families.count())
-    sized = salted_join(families, sizes, "label", "node", hot).select(F.col("node").alias("c"), F.col("label").alias("family"), F.col("n").cast("int").alias("m"))
-    wanted = scratch.written(kept.select("c", "doc_id", "copies").distinct().join(dealt(sized), "c"), "wanted")
-
-    arrays = given.join(dealt(wanted), "doc_id").select("c", "family", "m", "copies", "text").mapInArrow(lambda it: full_sets(it, size), "c long, family long, m int, copies long, n long, elements binary")
-    band = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9).cast("int")
-    seat = lambda band, own: F.struct(F.lit(band).cast("int").alias("band"), F.lit(own).alias("own"))
-    seats = F.when(F.col("m") > CROWDED, F.array(seat(band, True), seat(band + 1, False))).otherwise(F.array(seat(0, True)))
-    cells = arrays.withColumn("seat", F.explode(seats)).withColumn("side", F.ceil(F.col("m") / (4 * CROWDED)).cast("int")).withColumn("block", F.pmod(F.xxhash64("c"), F.col("side")).cast("int"))
+    kept = scratch.written(own.select("c", "doc_id", "n", "copies", F.explode(F.slice("t", F.col("asked"), F.size("t"))).alias("k")).select("c", "doc_id", "n", "copies", "k.key"), "kept")
+    stars_of = scratch.written(kept.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("met")).filter("met > 1"), "stars-of-keys")
+    met = salted_join(kept.select("c", "key"), stars_of, "key", "c", hubs(stars_of.withColumnRenamed("met", "n"), "key", kept.count()))
+    sized, crowded = _sized(scratch, components(met.select(F.col("c").alias("a"), F.col("least").alias("b")), "families"))
+    wanted = scratch.written(kept.select("c", "doc_id", "n", "copies").distinct().join(dealt(sized), "c"), "wanted")
+    if crowded:
+        wanted = _parted(scratch, met, wanted, classes, percent)
+
+    arrays = given.join(dealt(_seated(scratch, wanted, percent)), "doc_id").select("c", "family", "copies", "seats", "text")
+    arrays = arrays.mapInArrow(lambda it: full_sets(it, size), f"c long, family long, copies long, seats {SEATS}, n long, elements binary")
+    cells = arrays.withColumn("seat", F.explode("seats")).withColumn("side", F.col("seat.side")).withColumn("block", F.pmod(F.xxhash64("c"), F.col("side")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1))).withColumn("row", F.least("block", "other")).withColumn("col", F.greatest("block", "other"))
     cells = cells.select("family", "c", "n", "copies", "elements", "seat.band", "seat.own", "block", "row", "col", (F.col("row") != F.col("col")).alias("off"))
     stars = cells.groupBy("family", "band", "row", "col").applyInArrow(lambda t: link_tile(t, percent, links), "a long, b long, links long")

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lodestone.llm import jaccard, lines, suffixes
@@ -49,6 +50,47 @@ def test_crowded_families_are_cut_and_lose_no_link(spark, rows, monkeypatch):
     assert sorted(map(tuple, got)) == linked_components(rows, 4, 85)
 
 
+def test_families_of_chance_are_parted_before_arrays_move(spark, tmp_path, monkeypatch):
+    """Passages connect all documents, and few of them link: tiles get each class twice at most, not once for each block
+    of the family's grid."""
+    n = 200
+    passage = [" ".join(f"w{i}x{k}" for k in range(20)) for i in range(n)]
+    given = [(i, " ".join((passage[i], passage[(i + 1) % n], passage[(i + 5) % n]))) for i in range(n)]
+    given += [(n + i, given[i][1] + " more") for i in range(0, n, 10)]
+    real, folder = jaccard.link_tile, str(tmp_path)
+
+    def counted(rows, *more):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(str(rows.num_rows))
+        return real(rows, *more)
+
+    monkeypatch.setattr(jaccard, "CROWDED", 8)
+    monkeypatch.setattr(jaccard, "link_tile", counted)
+    got = jaccard.similar(spark.createDataFrame(given, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == linked_components(given, 4, 85)
+    assert 0 < sum(int(x.read_text()) for x in tmp_path.iterdir()) <= 2 * len(given)
+
+
+def test_sketches_never_part_what_links():
+    rng = np.random.default_rng(6)
+    for n in (1, 7, 60, 900, 5000):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        near = [np.unique(np.concatenate((base[int(rng.integers(0, 1 + n // 12)) :], rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 12))).astype(np.uint64)))) for _ in range(12)]
+        far = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for _ in range(4)]
+        sets = [base, *near, *far]
+        rows = pa.table({"c": np.arange(len(sets)), "n": np.array([len(x) for x in sets]), "sketch": pa.array([jaccard.sketch(x) for x in sets], pa.binary())})
+        out = jaccard.link_sketches(rows, 85)
+        label = dict(zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True))
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                if jaccard.linked(jaccard.overlap(x, y), len(x), len(y), 85):
+                    assert label.get(i, i) == label.get(j, j)
+        if n == 60:
+            assert not {13, 14, 15, 16} & set(label)
+
+
 @pytest.mark.parametrize("hub", [1000, 1])
 def test_common_shingles_and_labels_are_dealt_out(spark, rows, monkeypatch, hub):
     monkeypatch.setattr(importlib.import_module("lodestone.llm.components"), "HUB", hub)
