@@ -53,6 +53,8 @@ HOT_BUCKET = 4 << 20
 SEATS = "array<struct<band: int, own: boolean, side: int>>"
 #: Cells of a sketch.
 CELLS = 512
+#: Rows of sketches that one call compares, if no key has more.
+SKETCHES = 1 << 14
 
 SIGNATURES = "doc_id long, text_hash long, n long, s1 long, s2 long, sketch binary, bucket int, keys binary, classes binary, counts binary"
 
@@ -201,13 +203,10 @@ def linked(both: np.ndarray | int, n: np.ndarray | int, m: np.ndarray | int, per
     return (100 + percent) * both >= percent * (n + m)
 
 
-def link_sketches(rows: pa.Table, percent: int) -> pa.Table:
-    """a, b: of classes that share a hash, stars of those that pairs connect which their sizes and sketches allow to link."""
-    rows = rows.sort_by([("n", "ascending"), ("c", "ascending")])
-    c, n = rows.column("c").to_numpy(), rows.column("n").to_numpy()
-    bits = unpack(rows, "sketch", U64).reshape(len(c), -1)
-    last, comp = np.searchsorted(n, n * 100 // percent, side="right"), np.arange(len(c))
-    for i in range(len(c)):
+def joined_by_sketches(n: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
+    """Of classes in ascending order of size, the components by pairs that sizes and sketches allow to link."""
+    last, comp = np.searchsorted(n, n * 100 // percent, side="right"), np.arange(len(n))
+    for i in range(len(n)):
         j = i + 1 + np.flatnonzero(comp[i + 1 : last[i]] != comp[i])
         if not len(j):
             continue
@@ -217,10 +216,27 @@ def link_sketches(rows: pa.Table, percent: int) -> pa.Table:
             comp[np.isin(comp, comp[j])] = comp[i]
             if (comp == comp[i]).all():
                 break
+    return comp
+
+
+def link_sketches(rows: pa.Table, percent: int) -> pa.Table:
+    """a, b: of the classes of each key and band, stars of those that such pairs connect. Keys of two classes, which are
+    most, are compared all at once."""
+    rows = rows.sort_by([(x, "ascending") for x in ("key", "band", "n", "c")])
+    key, band, c, n = (rows.column(x).to_numpy() for x in ("key", "band", "c", "n"))
+    bits, comp = unpack(rows, "sketch", U64).reshape(len(c), -1), np.arange(len(c))
+    begin = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (band[1:] != band[:-1]))))
+    size = np.diff(np.concatenate((begin, [len(c)])))
+    x = begin[size == 2]
+    apart = np.bitwise_count(bits[x] ^ bits[x + 1]).sum(axis=1, dtype=np.int64)
+    x = x[(n[x + 1] * percent <= n[x] * 100) & linked((n[x] + n[x + 1] - apart) // 2, n[x], n[x + 1], percent)]
+    comp[x + 1] = x
+    for i, k in zip(begin[size > 2], size[size > 2], strict=True):
+        comp[i : i + k] = i + joined_by_sketches(n[i : i + k], bits[i : i + k], percent)
     least = np.full(len(c), np.iinfo(np.int64).max)
     np.minimum.at(least, comp, c)
-    keep = c != least[comp]
-    return pa.table({"a": c[keep], "b": least[comp][keep]})
+    stars = np.unique(np.stack((c, least[comp]))[:, c != least[comp]], axis=1)
+    return pa.table({"a": stars[0], "b": stars[1]})
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -314,14 +330,15 @@ def _sized(scratch: Scratch, families: DataFrame) -> tuple[DataFrame, bool]:
     return sized.select(F.col("node").alias("c"), F.col("label").alias("family"), F.col("n").cast("int").alias("m")), not sizes.filter(F.col("n") > CROWDED).isEmpty()
 
 
-def _parted(scratch: Scratch, met: DataFrame, wanted: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _parted(scratch: Scratch, met: DataFrame, wanted: DataFrame, classes: DataFrame, percent: int, shares: int) -> DataFrame:
     """``wanted`` with each crowded family parted into those that sketches connect. A hash of many classes is cut by
     size band."""
     crowd = wanted.filter(F.col("m") > CROWDED)
     sketched = crowd.select("c", "n").join(dealt(classes.select(F.col("s1").alias("c"), "sketch")), "c")
     bands = F.when(F.col("met") > CROWDED, F.array(_band(percent), _band(percent) + 1)).otherwise(F.array(F.lit(0)))
     groups = met.select("c", "key", "met").join(dealt(sketched), "c").select("key", F.explode(bands).alias("band"), "c", "n", "sketch")
-    parts, _ = _sized(scratch, components(groups.groupBy("key", "band").applyInArrow(lambda t: link_sketches(t, percent), "a long, b long"), "parts"))
+    groups = groups.withColumn("share", F.pmod(F.xxhash64("key", "band"), F.lit(shares)))
+    parts, _ = _sized(scratch, components(groups.groupBy("share").applyInArrow(lambda t: link_sketches(t, percent), "a long, b long"), "parts"))
     parted = crowd.drop("family", "m").join(dealt(parts), "c")
     return scratch.written(wanted.filter(F.col("m") <= CROWDED).unionByName(parted), "parted")
 
@@ -357,7 +374,7 @@ def _named(scratch: Scratch, given: DataFrame, buckets: int, size: int, percent:
     sized, crowded = _sized(scratch, components(met.select(F.col("c").alias("a"), F.col("least").alias("b")), "families"))
     wanted = scratch.written(kept.select("c", "doc_id", "n", "copies").distinct().join(dealt(sized), "c"), "wanted")
     if crowded:
-        wanted = _parted(scratch, met, wanted, classes, percent)
+        wanted = _parted(scratch, met, wanted, classes, percent, max(8, kept.count() // SKETCHES))
 
     arrays = given.join(dealt(_seated(scratch, wanted, percent)), "doc_id").select("c", "family", "copies", "seats", "text")
     arrays = arrays.mapInArrow(lambda it: full_sets(it, size), f"c long, family long, copies long, seats {SEATS}, n long, elements binary")

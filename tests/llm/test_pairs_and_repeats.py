@@ -80,7 +80,7 @@ def test_sketches_never_part_what_links():
         near = [np.unique(np.concatenate((base[int(rng.integers(0, 1 + n // 12)) :], rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 12))).astype(np.uint64)))) for _ in range(12)]
         far = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for _ in range(4)]
         sets = [base, *near, *far]
-        rows = pa.table({"c": np.arange(len(sets)), "n": np.array([len(x) for x in sets]), "sketch": pa.array([jaccard.sketch(x) for x in sets], pa.binary())})
+        rows = pa.table({"key": np.zeros(len(sets), np.int64), "band": np.zeros(len(sets), np.int32), "c": np.arange(len(sets)), "n": np.array([len(x) for x in sets]), "sketch": pa.array([jaccard.sketch(x) for x in sets], pa.binary())})
         out = jaccard.link_sketches(rows, 85)
         label = dict(zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True))
         for i, x in enumerate(sets):
@@ -89,6 +89,10 @@ def test_sketches_never_part_what_links():
                     assert label.get(i, i) == label.get(j, j)
         if n == 60:
             assert not {13, 14, 15, 16} & set(label)
+        pairs = [rows.take([i, j]).set_column(0, "key", pa.array([k, k])) for k, (i, j) in enumerate((i, j) for i in range(len(sets)) for j in range(i))]
+        out = jaccard.link_sketches(pa.concat_tables(pairs), 85)
+        told = set(zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True))
+        assert all((i, j) in told for i in range(len(sets)) for j in range(i) if jaccard.linked(jaccard.overlap(sets[i], sets[j]), len(sets[i]), len(sets[j]), 85))
 
 
 @pytest.mark.parametrize("hub", [1000, 1])
