@@ -55,6 +55,9 @@ UNKNOWN_COST = 10.0
 INFINITY = float("inf")
 #: Ids that are decoded at a time.
 DECODED = 500_000
+#: Columns that encoding and decoding add.
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+DECODED_FIELDS = [T.StructField("decoded", T.StringType()), T.StructField("ids_sha256", T.StringType())]
 
 
 def fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -445,19 +448,18 @@ def _sent(spark: SparkSession, path: str | None) -> Callable[[], Transducer]:
     return lambda: compiled(sent.value)
 
 
+def _encoded(model: Transducer, batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    for batch, data, at in slices(batches, column):
+        ids, ends = model.encode_batch(data, at)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], names=[*batch.schema.names, "ids"])
+
+
 def encode_pieces(docs: DataFrame, model_path: str | None = None, text_column: str = "text") -> DataFrame:
     """All columns of docs, and ids (array of int). The model file, of some megabytes at most, is read by the driver
     and broadcast."""
     get = _sent(docs.sparkSession, model_path)
     docs = docs.drop("ids")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = get()
-        for batch, data, at in slices(batches, text_column):
-            ids, ends = model.encode_batch(data, at)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], names=[*batch.schema.names, "ids"])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return docs.mapInArrow(lambda it: _encoded(get(), it, text_column), T.StructType([*docs.schema.fields, IDS]))
 
 
 def _id_parts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -473,24 +475,36 @@ def _id_parts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBat
         low = high
 
 
+def _decoded(model: Transducer, batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, ids, at in _id_parts(batch, column):
+            texts, raw = model.decode_batch(ids, at), ids.astype("<i4").tobytes()
+            hashes = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(at, at[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string()), pa.array(hashes, pa.string())], names=[*part.schema.names, "decoded", "ids_sha256"])
+
+
 def decode_pieces(encoded: DataFrame, model_path: str | None = None, ids_column: str = "ids") -> DataFrame:
     """All columns of the frame, decoded (string) and ids_sha256 (hex, of the ids as 32-bit little-endian integers)."""
     get = _sent(encoded.sparkSession, model_path)
     encoded = encoded.drop("decoded", "ids_sha256")
+    return encoded.mapInArrow(lambda it: _decoded(get(), it, ids_column), T.StructType([*encoded.schema.fields, *DECODED_FIELDS]))
+
+
+def round_trip(docs: DataFrame, model_path: str | None = None, text_column: str = "text") -> DataFrame:
+    """``decode_pieces(encode_pieces(docs))`` in one pass. Two passes in one stage hold two Python workers for each core,
+    each with a model and batches of its own, and workers keep their memory for the stages that follow."""
+    get = _sent(docs.sparkSession, model_path)
+    docs = docs.drop("ids", "decoded", "ids_sha256")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = get()
-        for batch in batches:
-            for part, ids, at in _id_parts(batch, ids_column):
-                texts, raw = model.decode_batch(ids, at), ids.astype("<i4").tobytes()
-                hashes = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(at, at[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string()), pa.array(hashes, pa.string())], names=[*part.schema.names, "decoded", "ids_sha256"])
+        return _decoded(model, _encoded(model, batches, text_column), "ids")
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType()), T.StructField("ids_sha256", T.StringType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, IDS, *DECODED_FIELDS]))
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decode_pieces(encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    out = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), same.alias("round_trip"))
 

@@ -153,6 +153,21 @@ def test_pieces_of_documents(docs, rows):
     assert all(len(r["ids"]) == 0 for r in out if not r["text"])
 
 
+def test_encoding_and_decoding_are_one_pass(spark, docs, tmp_path):
+    """A task of the query and of the pipeline's stage holds one Python worker, and rows are those of two passes."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    given = docs.withColumn("ids", F.lit("old")).withColumn("decoded", F.lit("old"))
+    one = pieces.round_trip(given)
+    two = pieces.decode_pieces(pieces.encode_pieces(given))
+    assert sorted(one.columns) == sorted(two.columns)
+    key = lambda df: sorted(repr([r[c] for c in sorted(df.columns)]) for r in df.collect())
+    assert key(one) == key(two)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert plan(pieces.op5_sentencepiece(spark, str(tmp_path))).count("MapInArrow") == 1
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    assert plan(corpus_pipeline.tokens_stage(spark, docs, str(tmp_path))).count("MapInArrow") == 1
+
+
 @pytest.mark.parametrize("end", [b"\x12\x02\x18\x03", b"\x1a\x03\x12\x01x", b"\x0a\x06\x0a\x02zz\x18\x04"])
 def test_other_models_are_refused(end):
     with pytest.raises(ValueError, match="only"):
